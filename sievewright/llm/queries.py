@@ -30,6 +30,12 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op6_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sievewright.llm.lattice import near_duplicates
+
+    return near_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from sievewright.llm.token_counts import count_tokens
 
@@ -57,7 +63,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out("doc_id").alias("held_out"), "lang_pred", "score", "accepted")
 
 
-QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_packing, op4_simhash, op7_token_counts, op8_mixing, op9_token_orc, op10_language_id)}
+QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_packing, op4_simhash, op6_lattice, op7_token_counts, op8_mixing, op9_token_orc, op10_language_id)}
 
 def _oracle_sql() -> dict[str, str]:
     from sievewright.llm import line_dedup, mixing
