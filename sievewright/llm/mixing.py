@@ -34,8 +34,7 @@ PREFIX = 2
 
 def word_count(text: Column) -> Column:
     """Number of runs without ASCII white space; null counts 0."""
-    plain = F.trim(F.translate(text, "\t\n\x0b\x0c\r", "     "))
-    return F.when(F.coalesce(plain, F.lit("")) == "", F.lit(0)).otherwise(F.size(F.split(plain, " +"))).cast("long")
+    return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
 def targets(sources: DataFrame, weights: Sequence[int] = WEIGHTS, total: float = TOTAL, cap: float = CAP) -> DataFrame:
