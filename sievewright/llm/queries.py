@@ -11,9 +11,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sievewright.llm.common import cut
     from sievewright.llm.line_dedup import drop_boilerplate, page_lines
 
-    lines = page_lines(_table(spark, sf_dir, "pages"))
+    lines, _ = cut(page_lines(_table(spark, sf_dir, "pages")), "page-lines")  # extracted once, read twice
     return drop_boilerplate(lines, "host", kept_col="n_kept", dropped_col="n_dropped")
 
 
@@ -23,6 +24,13 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(_table(spark, sf_dir, "documents"))
 
 
+def op3_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sievewright.llm.media import read_media, sniff, store_texts
+
+    read = read_media(sniff(store_texts(_table(spark, sf_dir, "documents")), "media"))
+    return read.select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature")
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     from sievewright.llm.simhash import near_duplicates
 
@@ -30,6 +38,12 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sievewright.llm.quality import grade
+
+    return grade(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op6_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
     from sievewright.llm.lattice import near_duplicates
 
@@ -63,7 +77,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out("doc_id").alias("held_out"), "lang_pred", "score", "accepted")
 
 
-QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_packing, op4_simhash, op6_lattice, op7_token_counts, op8_mixing, op9_token_orc, op10_language_id)}
+QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_packing, op3_media, op4_simhash, op5_quality, op6_lattice, op7_token_counts, op8_mixing, op9_token_orc, op10_language_id)}
 
 def _oracle_sql() -> dict[str, str]:
     from sievewright.llm import line_dedup, mixing

@@ -10,45 +10,71 @@ table rows.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from operator import eq
 
 import numpy as np
 
 #: Which of the first 65,536 code points are letters.
 _LETTER = np.array([chr(i).isalpha() for i in range(65_536)])
+#: What the ``shape`` view shows of them: the kind of letter, digit or space, or the character itself.
+_SHAPE = np.array([65 if c.isupper() else 97 if c.isalpha() else 48 if c.isdigit() else 32 if c.isspace() else ord(c) for c in map(chr, range(65_536))], dtype=np.uint32)
 _MULTIPLY = np.array([2654435761, 2246822519, 3266489917, 668265263, 374761393], dtype=np.uint32)
 
 
-def code_points(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+def code_points(texts: list[str], lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
     """The characters of all texts, each framed by spaces, and the first place of each text."""
-    framed = [f" {t.lower()} " for t in texts]
+    framed = [f" {t.lower() if lower else t} " for t in texts]
     flat = np.frombuffer("".join(framed).encode("utf-32-le", "surrogatepass"), dtype="<u4")
     size = np.fromiter(map(len, framed), dtype=np.int64, count=len(framed))
     return flat, np.cumsum(size) - size
 
 
-def ngrams(flat: np.ndarray, n: int, buckets: int, letter: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(places, buckets) of the n-grams whose inner characters are letters; other characters count as spaces."""
-    count = len(flat) - n + 1
+def ngrams(plain: np.ndarray, n: int, buckets: int, inner: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+    """(places, buckets) of the n-grams of ``plain``; with ``inner``, of those whose inner characters it marks."""
+    count = len(plain) - n + 1
     if count <= 0:
         return np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64)
-    ok = letter[1 : 1 + count].copy()
-    for k in range(2, n - 1):
-        ok &= letter[k : k + count]
-    at = np.flatnonzero(ok)
-    plain = np.where(letter, flat, 32).astype(np.uint32)
-    h = np.full(len(at), n, dtype=np.uint32)
+    at = None
+    if inner is not None:
+        ok = inner[1 : 1 + count].copy()
+        for k in range(2, n - 1):
+            ok &= inner[k : k + count]
+        at = np.flatnonzero(ok)
+    h = np.full(count if at is None else len(at), n, dtype=np.uint32)
     for k in range(n):
-        h = (h ^ plain[at + k]) * _MULTIPLY[k % 5]
+        h = (h ^ (plain[k : k + count] if at is None else plain[at + k])) * _MULTIPLY[k % 5]
         h ^= h >> np.uint32(15)
-    return at, (h % np.uint32(buckets)).astype(np.int64)
+    return np.arange(count) if at is None else at, (h % np.uint32(buckets)).astype(np.int64)
 
 
-def features(texts: list[str], orders: tuple[int, ...], buckets: int) -> tuple[list[tuple[np.ndarray, np.ndarray]], np.ndarray, np.ndarray]:
-    """([(places, buckets) for each order], first place of each text, letters in each text)."""
-    flat, first = code_points(texts)
-    letter = _LETTER[np.minimum(flat, 65_535)] | (flat > 65_535)
+def features(texts: list[str], orders: tuple[int, ...], buckets: int, view: str = "letters") -> tuple[list[tuple[np.ndarray, np.ndarray]], np.ndarray, np.ndarray]:
+    """([(places, buckets) for each order], first place of each text, letters in each text).
+
+    The ``letters`` view reads lower-cased words and takes everything else for
+    spaces; the ``shape`` view reads kinds of characters, and takes all n-grams.
+    """
+    flat, first = code_points(texts, view == "letters")
+    low = np.minimum(flat, 65_535)
+    letter = _LETTER[low] | (flat > 65_535)
     letters = np.add.reduceat(letter, first, dtype=np.int64) if len(first) else np.empty(0, dtype=np.int64)
-    return [ngrams(flat, n, buckets, letter) for n in orders], first, letters
+    if view == "letters":
+        plain, inner = np.where(letter, flat, 32).astype(np.uint32), letter
+    else:
+        plain, inner = _SHAPE[low], None
+    grams = [ngrams(plain, n, buckets, inner) for n in orders]
+    if view == "shape":
+        grams.append(echoes(texts, first, buckets))
+    return grams, first, letters
+
+
+def echoes(texts: list[str], first: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """One feature, in the last bucket, for each word that repeats one of the two words before it."""
+    count = []
+    for t in texts:
+        w = t.split()
+        count.append(sum(map(eq, w, w[1:])) + sum(map(eq, w, w[2:])))
+    owner = np.repeat(np.arange(len(texts)), count)
+    return first[owner], np.full(len(owner), buckets - 1)
 
 
 @dataclass
@@ -59,12 +85,13 @@ class SubwordModel:
     table: np.ndarray
     bias: np.ndarray
     orders: tuple[int, ...]
+    view: str = "letters"
     temperature: float = 1.0
     reject_below: float = 0.5
 
     def logits(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Logits (texts x classes) and the number of letters of each text."""
-        grams, first, letters = features(texts, self.orders, len(self.table))
+        grams, first, letters = features(texts, self.orders, len(self.table), self.view)
         total, count = np.zeros((len(texts), len(self.classes))), np.zeros(len(texts))
         for at, bucket in grams:
             owner = np.searchsorted(first, at, "right") - 1
@@ -84,7 +111,7 @@ def softmax(z: np.ndarray) -> np.ndarray:
     return e / e.sum(axis=-1, keepdims=True)
 
 
-def train(texts: list[str], labels: list[str], orders: tuple[int, ...] = (3, 4), buckets: int = 1 << 16, dim: int = 16, epochs: int = 4, rate: float = 0.5, seed: int = 1, hold: float = 0.2) -> SubwordModel:
+def train(texts: list[str], labels: list[str], orders: tuple[int, ...] = (3, 4), buckets: int = 1 << 16, dim: int = 16, epochs: int = 4, rate: float = 0.5, seed: int = 1, hold: float = 0.2, view: str = "letters") -> SubwordModel:
     """Stochastic gradient descent over single texts, then temperature and rejection on the texts held back.
 
     The order of texts is shuffled with ``seed``, so equal input gives an equal model.
@@ -99,7 +126,7 @@ def train(texts: list[str], labels: list[str], orders: tuple[int, ...] = (3, 4),
     rows: dict[int, tuple[np.ndarray, np.ndarray]] = {}
     for i in order.tolist():
         if i not in back:
-            grams, _, _ = features([texts[i]], orders, buckets)
+            grams, _, _ = features([texts[i]], orders, buckets, view)
             ids, n = np.unique(np.concatenate([b for _, b in grams]), return_counts=True)
             if len(ids):
                 rows[i] = ids, (n / n.sum()).astype(np.float32)
@@ -118,7 +145,7 @@ def train(texts: list[str], labels: list[str], orders: tuple[int, ...] = (3, 4),
             # the average gives each bucket its share; the usual scaling by the share's size would starve long texts
             embed[ids] -= lr * np.outer(share * np.float32(min(len(ids), 50)), back_to)
             step += 1
-    model = SubwordModel(classes, (embed @ out.T).astype(np.float32), bias.astype(np.float64), orders)
+    model = SubwordModel(classes, (embed @ out.T).astype(np.float32), bias.astype(np.float64), orders, view)
     held = sorted(back)
     if held:
         calibrate(model, [texts[i] for i in held], y[held])
@@ -133,7 +160,7 @@ def calibrate(model: SubwordModel, texts: list[str], y: np.ndarray, lost: float
     """
     z = np.concatenate([model.logits(texts[i : i + 64])[0] for i in range(0, len(texts), 64)])
     loss = lambda t: -np.log(np.maximum(softmax(z / t)[np.arange(len(y)), y], 1e-12)).mean()
-    model.temperature = float(min(np.geomspace(0.05, 20, 60), key=loss))
+    model.temperature = float(min(np.geomspace(0.25, 4, 41), key=loss))
     p = softmax(z / model.temperature)
     right = p.max(axis=1)[p.argmax(axis=1) == y]
     if len(right):
