@@ -190,8 +190,10 @@ def mp4(b: memoryview, at: int) -> int:
         n, kind = struct.unpack_from(">I4s", b, p)
         if n == 1 and p + 16 <= len(b):
             (n,) = struct.unpack_from(">Q", b, p + 8)
-        if n < 8 or p + n > len(b) or kind not in (b"ftyp", b"moov", b"mdat", b"moof", b"free", b"skip", b"wide", b"meta", b"uuid", b"sidx", b"styp", b"mfra", b"pdin"):
+        if n < 8 or kind not in (b"ftyp", b"moov", b"mdat", b"moof", b"free", b"skip", b"wide", b"meta", b"uuid", b"sidx", b"styp", b"mfra", b"pdin"):
             break
+        if p + n > len(b):
+            return 0
         seen.append(kind)
         p += n
     return p - at if seen[:1] == [b"ftyp"] and {b"moov", b"mdat", b"meta"} & set(seen) else 0

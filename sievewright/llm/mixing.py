@@ -51,8 +51,9 @@ def targets(sources: DataFrame, weights: Sequence[int] = WEIGHTS, total: float =
     order = Window.orderBy(F.col("most") / F.col("weight"), F.col("source").asc_nulls_last())
     up_to = order.rowsBetween(Window.unboundedPreceding, -1)
     w = w.withColumn("level", (F.lit(float(total)) * F.sum("source_size").over(everything) - F.coalesce(F.sum("most").over(up_to), F.lit(0.0))) / (F.sum("weight").over(everything) - F.coalesce(F.sum("weight").over(up_to), F.lit(0.0))))
-    # in this order the first source that its level leaves below its cap sets the level for all after it
-    w = w.withColumn("water", F.min(F.when(F.col("level") <= F.col("most") / F.col("weight"), F.struct(F.col("most") / F.col("weight"), F.col("level").alias("level")))).over(everything)["level"])
+    # in this order the first source that its level leaves below its cap sets the level for all after it;
+    # of sources that reach their caps together, the first has the highest level
+    w = w.withColumn("water", -F.min(F.when(F.col("level") <= F.col("most") / F.col("weight"), F.struct(F.col("most") / F.col("weight"), (-F.col("level")).alias("below")))).over(everything)["below"])
     return w.select("source", "source_size", F.when(F.col("water").isNull(), F.col("most")).otherwise(F.least("most", F.col("water") * F.col("weight"))).alias("target"))
 
 
@@ -107,7 +108,7 @@ s AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),
 w AS (SELECT source, source_size, (CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 WHEN 0 THEN 5.0 WHEN 1 THEN 2.0 ELSE 1.0 END)::DOUBLE AS weight, 2.0::DOUBLE * source_size AS most FROM s),
 v AS (SELECT *, (1.5::DOUBLE * (sum(source_size) OVER ())::DOUBLE - coalesce(sum(most) OVER o, 0.0)) / (sum(weight) OVER () - coalesce(sum(weight) OVER o, 0.0)) AS level
       FROM w WINDOW o AS (ORDER BY most / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
-x AS (SELECT (SELECT level FROM v WHERE level <= most / weight ORDER BY most / weight, level LIMIT 1) AS water),
+x AS (SELECT (SELECT level FROM v WHERE level <= most / weight ORDER BY most / weight, level DESC LIMIT 1) AS water),
 t AS (SELECT source, source_size, CASE WHEN water IS NULL THEN most ELSE least(most, water * weight) END AS target,
              ('0x' || substr(md5('{SEED}/' || CASE WHEN source IS NULL THEN 'n' ELSE 's' || source END), 1, 6))::BIGINT::DOUBLE / 16777216.0::DOUBLE AS u FROM v, x),
 r AS (SELECT d.doc_id, d.size, t.source_size, t.target, t.u, CASE WHEN t.source_size > 0 THEN t.target / t.source_size ELSE 0.0 END AS e,
