@@ -57,10 +57,18 @@ def targets(sources: DataFrame, weights: Sequence[int] = WEIGHTS, total: float =
     return w.select("source", "source_size", F.when(F.col("water").isNull(), F.col("most")).otherwise(F.least("most", F.col("water") * F.col("weight"))).alias("target"))
 
 
-def offset_of(source: Column) -> Column:
+def _key(source: Column) -> Column:
+    """A source as a string that is never null."""
+    return F.when(source.isNull(), F.lit("n")).otherwise(F.concat(F.lit("s"), source))
+
+
+def _source(key: Column) -> Column:
+    return F.when(key != "n", F.substring(key, 2, 1 << 30))
+
+
+def offset_of(key: Column) -> Column:
     """The source's random offset in [0, 1): 24 bits of an md5; a null source has one too."""
-    key = F.concat(F.lit(SEED + "/"), F.when(source.isNull(), F.lit("n")).otherwise(F.concat(F.lit("s"), source)))
-    return F.conv(F.substring(F.md5(key), 1, 6), 16, 10).cast("double") / F.lit(16777216.0)
+    return F.conv(F.substring(F.md5(F.concat(F.lit(SEED + "/"), key)), 1, 6), 16, 10).cast("double") / F.lit(16777216.0)
 
 
 def mix(df: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", weights: Sequence[int] = WEIGHTS, total: float = TOTAL, cap: float = CAP, columns: Sequence[str] | None = None) -> DataFrame:
@@ -75,23 +83,23 @@ def mix(df: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_
     keep = list(columns if columns is not None else df.columns)
     size, source_size, target, copies = (fresh_name(df.select(*keep), x) for x in ("size", "source_size", "target", "copies"))
     mark = F.md5(F.concat(F.lit(SEED + "/"), F.coalesce(F.col(id_col).cast("string"), F.lit(""))))
-    rows = df.select(F.struct(*[F.col(c) for c in keep]).alias("row"), F.col(source_col).cast("string").alias("source"), word_count(F.col(text_col)).alias("size"), mark.alias("mark")).withColumn("part", F.substring("mark", 1, PREFIX))
+    rows = df.select(F.struct(*[F.col(c) for c in keep]).alias("row"), _key(F.col(source_col).cast("string")).alias("key"), word_count(F.col(text_col)).alias("size"), mark.alias("mark")).withColumn("part", F.substring("mark", 1, PREFIX))
 
-    groups, _ = cut(rows.groupBy("source", "size", "part").agg(F.count("*").alias("n")), "mix-counts")
-    by_size = groups.groupBy("source", "size").agg(F.sum("n").alias("n"))
+    groups, _ = cut(rows.groupBy("key", "size", "part").agg(F.count("*").alias("n")), "mix-counts")
+    by_size = groups.groupBy("key", "size").agg(F.sum("n").alias("n"))
     below = lambda w: F.coalesce(F.sum("n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    smaller = by_size.select("source", "size", below(Window.partitionBy("source").orderBy("size")).alias("smaller"))
-    goal = targets(by_size.groupBy("source").agg(F.sum(F.col("n") * F.col("size")).alias("source_size")), weights, total, cap)
-    places = groups.select("source", "size", "part", below(Window.partitionBy("source", "size").orderBy("part")).alias("earlier"))
-    s, g = smaller.withColumnsRenamed({"source": "source_s", "size": "size_s"}), goal.withColumnRenamed("source", "source_g")
-    places = places.join(s, F.col("source").eqNullSafe(F.col("source_s")) & (F.col("size") == F.col("size_s"))).join(g, F.col("source").eqNullSafe(F.col("source_g")))
-    places, _ = cut(places.select(F.col("source").alias("source_p"), F.col("size").alias("size_p"), F.col("part").alias("part_p"), (F.col("smaller") + F.col("earlier")).alias("before"), "source_size", "target"), "mix-places")
-
-    own = F.row_number().over(Window.partitionBy("source", "size", "part").orderBy("mark"))
-    ranked = rows.withColumn("own", own).join(places, F.col("source").eqNullSafe(F.col("source_p")) & (F.col("size") == F.col("size_p")) & (F.col("part") == F.col("part_p")))
+    smaller = by_size.select("key", "size", below(Window.partitionBy("key").orderBy("size")).alias("smaller"))
+    goal = targets(by_size.groupBy("key").agg(F.sum(F.col("n") * F.col("size")).alias("source_size")).select(_source(F.col("key")).alias("source"), "source_size"), weights, total, cap)
+    goal = goal.select(_key(F.col("source")).alias("key"), "source_size", "target")
+    places = groups.select("key", "size", "part", below(Window.partitionBy("key", "size").orderBy("part")).alias("earlier")).join(smaller, ["key", "size"]).join(goal, "key")
+    places, _ = cut(places.select("key", "size", "part", (F.col("smaller") + F.col("earlier")).alias("before"), "source_size", "target"), "mix-places")
+
+    # window and join ask for the same dealing, so the rows travel once
+    own = F.row_number().over(Window.partitionBy("key", "size", "part").orderBy("mark"))
+    ranked = rows.withColumn("own", own).join(places, ["key", "size", "part"])
     expected = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     rank = (F.col("before") + F.col("own")).cast("double")
-    crossed = lambda r: F.floor(offset_of(F.col("source")) + expected * r)
+    crossed = lambda r: F.floor(offset_of(F.col("key")) + expected * r)
     return ranked.select("row.*", F.col("size").alias(size), F.col("source_size").alias(source_size), F.col("target").alias(target), (crossed(rank) - crossed(rank - 1)).cast("long").alias(copies))
 
 
