@@ -137,7 +137,9 @@ def restore_manually(df: DataFrame, names: DataFrame) -> DataFrame:
 
     asked = names.select("filename").distinct()
     found = asked.join(df.withColumn("known_", F.lit(True)), "filename", "left")
-    manual = has(F.col("reject_reasons"), "manual")
+    found = found.withColumn("manual_", has(F.col("reject_reasons"), "manual"))
+    manual = F.col("manual_")
     after = F.when(manual, drop_reason(F.col("reject_reasons"), "manual")).otherwise(F.col("reject_reasons"))
     status = F.when(F.col("known_").isNull(), "missing").when(~manual, "not_manual").when(is_rejected(after), "still_rejected").otherwise("restored")
-    return found.withColumn("status", status).withColumn("reject_reasons", after).withColumn("rejected", F.when(F.col("known_").isNotNull(), F.when(manual, is_rejected(F.col("reject_reasons"))).otherwise(F.col("rejected")))).drop("known_")
+    out = found.withColumn("status", status).withColumn("reject_reasons", after)
+    return out.withColumn("rejected", F.when(manual, is_rejected(F.col("reject_reasons"))).otherwise(F.col("rejected"))).drop("known_", "manual_")

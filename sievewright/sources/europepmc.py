@@ -73,7 +73,9 @@ def figures_to_records(rows: DataFrame, klass: Column, query: Column) -> DataFra
     named = F.when(F.regexp_like(safe, F.lit(r"(?i)\.(jpg|jpeg|png)$")), safe).otherwise(F.concat(safe, F.lit(".jpg")))
     authors, journal = F.trim(F.coalesce("authorString", F.lit(""))), F.trim(F.coalesce("journalTitle", F.lit("")))
     archive = F.concat(F.lit(f"{ENDPOINT}/"), "pmcid", F.lit("/supplementaryFiles"))
+    own = [c for c in ("query", "seq") if c in rows.columns]
     return rows.select(
+        *own,
         F.concat(F.lit("epmc_"), F.lower("pmcid"), F.lit("_"), named).alias("filename"),
         F.lit("europepmc").alias("source"),
         F.col("pmcid").alias("source_id"),

@@ -24,7 +24,6 @@ PHOTO = "id string, title string, owner string, ownername string, license string
 def photos_to_records(photos: DataFrame, photo: str, klass: Column, query: Column) -> DataFrame:
     """Record fields of raw photos (JSON): the largest size there is; photos without one, or known to be small, go."""
     p = lambda c: F.col(f"p_.{c}")
-    url = none_if_empty(F.col("p_.url_o"))
     number = lambda c: F.nullif(F.expr(f"coalesce(try_cast(p_.{c} as int), 0)"), F.lit(0))
     width = height = None
     for s in SIZES:
@@ -38,7 +37,9 @@ def photos_to_records(photos: DataFrame, photo: str, klass: Column, query: Colum
     for k, v in reversed(LICENSE_NAMES.items()):
         name = F.when(p("license") == k, v).otherwise(name)
     id_ = F.coalesce(p("id"), F.lit(""))
+    own = [c for c in ("query", "seq") if c in photos.columns]
     return rows.where(F.col("u_").isNotNull() & ~small).select(
+        *own,
         F.concat(F.lit("flickr_"), id_, F.lit(".jpg")).alias("filename"),
         F.lit("flickr").alias("source"),
         id_.alias("source_id"),

@@ -1,0 +1,51 @@
+"""Incremental discovery over streams: candidates once each, and the manifest kept by micro-batches."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from sievewright.operators import manifest
+from sievewright.operators.discovery import candidate_status
+
+
+def first_seen(stream: DataFrame, key: str = "download_url", time: str | None = None, late: str = "1 hour") -> DataFrame:
+    """Each key once.  With an event time, the state of a key is dropped ``late`` after it."""
+    if time is None:
+        return stream.dropDuplicates([key])
+    return stream.withWatermark(time, late).dropDuplicatesWithinWatermark([key])
+
+
+def counts_by_window(stream: DataFrame, time: str, name: str, width: str = "10 minutes", late: str = "1 hour") -> DataFrame:
+    """(window start, name, n) of a stream's rows, late ones within ``late`` included."""
+    return stream.withWatermark(time, late).groupBy(F.window(time, width), name).agg(F.count("*").alias("n")).select(F.col("window.start").alias("start"), name, "n")
+
+
+def upsert_batches(stream: DataFrame, path: str, order: str, checkpoint: str):
+    """Keep a Parquet manifest: each batch's accepted candidates are upserted into a new version beside the old.
+
+    Versions are named by batch, so a batch that runs twice writes the same one; the
+    reader takes the last (:func:`current`).
+    """
+    spark = stream.sparkSession
+
+    def step(batch: DataFrame, number: int) -> None:
+        old = current(spark, path, before=number)
+        known = old if old is not None else batch.limit(0)
+        ok = candidate_status(batch, known, order).where("status = 'accepted'").drop("status")
+        new = manifest.latest(ok, "filename", -F.col(order))
+        (new if old is None else manifest.upsert(old, new.select(*old.columns))).write.mode("overwrite").parquet(f"{path}/batch={number:012d}")
+
+    return stream.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint)
+
+
+def current(spark, path: str, before: int | None = None) -> DataFrame | None:
+    """The last complete version of the manifest (before a batch, if one is named); None if there is none."""
+    jvm = spark.sparkContext._jvm
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    fs = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(at):
+        return None
+    names = sorted(s.getPath().getName() for s in fs.listStatus(at) if s.getPath().getName().startswith("batch=") and fs.exists(jvm.org.apache.hadoop.fs.Path(s.getPath(), "_SUCCESS")))
+    names = [n for n in names if before is None or int(n[6:]) < before]
+    return spark.read.parquet(f"{path}/{names[-1]}") if names else None

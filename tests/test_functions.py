@@ -1,0 +1,127 @@
+import pytest
+from pyspark.sql import functions as F
+
+from sievewright.functions import bits, licenses, text, verdicts
+from sievewright.schema import Thresholds
+
+
+def one(spark, value, kind, *columns):
+    return spark.createDataFrame([(value,)], f"x {kind}").select(*columns).first()
+
+
+ALLOWED = ["CC0", "cc0 1.0", "CC BY 4.0", "cc by", "CC BY-SA 3.0", "CC BY-SA 4.0", "Public domain", "PD-USGov", "No restrictions", "  cc BY 2.0 ", "Dominio público (Flickr Commons)"]
+DENIED = ["cc by-nc", "cc by-nc-nd", "CC BY-NC-SA 4.0", "CC BY-ND 4.0", "cc-by-nc-nd/4.0", "noncommercial", "All rights reserved", "Fair use", "Copyright held by author", "GFDL", "Copyrighted free use", None, "", "UNKNOWN", " nc"]
+
+
+def test_license_policy(spark):
+    df = spark.createDataFrame([(x,) for x in ALLOWED + DENIED], "x string").select("x", licenses.is_allowed(F.col("x")).alias("ok"), licenses.explain(F.col("x")).alias("why"))
+    rows = df.collect()
+    assert [r.ok for r in rows] == [True] * len(ALLOWED) + [False] * len(DENIED)
+    why = {r.x: r.why for r in rows}
+    assert why["cc by-nc-nd"] == "cláusula no admitida (-nc)" and why["CC BY-ND 4.0"] == "cláusula no admitida (-nd)"
+    assert why["GFDL"] == "licencia no reconocida como libre" and why["CC0"] == "admitida" and why[None] == why["UNKNOWN"] == "sin licencia identificada"
+
+
+def test_policy_on_reasons_is_reversible_and_idempotent(spark):
+    df = spark.createDataFrame([("GFDL", ["manual"]), ("CC0", ["license_denied", "blurry"]), ("CC0", None)], "l string, r array<string>")
+    once = licenses.apply_policy(F.col("l"), F.col("r"))
+    rows = df.select(once, licenses.apply_policy(F.col("l"), once)).collect()
+    assert [r[0] for r in rows] == [["manual", "license_denied"], ["blurry"], []] and all(r[0] == r[1] for r in rows)
+
+
+def test_add_and_drop(spark):
+    r = one(spark, ["a"], "array<string>", verdicts.add_reason(F.col("x"), "b"), verdicts.add_reason(F.col("x"), "a"), verdicts.drop_reason(F.col("x"), "a"), verdicts.is_rejected(F.col("x")))
+    assert list(r) == [["a", "b"], ["a"], [], True]
+    assert verdict(one(spark, None, "array<string>", verdicts.add_reason(F.col("x"), "b"), verdicts.is_rejected(F.col("x")))) == [["b"], False]
+
+
+def verdict(row):
+    return list(row)
+
+
+@pytest.mark.parametrize(
+    "metrics,reasons,want,panoramic",
+    [
+        ((900, 700, "RGB", 100.0, 60.0, 0.1, 0.1, 99.0), [], ["too_small"], False),
+        ((1600, 1024, "RGB", 100.0, 60.0, 0.1, 0.1, 99.0), [], [], False),
+        ((3600, 1200, "RGB", 100.0, 60.0, 0.1, 0.1, 99.0), ["extreme_aspect", "manual"], ["manual"], True),
+        ((6000, 1100, "RGB", 100.0, 60.0, 0.1, 0.1, 99.0), [], ["extreme_aspect"], False),
+        ((2000, 1500, "RGB", 20.0, 5.0, 0.1, 0.1, 99.0), ["too_small", "duplicate"], ["duplicate", "studio_background"], False),
+        ((2000, 1500, "RGB", 230.0, 5.0, 0.1, 0.1, 10.0), [], ["studio_background", "blurry"], False),
+        ((2000, 1500, "RGB", 100.0, 60.0, 0.41, 0.1, 40.0), [], ["studio_background"], False),
+    ],
+)
+def test_pixel_verdicts(spark, metrics, reasons, want, panoramic):
+    df = spark.createDataFrame([(metrics, reasons)], "m struct<width:int,height:int,mode:string,border_mean:double,border_std:double,dark_frac:double,light_frac:double,sharpness:double>, r array<string>")
+    row = df.select(verdicts.filter_reasons(F.col("r"), F.col("m")), verdicts.is_panoramic(F.col("m"))).first()
+    assert list(row) == [want, panoramic]
+
+
+def test_thresholds_and_notes(spark):
+    t = Thresholds().override(min_short_side=640, min_sharpness=0.0)
+    assert (t.min_short_side, t.min_sharpness) == (640, 0.0) and Thresholds().override(0, None) == Thresholds()
+    note = F.array().cast("array<string>")
+    row = one(spark, "RGBA", "string", verdicts.mode_note(note, F.col("x")), verdicts.mode_note(verdicts.mode_note(note, F.col("x")), F.col("x")))
+    assert row[0] == row[1] == ["convertir a RGB (mode=RGBA)"]
+    assert one(spark, "L", "string", verdicts.mode_note(note, F.col("x")))[0] == []
+
+
+def test_resize_and_sides(spark):
+    rows = [(800, 700, ["too_small", "blurry"], 640, ["blurry"]), (800, 600, ["blurry"], 640, ["blurry", "too_small"]), (None, 700, ["too_small"], 640, ["too_small"]), (0, 700, [], 640, [])]
+    df = spark.createDataFrame([r[:3] for r in rows], "w int, h int, r array<string>")
+    got = df.select(verdicts.resize_reasons(F.col("r"), F.col("w"), F.col("h"), 640), verdicts.aspect(F.col("w"), F.col("h"))).collect()
+    assert [g[0] for g in got] == [r[4] for r in rows] and got[3][1] is None
+
+
+@pytest.mark.parametrize(
+    "value,want",
+    [("<b>A</b>  b\n<i>c</i>", "A b c"), ("<p> </p>", None), ("", None), (None, None), ("a &amp; b", "a &amp; b")],
+)
+def test_html_strip(spark, value, want):
+    assert one(spark, value, "string", text.html_strip(F.col("x")))[0] == want
+
+
+@pytest.mark.parametrize("value,want", [("Cañón, Spain (2).JPG", "cañón_spain_2_.jpg"), ("__a b__", "a_b"), ("博物館 x.png", "博物館_x.png")])
+def test_safe_filename(spark, value, want):
+    assert one(spark, value, "string", text.safe_filename(F.col("x")))[0] == want
+
+
+@pytest.mark.parametrize("value,suffix,stem", [("a.b.JPG", ".jpg", "a.b"), ("noext", "", "noext"), (".hidden", "", ".hidden"), ("dir.x/name.png", ".png", "name")])
+def test_path_parts(spark, value, suffix, stem):
+    assert list(one(spark, value, "string", text.suffix(F.col("x")), text.stem(F.col("x")))) == [suffix, stem]
+
+
+def test_clean_and_first_sentence(spark):
+    got = one(spark, "DSC_0421 Own work: layered cliff, at 12:30 (Nikon) https://x.y/z. Second part here.", "string", text.clean(F.col("x")), text.first_sentence(text.clean(F.col("x"))))
+    assert "DSC" not in got[0] and "https" not in got[0] and "12:30" not in got[0] and "nikon" not in got[0].lower()
+    assert got[1] == "layered cliff, at" or got[1].startswith("layered cliff")
+    long = " ".join(["word"] * 40)
+    for value, want in ((long, None), ("single", None), (None, None), ("Two words.", "two words"), ("a b. c d", "a b")):
+        assert one(spark, value, "string", text.first_sentence(text.clean(F.col("x"))))[0] == want
+
+
+def test_caption(spark):
+    words = text.CaptionWords("trig", "syn")
+    df = spark.createDataFrame([("01_real_estratos", ["Sandstone cliffs", "Cross-bedding"], "Layered rock at dusk. More.", 60.0, False), ("04_synth_plastiglomerado", [], None, 8.0, True), ("_unclassified", None, "x", None, False)], "k string, c array<string>, d string, s double, p boolean")
+    got = [r[0] for r in df.select(text.caption(*[F.col(x) for x in "kcdsp"], words)).collect()]
+    assert got == [
+        "trig, sedimentary strata, sandstone, cross-bedded, horizontal bedding, cliff face, layered rock at dusk, close detail",
+        "trig, syn, plastiglomerate, desaturated grey tones, wide panoramic section",
+        "trig, close detail",
+    ]
+
+
+def test_distinct_parts_and_escape(spark):
+    got = one(spark, ["A", None, " ", "a", " B ", "b", "A "], "array<string>", text.distinct_parts(F.col("x")))[0]
+    assert got == ["A", "B"]
+    assert one(spark, "<a href=\"x\">'&", "string", text.html_escape(F.col("x")))[0] == "&lt;a href=&quot;x&quot;&gt;&#x27;&amp;"
+
+
+def test_bits(spark):
+    df = spark.createDataFrame([("ffffffffffffffff", "fffffffffffffffe"), ("0000000000000000", "ffffffffffffffff"), (None, "00"), ("", "0f")], "a string, b string")
+    rows = df.select(bits.hamming(bits.from_hex(F.col("a")), bits.from_hex(F.col("b"))), bits.hamming_within(bits.from_hex(F.col("a")), bits.from_hex(F.col("b")), 5)).collect()
+    assert [tuple(r) for r in rows] == [(1, True), (64, False), (None, False), (None, False)]
+    for radius in (0, 1, 5, 20, 63):
+        cuts = bits.band_cuts(radius)
+        assert len(cuts) == radius + 1 and sum(w for _, w in cuts) == 64
+    assert one(spark, -1, "long", F.size(bits.band_keys(F.col("x"), 0)))[0] == 1
