@@ -170,7 +170,7 @@ def _links(classes: DataFrame, hasher: LatticeHash, threshold: float, block: int
     return dealt.mapInArrow(compare, "a long, b long, n long")
 
 
-def near_duplicates(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label", threshold: float = 0.98, plan: tuple | None = None, wanted: int = 4096, block: int = 2048) -> DataFrame:
+def near_duplicates(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label", threshold: float = 0.98, plan: tuple | None = None, wanted: int = 4096, block: int = 512) -> DataFrame:
     """(vec_id, n_links, component_id, kept) for each row.
 
     Rows link if their labels are equal and not null and the cosine of their
