@@ -51,7 +51,7 @@ def write_tokens(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str
 
     slim = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     dealt = slim.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-    options = {"orc.bloom.filter.columns": "doc_id", "orc.bloom.filter.fpp": str(fpp), "orc.create.index": "true", "orc.row.index.stride": str(row_stride), "orc.stripe.size": str(stripe_mb << 20), "orc.compress": "ZSTD"}
+    options = {"orc.bloom.filter.columns": "doc_id", "orc.bloom.filter.fpp": str(fpp), "orc.create.index": "true", "orc.row.index.stride": str(row_stride), "orc.stripe.size": str(stripe_mb << 20), "orc.compress": "SNAPPY"}
     dealt.mapInArrow(encode, FILE_SCHEMA).write.format("orc").options(**options).save(path)
     return path
 

@@ -21,9 +21,12 @@ import numpy as np
 
 DEFAULT_TOKENIZER = "byte_bpe_50k.json"
 
-#: The library's pattern, with the commonest case first: no other alternative can start where it does.
-_PIECE = re.compile(r" ?[^\W\d_]+|'s|'t|'re|'ve|'m|'ll|'d| ?\d+| ?(?:[^\w\s]|_)+|\s+(?!\S)|\s+")
-#: Where \w, \d and \s may differ between the two libraries; such texts go whole.
+#: Letters up to U+024F; splittable texts have no others (see _ODD).
+_L = "A-Za-zªµºÀ-ÖØ-öø-ɏ"
+#: The library's pattern over such texts, with the commonest case first: no other alternative can start where it does.
+_PIECE = re.compile(rf" ?[{_L}]+|'(?:[stmd]|re|ve|ll)| ?[0-9]+| ?[^\s{_L}0-9]+|\s+(?!\S)|\s+")
+#: Where \w, \d and \s may differ between the two libraries; such texts go whole.  In ASCII these are few.
+_ODD_ASCII = ("\x1c", "\x1d", "\x1e", "\x1f")
 _ODD = re.compile("[^\x00-\x1b\x20-\xb1\xb4-\xb8\xba\xbb\xbf-ɏ‐-‧€]")
 
 
@@ -74,7 +77,7 @@ class PieceEncoder:
         return True
 
     def _learn(self, pieces: set[str]) -> None:
-        new = [w for w in pieces if w not in self.known]
+        new = list(pieces.difference(self.known))
         if len(self.known) + len(new) > self.capacity:
             self.known = {w: v for w, v in self.known.items() if len(w) <= 7 or w in pieces}  # the short ones are the common ones
             if len(self.known) + len(new) > self.capacity:
@@ -93,11 +96,13 @@ class PieceEncoder:
                 self.known[w] = self._value(e)
 
     def _splits(self, text: str) -> bool:
-        return self.split and not _ODD.search(text) and not any(t in text for t in self.added)
+        if not self.split or any(t in text for t in self.added):
+            return False
+        return not any(c in text for c in _ODD_ASCII) if text.isascii() else not _ODD.search(text)
 
     def _pieces(self, texts: list[str]) -> list[list[str] | None]:
         pieces = [_PIECE.findall(t) if self._splits(t) else None for t in texts]
-        self._learn({w for p in pieces if p for w in p})
+        self._learn(set().union(*[p for p in pieces if p]))
         return pieces
 
     def ids(self, texts: list[str]) -> list[bytes]:
