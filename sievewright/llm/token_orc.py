@@ -1,12 +1,13 @@
 """Token ids in ORC files (operator 9).
 
-Documents are dealt by ranges of their id and sorted, encoded after that (so the
-shuffle carries text, not ids), and each task writes its range: one *shard*.  ORC
-run-length encodes the integers, keeps a row index with minima and maxima for
-every ``row_stride`` rows and a Bloom filter on the id, so a lookup reads few
-stripes and large files are read stripe by stripe in parallel.  A row also tells
-how many ids stand before it in its shard; the starts over all shards follow from
-one sum per shard, read from those narrow columns alone.
+Documents are dealt to *shards*, ranges of their id whose bounds come from a scan
+of the id column alone, and encoded after that: the shuffle carries text, not ids,
+and texts are read once.  Each shard is a folder in ascending order, its rows
+ascend too.  ORC run-length encodes the integers, keeps a row index with minima and
+maxima for every ``row_stride`` rows and a Bloom filter on the id, so a lookup
+reads few stripes and large files are read stripe by stripe in parallel.  A row
+also tells how many ids stand before it in its shard; the starts over all shards
+follow from one sum per shard, read from those narrow columns alone.
 """
 
 from __future__ import annotations
@@ -16,13 +17,40 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sievewright.llm.common import scratch_path
 from sievewright.llm.tokens import encoder, text_slices, tokenizer_path
 
-FILE_SCHEMA = "doc_id long, shard int, shard_start long, n_tokens int, ids array<int>"
+FILE_SCHEMA = "doc_id long, shard_start long, n_tokens int, ids array<int>, shard int"
+#: Bytes of input for a shard, about.
+SHARD_BYTES = 256 << 20
+
+
+def shard_bounds(df: DataFrame, id_col: str) -> list[int]:
+    """Ascending ids that cut the rows into about even shards; only the id column is read.
+
+    There are as many shards as shuffle partitions, or more so that none gets much
+    over ``SHARD_BYTES``.
+    """
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    known = size if size < 1 << 62 else 0  # plans without files have no size
+    n = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), min(known // SHARD_BYTES, 1_000_000))
+    cuts = F.percentile_approx(F.col(id_col).cast("long"), [k / n for k in range(1, n)] or [0.5], max(10_000, 20 * n))
+    return sorted(set(df.agg(cuts.alias("cuts")).first()["cuts"] or []))
+
+
+def shard_of(key: Column, bounds: list[int]) -> Column:
+    """How many bounds are below ``key`` (null: none), by two searches over the square root of their number."""
+    if not bounds:
+        return F.lit(0)
+    step = max(1, int(len(bounds) ** 0.5))
+    chunks = [bounds[i : i + step] for i in range(0, len(bounds), step)]
+    ends = F.lit([c[-1] for c in chunks])
+    coarse = F.size(F.filter(ends, lambda b: b < key))
+    fine = F.size(F.filter(F.try_element_at(F.lit([c + [c[-1]] * (step - len(c)) for c in chunks]), F.least(coarse + 1, F.lit(len(chunks)))), lambda b: b < key))
+    return F.when(key.isNull(), 0).otherwise(F.when(coarse == len(chunks), len(bounds)).otherwise(coarse * step + fine)).cast("int")
 
 
 def write_tokens(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = 2, tokenizer: str | None = None, stripe_mb: int = 64, row_stride: int = 5000, fpp: float = 0.01) -> str:
@@ -34,25 +62,28 @@ def write_tokens(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str
     """
     vocabulary = tokenizer or tokenizer_path()
     end = np.array([end_id], dtype="<u4").tobytes()
-    schema = pa.schema([("doc_id", pa.int64()), ("shard", pa.int32()), ("shard_start", pa.int64()), ("n_tokens", pa.int32()), ("ids", pa.list_(pa.int32()))])
+    schema = pa.schema([("doc_id", pa.int64()), ("shard_start", pa.int64()), ("n_tokens", pa.int32()), ("ids", pa.list_(pa.int32())), ("shard", pa.int32())])
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
-
-        shard, before, own = TaskContext.get().partitionId(), 0, encoder(vocabulary)
+        own, last, before = encoder(vocabulary), None, 0
         for batch in batches:
             for at, texts in text_slices(batch.column(1)):
                 raw = [x + end for x in own.ids(texts)]
+                shard = batch.column(2).slice(at, len(raw))
                 n = np.fromiter(map(len, raw), dtype=np.int64, count=len(raw)) // 4
                 edges = np.concatenate(([0], np.cumsum(n)))
                 ids = pa.ListArray.from_arrays(pa.array(edges, pa.int32()), pa.Array.from_buffers(pa.int32(), int(edges[-1]), [None, pa.py_buffer(b"".join(raw))]))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(texts)), pa.array(np.full(len(raw), shard), pa.int32()), pa.array(before + edges[:-1], pa.int64()), pa.array(n, pa.int32()), ids], schema=schema)
-                before += int(edges[-1])
-
-    slim = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    dealt = slim.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+                of = shard.to_numpy()
+                first = np.searchsorted(of, of)  # the first row of each row's shard in this slice
+                start = edges[:-1] - edges[first] + np.where(of == last, before, 0)
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(texts)), pa.array(start), pa.array(n, pa.int32()), ids, shard], schema=schema)
+                last, before = of[-1], int(start[-1] + n[-1])
+
+    key = F.col(id_col).cast("long")
+    slim = df.select(key.alias("doc_id"), F.col(text_col).cast("string").alias("text"), shard_of(key, shard_bounds(df, id_col)).alias("shard"))
+    dealt = slim.repartition("shard").sortWithinPartitions("shard", "doc_id", "text")
     options = {"orc.bloom.filter.columns": "doc_id", "orc.bloom.filter.fpp": str(fpp), "orc.create.index": "true", "orc.row.index.stride": str(row_stride), "orc.stripe.size": str(stripe_mb << 20), "orc.compress": "SNAPPY"}
-    dealt.mapInArrow(encode, FILE_SCHEMA).write.format("orc").options(**options).save(path)
+    dealt.mapInArrow(encode, FILE_SCHEMA).write.partitionBy("shard").format("orc").options(**options).save(path)
     return path
 
 

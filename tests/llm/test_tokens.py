@@ -116,9 +116,9 @@ def test_orc_round_trip(spark, tmp_path):
         want = np.array(library([t or ""])[0].ids + [2], dtype="<u4")
         assert (got[k].start, got[k].n_tokens, got[k].ids_crc32) == (at, len(want), zlib.crc32(want.tobytes()))
         at += len(want)
-    files = [f for f in (tmp_path / "t").iterdir() if f.suffix == ".orc"]
+    files = sorted((tmp_path / "t").glob("shard=*/*.orc"))
     assert files and all(orc.ORCFile(str(f)).compression.lower() != "uncompressed" for f in files)
-    assert all(orc.ORCFile(str(f)).schema.names == ["doc_id", "shard", "shard_start", "n_tokens", "ids"] for f in files)
+    assert all(orc.ORCFile(str(f)).schema.names == ["doc_id", "shard_start", "n_tokens", "ids"] for f in files)
     # a Bloom filter costs bytes in the row index
     bare = O.read_tokens(spark, path).coalesce(1)
     bare.write.option("orc.compress", "ZSTD").orc(str(tmp_path / "bare"))
@@ -128,6 +128,33 @@ def test_orc_round_trip(spark, tmp_path):
     assert O.round_trip(df.limit(0)).count() == 0
 
 
+def test_shards_ascend(spark, tmp_path):
+    import random
+
+    ids = list(range(0, 3000, 3))
+    random.Random(1).shuffle(ids)
+    df = spark.createDataFrame([(i, f"t {i}") for i in ids], "doc_id long, text string").repartition(5)
+    rows = O.read_tokens(spark, O.write_tokens(df, str(tmp_path / "s"))).groupBy("shard").agg({"doc_id": "min", "*": "count"}).orderBy("shard").collect()
+    assert len(rows) > 2 and [r[1] for r in rows] == sorted(r[1] for r in rows)
+    start = {r.doc_id: (r.start, r.n_tokens) for r in O.token_index(spark, str(tmp_path / "s")).collect()}
+    at = 0
+    for i in sorted(ids):
+        assert start[i][0] == at
+        at += start[i][1]
+
+
+@pytest.mark.parametrize("n", [0, 1, 2, 9, 10, 50])
+def test_shard_search(spark, n):
+    from bisect import bisect_left
+
+    from pyspark.sql import functions as F
+
+    bounds = sorted({(k * k * 7) % 211 for k in range(n)})
+    got = spark.range(-3, 220).select("id", O.shard_of(F.col("id"), bounds)).collect()
+    assert all(r[1] == bisect_left(bounds, r[0]) for r in got)
+    assert spark.sql("select cast(null as long) x").select(O.shard_of(F.col("x"), bounds)).first()[0] == 0
+
+
 @pytest.mark.parametrize("rule", C.RULES)
 @pytest.mark.parametrize("by_line", [True, False])
 def test_attribution_against_plain_code(spark, rule, by_line):
