@@ -26,6 +26,8 @@ from sievewright.llm.tokens import text_slices
 
 #: Bounds of a level's strength, in documents.
 STRENGTH = (1.0, 1000.0)
+#: A text of so many letters counts half its evidence: an average over few n-grams is a rough one.
+HALF_LETTERS = 64
 #: Classifier probabilities stay this far from 0 and 1, so that a single text never outweighs everything.
 EDGE = 1e-4
 
@@ -63,7 +65,10 @@ def logit(p: Column) -> Column:
 
 
 def evidence(df: DataFrame, model: SubwordModel | None, id_col: str, text_col: str, site: Column, path: Column) -> DataFrame:
-    """(doc_id, site, path, p): the classifier's probability that the whole text is good; a half without a model or letters."""
+    """(doc_id, site, path, p): the probability that the whole text is good, short texts drawn towards a half.
+
+    A half without a model; near 0 for a text without letters.
+    """
     shared = df.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -73,7 +78,9 @@ def evidence(df: DataFrame, model: SubwordModel | None, id_col: str, text_col: s
                 p = np.full(len(texts), 0.5)
                 if own is not None and "1" in own.classes:
                     probability, letters = own.probabilities(texts)
-                    p = np.where(letters > 0, np.clip(probability[:, own.classes.index("1")], EDGE, 1 - EDGE), EDGE)
+                    p = np.clip(probability[:, own.classes.index("1")], EDGE, 1 - EDGE)
+                    z = np.log(p / (1 - p)) * letters / (letters + HALF_LETTERS)
+                    p = np.where(letters > 0, 1 / (1 + np.exp(-z)), EDGE)
                 yield pa.RecordBatch.from_arrays([*(batch.column(i).slice(at, len(texts)) for i in range(3)), pa.array(p)], ["doc_id", "site", "path", "p"])
 
     slim = df.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(site.cast("string"), F.lit("")).alias("site"), F.coalesce(path.cast("string"), F.lit("")).alias("path"), F.col(text_col).cast("string").alias("text"))

@@ -152,11 +152,11 @@ def train(texts: list[str], labels: list[str], orders: tuple[int, ...] = (3, 4),
     return model
 
 
-def calibrate(model: SubwordModel, texts: list[str], y: np.ndarray, lost: float = 0.001) -> None:
+def calibrate(model: SubwordModel, texts: list[str], y: np.ndarray, lost: float = 0.0005, above: float = 0.09) -> None:
     """Set the temperature of least log loss, and the score below which to reject.
 
-    The rejection score is 0.5 (no class is likelier than all others together), or
-    less if more than the share ``lost`` of right predictions would fall below it.
+    The rejection score lies ``above`` of the way from chance to certainty, or lower
+    if more than the share ``lost`` of right predictions would fall below it.
     """
     z = np.concatenate([model.logits(texts[i : i + 64])[0] for i in range(0, len(texts), 64)])
     loss = lambda t: -np.log(np.maximum(softmax(z / t)[np.arange(len(y)), y], 1e-12)).mean()
@@ -164,4 +164,5 @@ def calibrate(model: SubwordModel, texts: list[str], y: np.ndarray, lost: float
     p = softmax(z / model.temperature)
     right = p.max(axis=1)[p.argmax(axis=1) == y]
     if len(right):
-        model.reject_below = float(min(0.5, np.quantile(right, lost)))
+        chance = 1 / len(model.classes)
+        model.reject_below = float(min(chance + above * (1 - chance), np.quantile(right, lost)))
