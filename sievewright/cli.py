@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import argparse
+import os
 import sys
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sievewright.operators import manifest, tree
+from sievewright.operators import manifest, pixels, tree
 from sievewright.plans import commands, config
 from sievewright.schema import CLASSES, Thresholds
 from sievewright.scratch import written
@@ -29,7 +30,7 @@ def parser() -> argparse.ArgumentParser:
     number, flag = {"type": int}, {"action": "store_true"}
     add("audit", (("--path",), {}), (("--min-short-side",), number), (("--min-sharpness",), {"type": float}), (("--write-manifest",), flag))
     add("ingest", (("--source",), {"required": True}), (("--source-name",), {"default": "local"}))
-    add("recover", (("--dry-run",), flag), (("--limit",), number | {"default": 600}), (("--category",), {"action": "append"}), (("--candidates",), {"help": "Parquet of candidates with their hashes"}))
+    add("recover", (("--dry-run",), flag), (("--limit",), number | {"default": 600}), (("--category",), {"action": "append"}), (("--candidates",), {"help": "Parquet of candidates with their hashes"}), (("--thumbs",), {"default": "dataset/thumbs", "help": "folder for thumbnails of candidates that are listed now"}))
     add("fetch", (("--source",), {"action": "append"}), (("--klass",), {"choices": CLASSES}), (("--limit",), number | {"default": 100}), (("--dry-run",), flag), (("--allow-unknown-license",), flag))
     add("refilter", (("--min-short-side",), number | {"required": True}), (("--klass",), {"choices": CLASSES}))
     add("relicense")
@@ -68,9 +69,13 @@ def run(spark: SparkSession, argv: list[str]) -> commands.Outcome:
             with open(f"{a.source}/{row['name']}", "rb") as f:
                 tree.put(f"{a.images}/{row['name']}", f.read())
     elif a.command == "recover":
-        candidates = spark.read.parquet(a.candidates)
-        if a.category:
-            candidates = candidates.where(F.col("category").isin(a.category))
+        if a.candidates:
+            candidates = spark.read.parquet(a.candidates)
+            if a.category:
+                candidates = candidates.where(F.col("category").isin(a.category))
+        else:
+            wanted = a.category or list(dict.fromkeys(c for group in (settings.get("wikimedia_categories") or {}).values() for c in group or []))
+            candidates = commands.list_candidates(spark, wanted, a.thumbs, a.limit)
         out = commands.recover(spark, records, candidates)
     elif a.command == "fetch":
         out = commands.fetch(spark, records, a.source or ["wikimedia"], _queries(settings, a.klass), a.limit, a.allow_unknown_license)
@@ -88,7 +93,10 @@ def run(spark: SparkSession, argv: list[str]) -> commands.Outcome:
         out = commands.caption(records, a.overwrite)
     elif a.command == "sheet":
         shown = records.where("rejected") if a.only_rejected else records
-        tree.write_sheet(shown.where(F.col("klass") == a.klass) if a.klass else shown, a.out, a.title)
+        shown = shown.where(F.col("klass") == a.klass) if a.klass else shown
+        thumbs = pixels.thumb_uris(spark, a.images).select(F.col("name").alias("filename"), "uri") if os.path.isdir(a.images) else None
+        with_uri = shown.join(thumbs, "filename", "left") if thumbs is not None else shown.withColumn("uri", F.lit(None).cast("string"))
+        tree.write_sheet(with_uri, a.out, a.title, F.col("uri"))
         out = commands.Outcome()
     elif a.command == "export":
         out = commands.export_tree(spark, records, a.images)

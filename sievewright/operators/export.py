@@ -62,6 +62,7 @@ def csv_line(*cols: Column) -> Column:
 def attribution_lines(df: DataFrame) -> DataFrame:
     """(source, filename, line): active rows with a title, as list items of a credits page."""
     rows = df.where(~F.col("rejected") & (F.coalesce("origin_title", F.lit("")) != ""))
+    # The form of a credit line.
     by, at = none_if_empty(F.col("attribution")), none_if_empty(F.col("origin_url"))
     line = F.concat_ws(" ", F.concat(F.lit("- **"), F.col("filename"), F.lit("** — "), F.col("origin_title")), F.concat(F.lit("por "), by), F.concat(F.lit("("), F.col("license"), F.lit(")")), F.concat(F.lit("<"), at, F.lit(">")))
     return rows.select("source", "filename", line.alias("line")).orderBy("source", "filename")
@@ -69,6 +70,7 @@ def attribution_lines(df: DataFrame) -> DataFrame:
 
 def sheet_rows(df: DataFrame, image: Column | None = None) -> DataFrame:
     """(filename, css, figure): each record as a figure of the contact sheet; ``image`` is a data URI."""
+    # The sheet's mark-up and its words.
     css = F.when(F.col("rejected"), "bad").when(F.size("needs_review") > 0, "warn").otherwise("ok")
     tag = lambda values, kind: F.array_join(F.transform(values, lambda x: F.concat(F.lit(f"<span class='tag{kind}'>"), html_escape(x), F.lit("</span>"))), "")
     tags = F.concat(

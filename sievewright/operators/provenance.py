@@ -33,6 +33,29 @@ def match_candidates(records: DataFrame, candidates: DataFrame, radius: int = 5)
     return match_in_turn(edges).select("seq", F.col("local").alias("filename"), "distance")
 
 
+def hash_thumbs(spark: SparkSession, candidates: DataFrame, folder: str, fetch, tasks: int = 4) -> DataFrame:
+    """Candidates (seq, thumb_url, ...) with ``phash`` and ``error`` of their thumbnails.
+
+    Thumbnails go to a folder that executors share, by number; one that cannot be
+    fetched or decoded is an error of its row, and the others go on.
+    """
+    from sievewright.operators.pixels import measure
+    from sievewright.operators.tree import download
+    from sievewright.scratch import written
+
+    named = candidates.select(F.format_string("%016d.img", "seq").alias("filename"), "seq", F.col("thumb_url").alias("download_url"))
+    got = written(download(named, folder, fetch, tasks), "thumbs")
+    measured = measure(spark, folder).select(F.col("name").alias("filename"), "phash", F.col("error").alias("unread_"))
+    told = named.select("filename", "seq").join(got, "filename").join(measured, "filename", "left").select("seq", "phash", F.coalesce("error", "unread_").alias("error"))
+    return candidates.join(told, "seq", "left")
+
+
+def error_counts(rows: DataFrame, source: str = "source", error: str = "error") -> DataFrame:
+    """(name, n): failures by source and type of error, the commonest first."""
+    kind = F.concat(F.col(source), F.lit(": "), F.regexp_extract(error, "^([^:]*)", 1))
+    return rows.where(F.col(error).isNotNull()).groupBy(kind.alias("name")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "name")
+
+
 def match_buckets(records: DataFrame, candidates: DataFrame, matches: DataFrame) -> DataFrame:
     return distance_buckets(candidates.select("seq", from_hex(F.col("phash")).alias("h")), pending(records).select(F.col("filename").alias("local"), from_hex(F.col("phash")).alias("h")), matches.select("seq", F.col("filename").alias("local")))
 

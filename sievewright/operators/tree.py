@@ -124,6 +124,7 @@ def write_readme(paths: DataFrame, target: str, words: CaptionWords = CaptionWor
 def write_attributions(records: DataFrame, target: str) -> int:
     """Credits of the active records, by source; returns how many have a title."""
     n = reports.attribution_counts(records).first()
+    # The page's headings.
     head = f"# Atribuciones del dataset\n\n- Imágenes activas: **{n['active']}**\n- Con procedencia identificada: **{n['with_title']}**\n- Sin licencia identificada: **{n['unknown_license']}**\n\n"
     lines = export.attribution_lines(records)
     first = lines.groupBy(F.col("source").alias("s_")).agg(F.min("filename").alias("f_"))

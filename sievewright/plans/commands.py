@@ -114,8 +114,21 @@ def fetch(spark: SparkSession, records: DataFrame, source_names: list[str], quer
     return Outcome(manifest.upsert(records, accepted.select(*RECORD.names)), report)
 
 
+def list_candidates(spark: SparkSession, categories: list[str], folder: str, limit: int = 600, **options) -> DataFrame:
+    """Candidates of wiki categories with the hashes of their thumbnails, which are kept in ``folder``; failed ones have an error."""
+    import json
+
+    from sievewright.sources import http, mediawiki
+
+    spark.dataSource.register(mediawiki.MediaWikiSource)
+    pages = spark.read.format("mediawiki").options(queries=json.dumps([f"Category:{c}" for c in categories]), thumbs="true", limit=str(limit), **options).load()
+    found = written(mediawiki.thumb_candidates(pages, most=limit), "thumb-candidates")
+    return written(provenance.hash_thumbs(spark, found, folder, lambda row: http.get(row["download_url"])), "hashed-candidates")
+
+
 def recover(spark: SparkSession, records: DataFrame, candidates: DataFrame, radius: int = 5) -> Outcome:
     """Match candidates (seq, phash, title, description_url, url, meta, category) to records without provenance."""
+    candidates = candidates.where("phash is not null")
     matches = written(provenance.match_candidates(records, candidates, radius), "matches")
     hit = matches.join(candidates.drop("phash"), "seq")
     left = provenance.pending(records).join(matches.select("filename"), "filename", "left_anti")

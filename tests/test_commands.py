@@ -93,6 +93,28 @@ def test_recover_and_dry_run(spark, tmp_path):
         assert as_dict(manifest.load(spark, m))["a.jpg"]["license"] == ("UNKNOWN" if dry else "CC0")
 
 
+def test_listed_candidates_and_thumbs(spark, tmp_path):
+    from sievewright.operators import provenance
+
+    good = png(noise(7, 400, 600))
+    cand = spark.createDataFrame([(0, "good"), (1, "bad"), (2, "boom")], "seq long, thumb_url string")
+
+    def fetch(row):
+        if row["download_url"] == "boom":
+            raise OSError("gone")
+        return good if row["download_url"] == "good" else b"no image"
+
+    (tmp_path / "t").mkdir()
+    got = {r.seq: (r.phash, r.error) for r in provenance.hash_thumbs(spark, cand, str(tmp_path / "t"), fetch).collect()}
+    from sievewright.operators import pixels
+
+    assert got[0] == (pixels.phash(pixels.thumbnail(noise(7, 400, 600))), None) and got[1][1].startswith("ValueError") and got[2] == (None, "OSError: gone")
+    df = spark.createDataFrame([("s", e) for e in ("OSError: a", "OSError: b", None, "X: c")], "source string, error string")
+    assert [tuple(r) for r in provenance.error_counts(df).collect()] == [("s: OSError", 2), ("s: X", 1)]
+    uris = {r.name: r.uri for r in pixels.thumb_uris(spark, str(tmp_path / "t")).collect()}
+    assert uris["0000000000000000.img"].startswith("data:image/png;base64,") and uris["0000000000000001.img"] is None
+
+
 def test_fetch_without_a_key_finds_nothing(spark, tmp_path):
     out = cli.run(spark, ["--manifest", str(tmp_path / "m"), "fetch", "--source", "flickr", "--dry-run"])
     assert out.report["counters"].count() == 0
