@@ -447,7 +447,7 @@ def hamming_pairs_banded(spark, sf_dir):
 
 @query()
 def near_dup_greedy(spark, sf_dir):
-    return duplicates.greedy_duplicates(duplicates.hamming_pairs(hashes(spark, sf_dir), "vec_id", "h", 20))
+    return duplicates.near_duplicates(hashes(spark, sf_dir), "vec_id", "h", 20)
 
 
 def _candidates_and_locals(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:

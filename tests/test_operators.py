@@ -99,6 +99,19 @@ def test_find_duplicates(spark):
     assert [tuple(r) for r in duplicates.exact_duplicates(df).collect()] == [("b", "a")]
 
 
+@pytest.mark.parametrize("radius", [3, 20])
+def test_near_duplicates_against_the_loop(spark, radius):
+    rng = random.Random(radius)
+    h = [rng.getrandbits(62) for _ in range(12)]
+    for _ in range(60):
+        x = rng.choice(h)
+        for _ in range(rng.randrange(4)):
+            x ^= 1 << rng.randrange(62)
+        h.append(x)
+    got = {r.dup: r.keeper for r in duplicates.near_duplicates(spark.createDataFrame(list(enumerate(h)), "o int, h long"), "o", "h", radius).collect()}
+    assert got == greedy(range(len(h)), lambda a, b: (h[a] ^ h[b]).bit_count() <= radius)
+
+
 @pytest.mark.parametrize("radius", [0, 3, 5, 20])
 def test_hamming_pairs_against_all_pairs(spark, radius):
     rng = random.Random(radius)
