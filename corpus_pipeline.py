@@ -76,7 +76,10 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``, each written to the shared folder and read again."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES[:-1]:
-        docs, _ = common.cut(stage(spark, docs, sf_dir), f"stage-{name}")
+        docs, path = common.cut(stage(spark, docs, sf_dir), f"stage-{name}")
+        if before:
+            common.discard(spark, before)  # nothing reads the stage before the last any more
+        before = path
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -30,11 +30,11 @@ def held_out(id_col: str) -> Column:
 def fit(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_language: int = 1000, max_languages: int = 256, **options) -> SubwordModel | None:
     """Train on at most about ``per_language`` rows of each of the ``max_languages`` commonest languages.
 
-    The rows are those of least hash, so the sample is the same on every run.  Only
-    texts with non-null ``lang`` outside the held-out fold take part; ids and
+    The rows are those of least hash, so the sample is the same on every run; the
+    counts that set its rate read no text.  Only texts with non-null ``lang`` outside the held-out fold take part; ids and
     sources choose nothing and are no input.  None if there is no such row.
     """
-    known = df.select(F.col(id_col).alias("id_"), F.col(text_col).cast("string").alias("text_"), F.col(lang_col).cast("string").alias("lang_")).where(F.col("lang_").isNotNull() & F.col("text_").isNotNull() & ~held_out("id_"))
+    known = df.select(F.col(id_col).alias("id_"), F.col(text_col).cast("string").alias("text_"), F.col(lang_col).cast("string").alias("lang_")).where(F.col("lang_").isNotNull() & ~held_out("id_"))
     sizes = known.groupBy("lang_").count().orderBy(F.desc("count"), "lang_").limit(max_languages).collect()
     if not sizes:
         return None
@@ -43,7 +43,9 @@ def fit(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col:
     drawn = F.lit(False)
     for row in sizes:
         drawn = drawn | ((F.col("lang_") == row["lang_"]) & (ticket < int(space * min(1.0, per_language / row["count"]))))
-    sample = known.where(drawn).limit(2 * per_language * len(sizes)).select("id_", "text_", "lang_").toArrow()
+    sample = known.where(drawn & F.col("text_").isNotNull()).limit(2 * per_language * len(sizes)).select("id_", "text_", "lang_").toArrow()
+    if not sample.num_rows:
+        return None
     order = sample.sort_by([("id_", "ascending"), ("text_", "ascending")])
     return train(order.column("text_").to_pylist(), order.column("lang_").to_pylist(), **options)
 
