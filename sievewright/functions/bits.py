@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from sievewright.functions import let
+
 
 def from_hex(c: Column) -> Column:
     """16 hexadecimal digits as a signed long; null for null and ''."""
@@ -23,7 +25,7 @@ def hamming_within(a: Column, b: Column, most: int) -> Column:
 def dct_bits(block: Column) -> Column:
     """64 coefficients to 64 bits (hex): over the median of all but the first, the first coefficient leading."""
     median = F.element_at(F.array_sort(F.slice(block, 2, 63)), 32)
-    ones = F.transform(block, lambda x: F.when(x > median, "1").otherwise("0"))
+    ones = let(median, lambda m: F.transform(block, lambda x: F.when(x > m, "1").otherwise("0")))
     return F.lpad(F.lower(F.conv(F.array_join(ones, ""), 2, 16)), 16, "0")
 
 

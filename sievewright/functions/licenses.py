@@ -8,6 +8,7 @@ from operator import or_
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from sievewright.functions import let
 from sievewright.functions.verdicts import add_reason, drop_reason
 from sievewright.schema import UNKNOWN_LICENSE
 
@@ -31,17 +32,19 @@ def _any(text: Column, parts: tuple[str, ...]) -> Column:
 
 def is_allowed(license_: Column) -> Column:
     """Never null: denied clauses come before allowed markers, and no licence is no permission."""
-    text = normalised(license_)
-    return F.when(unidentified(license_), False).otherwise(~_any(text, DENIED_CLAUSES) & _any(text, ALLOWED_MARKERS))
+    return F.when(unidentified(license_), False).otherwise(let(normalised(license_), lambda t: ~_any(t, DENIED_CLAUSES) & _any(t, ALLOWED_MARKERS)))
 
 
 def explain(license_: Column) -> Column:
     """Why a licence is admitted or not: its first denied clause in the policy's order, if any."""
-    text = normalised(license_)
-    out = F.when(unidentified(license_), UNIDENTIFIED)
-    for clause in DENIED_CLAUSES:
-        out = out.when(F.contains(text, F.lit(clause)), DENIED.format(clause.strip()))
-    return out.when(_any(text, ALLOWED_MARKERS), ADMITTED).otherwise(UNRECOGNISED)
+
+    def reason(text: Column) -> Column:
+        out = F.when(F.lit(False), "")
+        for clause in DENIED_CLAUSES:
+            out = out.when(F.contains(text, F.lit(clause)), DENIED.format(clause.strip()))
+        return out.when(_any(text, ALLOWED_MARKERS), ADMITTED).otherwise(UNRECOGNISED)
+
+    return F.when(unidentified(license_), UNIDENTIFIED).otherwise(let(normalised(license_), reason))
 
 
 def apply_policy(license_: Column, reasons: Column) -> Column:

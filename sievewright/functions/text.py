@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from sievewright.functions import let
 from sievewright.schema import PLASTIC, PROXY, STRATA, SYNTHETIC
 
 # Fixed values of the captions.
@@ -94,23 +95,25 @@ def clean(c: Column) -> Column:
 
 def first_sentence(cleaned: Column) -> Column:
     """Up to the first stop, lower case without the stop; null unless it has 2 to 22 words."""
-    first = F.split(cleaned, r"(?<=[.;])\s+", 2)[0]
-    words = F.size(F.split(first, " "))
-    return F.when((cleaned != "") & words.between(2, 22), F.regexp_replace(F.lower(first), r"\.+$", ""))
+
+    def kept(first: Column) -> Column:
+        return F.when((first != "") & F.size(F.split(first, " ")).between(2, 22), F.regexp_replace(F.lower(first), r"\.+$", ""))
+
+    return let(F.split(cleaned, r"(?<=[.;])\s+", 2)[0], kept)
 
 
 def category_tags(categories: Column, most: int = 6) -> Column:
     """Tags whose needle stands anywhere in the joined categories, in the table's order."""
-    joined = F.lower(F.array_join(categories, " "))
-    found = F.array(*[F.when(F.contains(joined, F.lit(n)), t) for n, t in CATEGORY_TAGS.items()])
+    found = let(F.lower(F.array_join(categories, " ")), lambda joined: F.array(*[F.when(F.contains(joined, F.lit(n)), t) for n, t in CATEGORY_TAGS.items()]))
     return F.slice(F.array_distinct(F.array_compact(found)), 1, most)
 
 
 def distinct_parts(parts: Column) -> Column:
     """Without nulls and blanks, each part once whatever its case, in the first spelling."""
     kept = F.filter(F.transform(F.array_compact(parts), lambda x: F.trim(x)), lambda x: x != "")
-    keys = F.transform(kept, lambda x: F.lower(x))
-    return F.filter(kept, lambda x, i: F.array_position(keys, F.lower(x)) == i + 1)
+    both = F.transform(kept, lambda x: F.struct(x.alias("part"), F.lower(x).alias("key")))
+    # a part is new if its key stands in none of the parts before it
+    return let(both, lambda b: let(F.transform(b, lambda p: p["key"]), lambda keys: F.transform(F.filter(b, lambda p, i: F.array_position(keys, p["key"]) == i + 1), lambda p: p["part"])))
 
 
 def caption(klass: Column, categories: Column, description: Column, saturation: Column, panoramic: Column, words: CaptionWords = CaptionWords()) -> Column:
@@ -121,7 +124,11 @@ def caption(klass: Column, categories: Column, description: Column, saturation:
 
 
 def mentions(text: Column, words: tuple[str, ...]) -> Column:
-    low, out = F.lower(F.coalesce(text, F.lit(""))), F.lit(False)
-    for w in words:
-        out = out | F.contains(low, F.lit(w))
-    return out
+
+    def any_of(low: Column) -> Column:
+        out = F.lit(False)
+        for w in words:
+            out = out | F.contains(low, F.lit(w))
+        return out
+
+    return let(F.lower(F.coalesce(text, F.lit(""))), any_of)
