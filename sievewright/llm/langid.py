@@ -55,8 +55,9 @@ def identify(df: DataFrame, model: SubwordModel | None, text_col: str = "text",
 
     ``lang_pred`` is the likeliest learned language, or ``und`` if the text is null
     or has no letter (or if nothing was learned); ``score`` is its calibrated
-    probability, 0 for ``und``; ``accepted`` is false for ``und`` and where the
-    score is below the model's rejection score.  Rows are kept, repeated ones too;
+    probability, 0 for ``und``; ``accepted`` is false for ``und``, where the score
+    is below the model's rejection score, and where the text's n-grams are less
+    familiar than those of held-back texts of its length.  Rows are kept, repeated ones too;
     an empty table stays empty.
     """
     shared = df.sparkSession.sparkContext.broadcast(model)
@@ -70,12 +71,11 @@ def identify(df: DataFrame, model: SubwordModel | None, text_col: str = "text",
                 n = len(texts)
                 lang, score, accepted = [UNDETERMINED] * n, np.zeros(n), np.zeros(n, dtype=bool)
                 if own is not None:
-                    p, letters = own.probabilities(texts)
+                    p, letters, accepted = own.judge(texts)
                     known = letters > 0
                     best = p.argmax(axis=1)
                     lang = [own.classes[b] if k else UNDETERMINED for b, k in zip(best.tolist(), known.tolist())]
                     score = np.where(known, p[np.arange(n), best], 0.0)
-                    accepted = known & (score >= own.reject_below)
                 yield pa.RecordBatch.from_arrays([*batch.slice(at, n).columns, pa.array(lang), pa.array(score), pa.array(accepted)], names=[*kept, lang_col, score_col, accepted_col])
 
     from pyspark.sql.types import BooleanType, DoubleType, StringType, StructType

@@ -18,6 +18,10 @@ import numpy as np
 _LETTER = np.array([chr(i).isalpha() for i in range(65_536)])
 #: What the ``shape`` view shows of them: the kind of letter, digit or space, or the character itself.
 _SHAPE = np.array([65 if c.isupper() else 97 if c.isalpha() else 48 if c.isdigit() else 32 if c.isspace() else ord(c) for c in map(chr, range(65_536))], dtype=np.uint32)
+#: Lengths, in characters, at which held-back texts are cut to see how unfamiliar a text of a learned class may look.
+PIECES = (4, 8, 16, 32, 64, 128, 256, 512, 1024)
+#: Bits for a bucket that no learned text fills; a uniform share has 0.
+UNSEEN = -6.0
 _MULTIPLY = np.array([2654435761, 2246822519, 3266489917, 668265263, 374761393], dtype=np.uint32)
 
 
@@ -79,7 +83,13 @@ def echoes(texts: list[str], first: np.ndarray, buckets: int) -> tuple[np.ndarra
 
 @dataclass
 class SubwordModel:
-    """Classes in order; ``table`` (buckets x classes) holds each bucket's share of the logits."""
+    """Classes in order; ``table`` (buckets x classes) holds each bucket's share of the logits.
+
+    ``familiar`` holds how common each bucket is in the class where it is commonest
+    (bits above a uniform share).  Its average over a text is high for learned
+    classes and their mixtures and low for anything else, however sure the softmax
+    is.  ``bounds`` has for each length of ``PIECES`` the least average to accept.
+    """
 
     classes: list[str]
     table: np.ndarray
@@ -88,23 +98,40 @@ class SubwordModel:
     view: str = "letters"
     temperature: float = 1.0
     reject_below: float = 0.5
+    familiar: np.ndarray | None = None
+    bounds: np.ndarray | None = None
 
     def logits(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Logits (texts x classes) and the number of letters of each text."""
+        return self.read(texts)[:2]
+
+    def read(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Logits, letters and average familiarity (0 without a table of it) of each text."""
         grams, first, letters = features(texts, self.orders, len(self.table), self.view)
-        total, count = np.zeros((len(texts), len(self.classes))), np.zeros(len(texts))
+        total, count, known = np.zeros((len(texts), len(self.classes))), np.zeros(len(texts)), np.zeros(len(texts))
         for at, bucket in grams:
             owner = np.searchsorted(first, at, "right") - 1
             edge = np.flatnonzero(np.diff(owner, prepend=-1))
             if len(edge):
                 total[owner[edge]] += np.add.reduceat(self.table[bucket], edge, axis=0, dtype=np.float64)
                 count[owner[edge]] += np.diff(np.append(edge, len(owner)))
-        return total / np.maximum(count, 1)[:, None] + self.bias, letters
+                if self.familiar is not None:
+                    known[owner[edge]] += np.add.reduceat(self.familiar[bucket], edge, dtype=np.float64)
+        return total / np.maximum(count, 1)[:, None] + self.bias, letters, known / np.maximum(count, 1)
 
     def probabilities(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         z, letters = self.logits(texts)
         return softmax(z / self.temperature), letters
 
+    def judge(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Probabilities, letters, and whether each text is one of a learned class; false without letters."""
+        z, letters, known = self.read(texts)
+        p = softmax(z / self.temperature)
+        accepted = (letters > 0) & (p.max(axis=1) >= self.reject_below)
+        if self.bounds is not None:
+            accepted &= known >= np.append(-np.inf, self.bounds)[np.searchsorted(PIECES, letters, "right")]
+        return p, letters, accepted
+
 
 def softmax(z: np.ndarray) -> np.ndarray:
     e = np.exp(z - z.max(axis=-1, keepdims=True))
@@ -145,7 +172,15 @@ def train(texts: list[str], labels: list[str], orders: tuple[int, ...] = (3, 4),
             # the average gives each bucket its share; the usual scaling by the share's size would starve long texts
             embed[ids] -= lr * np.outer(share * np.float32(min(len(ids), 50)), back_to)
             step += 1
+    familiar = np.zeros(buckets, dtype=np.float32)
+    for c in range(len(classes)):
+        own = [rows[i] for i in use if y[i] == c]
+        if own:
+            filled = np.bincount(np.concatenate([ids for ids, _ in own]), np.concatenate([share for _, share in own]), buckets)
+            familiar = np.maximum(familiar, (filled / len(own)).astype(np.float32))
     model = SubwordModel(classes, (embed @ out.T).astype(np.float32), bias.astype(np.float64), orders, view)
+    if view == "letters":
+        model.familiar = np.log2(np.maximum(familiar * buckets, 2**UNSEEN)).astype(np.float32)
     held = sorted(back)
     if held:
         calibrate(model, [texts[i] for i in held], y[held])
@@ -156,7 +191,11 @@ def calibrate(model: SubwordModel, texts: list[str], y: np.ndarray, lost: float
     """Set the temperature of least log loss, and the score below which to reject.
 
     The rejection score lies ``above`` of the way from chance to certainty, or lower
-    if more than the share ``lost`` of right predictions would fall below it.
+    if more than the share ``lost`` of right predictions would fall below it; it
+    only rejects what looks like no class at all.  What looks like a class but is
+    made of other n-grams falls below the least familiarity: for each length, the
+    quantile ``lost`` of the held-back texts cut to it, less a margin in bits that
+    is the wider the fewer they are.  Short texts vary more, so their bound is lower.
     """
     z = np.concatenate([model.logits(texts[i : i + 64])[0] for i in range(0, len(texts), 64)])
     loss = lambda t: -np.log(np.maximum(softmax(z / t)[np.arange(len(y)), y], 1e-12)).mean()
@@ -166,3 +205,9 @@ def calibrate(model: SubwordModel, texts: list[str], y: np.ndarray, lost: float
     if len(right):
         chance = 1 / len(model.classes)
         model.reject_below = float(min(chance + above * (1 - chance), np.quantile(right, lost)))
+    if model.familiar is not None:
+        pieces = []
+        for n in PIECES:
+            _, letters, known = model.read([x.strip()[:n] for x in texts])
+            pieces.append(np.quantile(known[letters > 0], lost) if (letters > 0).any() else -np.inf)
+        model.bounds = np.minimum.accumulate(pieces[::-1])[::-1] - 1 - np.log2(1 + 100 / len(texts))

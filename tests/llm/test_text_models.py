@@ -54,6 +54,31 @@ def test_rejection_is_calibrated():
     assert p[2].max() < p[:2].max(axis=1).min() and 0 < model.reject_below <= 0.545 + 1e-9
 
 
+OTHER = {
+    "Italian": "Nel mezzo del cammin di nostra vita mi ritrovai per una selva oscura che la diritta via era smarrita",
+    "Finnish": "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan, heille on annettu järki",
+    "Turkish": "Bütün insanlar hür, haysiyet ve haklar bakımından eşit doğarlar, akıl ve vicdana sahiptirler",
+    "Japanese": "すべての人間は、生まれながらにして自由であり、かつ、尊厳と権利とについて平等である。",
+    "Russian": "Все люди рождаются свободными и равными в своем достоинстве и правах",
+    "keys": "kq7xz vbnwq zzkpt qwxjv plokm wsxzq yhnbg tgbvf rfvcd edcxs qazpl mkonj",
+}
+
+
+def test_unlearned_languages_are_rejected(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    model = langid.fit(docs)
+    rows = [t for x in OTHER.values() for t in (x, " ".join([x] * 20))]
+    assert not langid.identify(spark.createDataFrame([(x,) for x in rows], "text string"), model).toPandas().accepted.any()
+    held = docs.where(langid.held_out("doc_id")).toPandas()
+    for n in (3, 6, 12, 50):
+        pieces = [" ".join(t.split()[:n]) for t in held.text if t]
+        _, letters, accepted = model.judge(pieces)
+        assert accepted[letters > 0].mean() > 0.98
+    by = {k: " ".join(g.text.head(3)) for k, g in held.groupby("lang")}
+    mixed = [by[a][:1000] + " " + by[b][:1000] for a in by for b in by if a < b]
+    assert model.judge(mixed)[2].all()
+
+
 def plain_grade(p, e, site, path):
     """The same posterior with loops; returns {row: quality}."""
     n, k = len(p), sum(e)
