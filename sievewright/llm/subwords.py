@@ -59,7 +59,11 @@ def features(texts: list[str], orders: tuple[int, ...], buckets: int, view: str
     """
     flat, first = code_points(texts, view == "letters")
     low = np.minimum(flat, 65_535)
-    letter = _LETTER[low] | (flat > 65_535)
+    letter = _LETTER[low]
+    high = np.flatnonzero(flat > 65_535)
+    if len(high):
+        found, which = np.unique(flat[high], return_inverse=True)
+        letter[high] = np.array([chr(c).isalpha() for c in found.tolist()])[which]
     letters = np.add.reduceat(letter, first, dtype=np.int64) if len(first) else np.empty(0, dtype=np.int64)
     if view == "letters":
         plain, inner = np.where(letter, flat, 32).astype(np.uint32), letter

@@ -19,6 +19,18 @@ def test_ngrams_against_plain_code():
     assert len(set(bucket.tolist())) == len(set(want)) and first.tolist() == [0, 7, 9]
 
 
+def test_characters_above_the_first_plane(spark):
+    texts = ["😀😀 🎉", "𝄞 🀄", "𐐀𐐁 😀", "a 😀", "\U000f0000"]
+    grams, first, letters = subwords.features(texts, (3,), 1 << 16)
+    assert letters.tolist() == [sum(map(str.isalpha, t)) for t in texts] == [0, 0, 2, 1, 0]
+    assert np.unique(np.searchsorted(first, grams[0][0], "right") - 1).tolist() == [2, 3]
+    docs = spark.createDataFrame([(1, "the and of", "en", "s"), (2, "les des une", "fr", "s"), (3, "😀😀 🎉", "en", "s")], "doc_id long, text string, lang string, source string")
+    out = {r.doc_id: r for r in langid.identify(docs, langid.fit(docs, hold=0.0)).collect()}
+    assert (out[3].lang_pred, out[3].score, out[3].accepted) == ("und", 0.0, False)
+    graded = quality.grade(docs, spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, quality int")).toPandas().set_index("doc_id")
+    assert graded.text_score[3] < 0.01 and not graded.keep[3]
+
+
 def test_language_of_held_out_documents(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     model = langid.fit(docs)
