@@ -33,14 +33,32 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
     Only the rows whose id is null or repeated need a comparison of whole rows for
     that; they are few, and the others pass without a shuffle of texts by content.
+    Documents that share an id are told apart by their texts: each group led by the
+    id keeps one of its own.
     """
     found, _ = common.cut(simhash.near_duplicates(docs), "pipeline-groups")
     keepers = found.where("doc_id = component_id").select(F.col("doc_id").alias("keep_id")).distinct()
     repeated, _ = common.cut(docs.groupBy("doc_id").count().where("count > 1 and doc_id is not null").select(F.col("doc_id").alias("again_id")), "repeated-ids")
     kept = docs.join(keepers, F.col("doc_id") == F.col("keep_id"), "left_semi")
     once = kept.join(repeated, F.col("doc_id") == F.col("again_id"), "left_anti")
-    twice = kept.join(repeated, F.col("doc_id") == F.col("again_id"), "left_semi").dropDuplicates(["doc_id"])
-    return once.unionByName(twice).unionByName(_nameless(docs.where("doc_id is null"), found.where("doc_id is null and component_id is null")))
+    twice = kept.join(repeated, F.col("doc_id") == F.col("again_id"), "left_semi")
+    own = found.where("doc_id = component_id").join(repeated, F.col("doc_id") == F.col("again_id"), "left_semi")
+    return once.unionByName(_homonyms(twice, own)).unionByName(_nameless(docs.where("doc_id is null"), found.where("doc_id is null and component_id is null")))
+
+
+def _homonyms(rows: DataFrame, found: DataFrame) -> DataFrame:
+    """Of each group led by a repeated id, one row of that id: of least text (null is the least).
+
+    ``found`` holds the groups of the rows that lead theirs.  The fingerprint finds a
+    row's group again, as rows that share an id share nothing else.
+    """
+    texts = rows.select("doc_id", F.coalesce("text", F.lit("")).alias("text_k")).distinct().select("text_k", "doc_id", F.xxhash64("doc_id", "text_k").alias("key_k"))
+    named = simhash.with_fingerprints(texts, "key_k", "text_k").withColumnRenamed("doc_id", "key_f")
+    group = found.select(F.col("doc_id").alias("id_f"), F.col("fp").alias("fp_f"), "group_fp").distinct()
+    of = texts.join(named.distinct(), F.col("key_k") == F.col("key_f")).join(group, (F.col("doc_id") == F.col("id_f")) & (F.col("fp") == F.col("fp_f")))
+    chosen = of.groupBy("id_f", "group_fp").agg(F.min("text_k").alias("text_c")).select("id_f", "text_c")
+    left = rows.join(chosen, (F.col("doc_id") == F.col("id_f")) & (F.coalesce("text", F.lit("")) == F.col("text_c")), "left_semi")
+    return left.groupBy(F.col("doc_id").alias("id_k"), F.coalesce("text", F.lit("")).alias("key_k")).agg(F.min_by(F.struct(*rows.columns), F.struct("text", "lang", "source", "n_chars")).alias("row")).select("row.*")
 
 
 def _nameless(rows: DataFrame, found: DataFrame) -> DataFrame:

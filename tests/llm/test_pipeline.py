@@ -49,6 +49,15 @@ def test_near_duplicates_of_odd_rows(spark):
     assert sorted(got, key=str) == sorted([(1, "a b c d e"), (None, "quite another text"), (5, None)], key=str)
 
 
+def test_near_duplicates_of_repeated_ids(spark):
+    rows = [(7, "a b c d e", "en", "s", 9), (7, "quite another text of words", "fr", "t", 27), (7, "quite another text of words", "fr", "t", 27), (3, "led by three and no other", "en", "s", 25), (7, "led by three and no other", "en", "s", 25), (9, "A B C D E", "en", "s", 9), (8, "", "en", "s", 0), (8, None, "en", "s", 0), (8, "eight words that nobody else has ever said", None, None, None)]
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    want = sorted([(7, "a b c d e"), (7, "quite another text of words"), (3, "led by three and no other"), (8, None), (8, "eight words that nobody else has ever said")], key=str)
+    for n in (1, 4):
+        docs, _ = common.cut(spark.createDataFrame(rows, schema).repartition(n), "repeated")
+        assert sorted(((r.doc_id, r.text) for r in P.near_duplicates(spark, docs, SF).collect()), key=str) == want
+
+
 def test_no_documents(spark):
     docs, _ = common.cut(spark.read.parquet(f"{SF}/documents.parquet").limit(0), "none")
     for name, stage in P.STAGES:
