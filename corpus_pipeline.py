@@ -17,8 +17,13 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents without letters and those whose language the model rejects.
 
     The model learns from the labelled rows of ``docs`` outside the held-out fold.
+    Where there are none, nothing is known of any language, and only documents
+    without letters go.
     """
-    found = langid.identify(docs, langid.fit(docs), lang_col="lang_pred_", score_col="score_", accepted_col="accepted_")
+    model = langid.fit(docs)
+    if model is None:
+        return docs.where(F.col("text").rlike(r"\p{L}"))
+    found = langid.identify(docs, model, lang_col="lang_pred_", score_col="score_", accepted_col="accepted_")
     return found.where("accepted_").select(*docs.columns)
 
 

@@ -93,6 +93,7 @@ class SubwordModel:
     (bits above a uniform share).  Its average over a text is high for learned
     classes and their mixtures and low for anything else, however sure the softmax
     is.  ``bounds`` has for each length of ``PIECES`` the least average to accept.
+    Until texts held back set ``reject_below`` and ``bounds``, all with letters pass.
     """
 
     classes: list[str]
@@ -101,7 +102,7 @@ class SubwordModel:
     orders: tuple[int, ...]
     view: str = "letters"
     temperature: float = 1.0
-    reject_below: float = 0.5
+    reject_below: float = 0.0
     familiar: np.ndarray | None = None
     bounds: np.ndarray | None = None
 

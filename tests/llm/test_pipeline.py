@@ -1,3 +1,5 @@
+import zlib
+
 import corpus_pipeline as P
 from sievewright.llm import common, mixing, simhash
 from tests.llm.test_lines_and_mix import plain_dedup
@@ -58,6 +60,19 @@ def test_near_duplicates_of_repeated_ids(spark):
         assert sorted(((r.doc_id, r.text) for r in P.near_duplicates(spark, docs, SF).collect()), key=str) == want
 
 
+def test_nothing_learned_drops_only_texts_without_letters(spark):
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    texts = ["ab cd", "1234 !!", "😀", "", None, "日本", "𐐀", "x"]
+    held = [i for i in range(200) if zlib.crc32(str(i).encode()) % 5 == 0]
+    for lang in (None, "en"):
+        docs = spark.createDataFrame([(i, t, lang, "s", 1) for i, t in zip(held, texts)], schema)
+        assert sorted(r.text for r in P.language_id(spark, docs, SF).collect()) == sorted(["ab cd", "日本", "𐐀", "x"])
+    learned = [i for i in range(200) if i not in held]
+    few = [("the and of", "en"), ("les des une", "fr"), ("der die das", "de"), ("los las una", "es"), ("mno pqr", None), ("12", None)]
+    docs = spark.createDataFrame([(i, t, lang, "s", 1) for i, (t, lang) in zip(learned, few)], schema)
+    assert sorted(r.text for r in P.language_id(spark, docs, SF).collect()) == sorted(t for t, _ in few[:-1])
+
+
 def test_no_documents(spark):
     docs, _ = common.cut(spark.read.parquet(f"{SF}/documents.parquet").limit(0), "none")
     for name, stage in P.STAGES:
