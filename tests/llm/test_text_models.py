@@ -139,6 +139,19 @@ def test_quality_against_plain_code(spark):
     assert both[truth == 1].keep.mean() > 0.99
 
 
+def test_quality_of_hosts_and_paths(spark):
+    docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
+    url = F.concat(F.lit("https://h"), F.col("doc_id") % 7, F.lit(".org/p"), F.floor(F.col("doc_id") / 7) % 3, F.lit("/x"))
+    docs = docs.withColumn("host", F.regexp_extract(url, "//([^/]+)", 1)).withColumn("path", F.regexp_extract(url, "//[^/]+/([^/]+)", 1)).drop("source", "lang")
+    known = quality.labelled(labels)
+    got = quality.grade(docs, labels, site_col="host", path_col="path", model=quality.fit(docs, known)).toPandas().set_index("doc_id").sort_index()
+    table = docs.toPandas().set_index("doc_id").sort_index()
+    assert table.host.nunique() == 7 and table.path.nunique() == 3
+    label, p = {r.label_id: r.label for r in known.collect()}, got.text_score.tolist()
+    want = plain_grade(p, [label.get(i, x) for i, x in zip(table.index, p)], table.host.tolist(), table.path.tolist())
+    assert np.allclose(got.quality, want, atol=1e-9)
+
+
 def test_quality_edge_cases(spark):
     docs = spark.createDataFrame([(1, "some fine words", "a", "x"), (2, None, None, None), (None, "", "a", None), (3, "!!! ???", "a", "x"), (1, "some fine words", "a", "x")], "doc_id long, text string, source string, lang string")
     labels = spark.createDataFrame([(1, 1), (1, None), (3, 0), (None, 1)], "doc_id long, quality int")
