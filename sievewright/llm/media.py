@@ -92,9 +92,9 @@ def jpeg(b: memoryview, at: int) -> int:
     return 0
 
 
-def _riff(form: bytes, needs: tuple[bytes, ...]) -> Callable[[memoryview, int], int]:
+def _riff(form: bytes, needs: tuple[bytes, ...], always: tuple[bytes, ...] = ()) -> Callable[[memoryview, int], int]:
     def walk(b: memoryview, at: int) -> int:
-        if at + 12 > len(b) or bytes(b[at + 8 : at + 12]) != form:
+        if at + 12 > len(b) or bytes(b[at : at + 4]) != b"RIFF" or bytes(b[at + 8 : at + 12]) != form:
             return 0
         end = at + 8 + struct.unpack_from("<I", b, at + 4)[0]
         p, seen = at + 12, set()
@@ -104,7 +104,7 @@ def _riff(form: bytes, needs: tuple[bytes, ...]) -> Callable[[memoryview, int],
             n = struct.unpack_from("<I", b, p + 4)[0]
             seen.add(bytes(b[p : p + 4]))
             p += 8 + n + (n & 1)
-        return end - at if p in (end, end + 1) and any(x in seen for x in needs) else 0
+        return end - at if p in (end, end + 1) and any(x in seen for x in needs) and seen.issuperset(always) else 0
 
     return walk
 
@@ -120,16 +120,23 @@ def bmp(b: memoryview, at: int) -> int:
 
 
 def ogg(b: memoryview, at: int) -> int:
-    """Pages of one stream, in order, from its first to its last."""
-    p, number, stream = at, 0, None
+    """Pages of one stream or of several interleaved ones, each in order, to the last page of them all.
+
+    The first pages of all streams come before any other page.
+    """
+    p, number, streams, begun = at, {}, set(), False
     while p + 27 <= len(b) and bytes(b[p : p + 5]) == b"OggS\0":
         flags, serial, sequence, n = b[p + 5], bytes(b[p + 14 : p + 18]), struct.unpack_from("<I", b, p + 18)[0], b[p + 26]
         size = 27 + n + sum(b[p + 27 : p + 27 + n])
-        if sequence != number or (stream or serial) != serial or bool(flags & 2) != (not number) or p + size > len(b):
+        first = bool(flags & 2)
+        if sequence != number.get(serial, 0) or first != (serial not in number) or first and begun or not first and serial not in streams or p + size > len(b):
             return 0
-        p, number, stream = p + size, number + 1, serial
+        p, begun, number[serial] = p + size, begun or not first, sequence + 1
+        streams.add(serial)
         if flags & 4:
-            return p - at
+            streams.discard(serial)
+            if not streams:
+                return p - at
     return 0
 
 
@@ -207,7 +214,7 @@ FORMATS: tuple[tuple[str, bytes, int, Callable[[memoryview, int], int]], ...] =
     ("image/jpeg", b"\xff\xd8\xff", 0, jpeg),
     ("image/bmp", b"BM", 0, bmp),
     ("image/webp", b"WEBPVP8", 8, _riff(b"WEBP", (b"VP8 ", b"VP8L", b"VP8X"))),
-    ("audio/wav", b"WAVEfmt ", 8, _riff(b"WAVE", (b"data",))),
+    ("audio/wav", b"WAVE", 8, _riff(b"WAVE", (b"data",), (b"fmt ",))),  # other chunks may stand before fmt
     ("video/avi", b"AVI LIST", 8, _riff(b"AVI ", (b"LIST",))),
     ("audio/ogg", b"OggS\0\2", 0, ogg),
     ("audio/flac", b"fLaC", 0, flac),

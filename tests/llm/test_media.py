@@ -60,6 +60,28 @@ def test_whole_embedded_and_broken(kind):
         own.segments(file[:cut])
 
 
+def test_wav_with_chunks_before_fmt():
+    plain, own, lead = M.wav(b"\x80\x90\x70\x60"), M.Sniffer(), b"text WAVE RIFF "
+    for extra in (b"JUNK" + struct.pack("<I", 4) + bytes(4), b"bext" + struct.pack("<I", 6) + b"RIFF..", b"JUNK" + struct.pack("<I", 3) + bytes(4)):
+        file = plain[:4] + struct.pack("<I", len(plain) - 8 + len(extra)) + plain[8:12] + extra + plain[12:]
+        assert own.segments(file) == [("audio/wav", 0, len(file))]
+        assert own.segments(lead + file + b" and more") == [("audio/wav", len(lead), len(file))]
+        assert M.wav_samples(file) == (M.RATE, b"\x80\x90\x70\x60")
+    no_fmt = b"RIFF" + struct.pack("<I", 16) + b"WAVEdata" + struct.pack("<I", 4) + b"abcd"
+    assert own.segments(no_fmt) == [] and own.segments(b"RIFX" + plain[4:]) == []
+
+
+def test_ogg_of_interleaved_streams():
+    page = lambda flags, number, serial: ogg_page(flags, number).replace(b"abcd", serial)
+    file = page(2, 0, b"aaaa") + page(2, 0, b"bbbb") + page(0, 1, b"bbbb") + page(0, 1, b"aaaa") + page(4, 2, b"aaaa") + page(0, 2, b"bbbb") + page(4, 3, b"bbbb")
+    own = M.Sniffer()
+    assert own.segments(b"lead" + file + b" and more" + png()) == [("audio/ogg", 4, len(file)), ("image/png", 4 + len(file) + 9, len(png()))]
+    assert own.segments(page(2, 0, b"aaaa") + page(0, 1, b"cccc") + page(4, 1, b"aaaa")) == []
+    assert own.segments(page(2, 0, b"aaaa") + page(0, 2, b"aaaa") + page(4, 3, b"aaaa")) == []
+    for cut in range(len(file)):
+        assert not [s for s in own.segments(file[:cut]) if s[1] == 0]
+
+
 def test_sniff_and_carve(spark):
     inner = FILES["image/png"]
     rows = [(1, inner, "image/jpeg"), (2, b"note" + inner + FILES["audio/wav"], "text/plain"), (3, None, "image/gif"), (4, b"", None), (5, b"GIF89a broken", "image/gif"), (6, b"plain", None), (1, inner, "image/jpeg")]
