@@ -6,9 +6,11 @@ document is encoded whole, the end id is appended, and every full window of it
 becomes a sequence by itself.  The remainder is one item for the sum-of-squares
 rule: with ``N[h]`` windows filled up to ``h``, the item goes to the level (or to
 a new window) that makes the sum of ``N[h]**2`` least; full windows leave the
-array.  What is still open at the end is cut freely and joined into full windows,
-and the last tokens of a task become sequences whose lengths are powers of two,
-which need no padding.
+array.  At the end of a task the rule's open windows stay as they are, the fullest
+first: only the emptiest are cut, and their tokens fill the gaps of the others.
+The last tokens of a task become sequences whose lengths are powers of two, which
+need no padding.  A task holds the remainders in its open windows, never more than
+its own input.
 """
 
 from __future__ import annotations
@@ -29,10 +31,11 @@ class LevelPacker:
     """Sum-of-squares packing of items of 1 to ``window - 1`` units.
 
     ``count`` is the level array: how many open windows are filled up to each
-    level.  ``max_open`` bounds memory: beyond it, the open windows are joined.
+    level.  ``max_open``, where it is given, bounds the open windows of an endless
+    input: beyond it, they are closed.  :func:`pack` sets no bound.
     """
 
-    def __init__(self, window: int = 2048, max_open: int = 4096):
+    def __init__(self, window: int = 2048, max_open: int | None = None):
         self.window, self.max_open = window, max_open
         self.count = np.zeros(window + 1, dtype=np.int64)
         self.bins: dict[int, list[list]] = {}
@@ -65,15 +68,37 @@ class LevelPacker:
             return [held]
         self.bins.setdefault(h + size, []).append(held)
         self.count[h + size] += 1
-        if self.open <= self.max_open:
+        if self.max_open is None or self.open <= self.max_open:
             return []
-        full, rest = cut_and_join(self.drain(), self.window)
-        size = sum(x[-1] for x in rest)
+        full, rest = self.close()
         if rest:
+            size = sum(x[-1] for x in rest)
             self.bins, self.open = {size: [rest]}, 1
             self.count[size] = 1
         return full
 
+    def close(self) -> tuple[list[list], list]:
+        """(full windows, items of the one window left): the emptiest windows are cut to fill the gaps of the fullest."""
+        held = [w for h in sorted(self.bins, reverse=True) for w in self.bins[h]]
+        fill = [h for h in sorted(self.bins, reverse=True) for _ in self.bins[h]]
+        self.drain()
+        i, j, full = 0, len(held) - 1, []
+        while i < j:
+            room = self.window - fill[i]
+            while room and i < j:
+                key, start, length = held[j].pop()
+                n = min(room, length)
+                held[i].append((key, start, n))
+                if n < length:
+                    held[j].append((key, start + n, length - n))
+                room, fill[i], fill[j] = room - n, fill[i] + n, fill[j] - n
+                if not fill[j]:
+                    j -= 1
+            if not room:
+                full.append(held[i])
+                i += 1
+        return full, held[i] if i <= j else []
+
     def drain(self) -> list[tuple]:
         """All items of the open windows, the fullest first; none stays open."""
         items = [x for h in sorted(self.bins, reverse=True) for held in self.bins[h] for x in held]
@@ -128,7 +153,7 @@ def pack(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", window:
         from pyspark import TaskContext
 
         base, encode, packer = TaskContext.get().partitionId() << 40, encoder(path), LevelPacker(window)
-        ids_of: dict[int, list] = {}  # a document with open pieces: its id, its ids, its length, ids not emitted yet
+        ids_of: dict[int, list] = {}  # a document with an open remainder: its id, the remainder's ids and start, its length, ids not emitted yet
         rows: list[tuple] = []
         made = serial = 0
 
@@ -137,10 +162,11 @@ def pack(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", window:
             offset = 0
             for key, start, length in held:
                 doc = ids_of[key]
-                rows.append((doc[0], start, length, zlib.crc32(doc[1][4 * start : 4 * (start + length)]), doc[2], base + made, offset))
+                at = 4 * (start - doc[2])
+                rows.append((doc[0], start, length, zlib.crc32(doc[1][at : at + 4 * length]), doc[3], base + made, offset))
                 offset += length
-                doc[3] -= length
-                if not doc[3]:
+                doc[4] -= length
+                if not doc[4]:
                     del ids_of[key]
             made += 1
 
@@ -156,19 +182,23 @@ def pack(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", window:
                 for k, raw in zip(keys[at : at + len(texts)], encode.ids(texts)):
                     raw += end
                     n = len(raw) // 4
-                    ids_of[serial] = [k, raw, n, n]
                     rest = n % window
-                    for start in range(0, n - rest, window):
-                        emit([(serial, start, window)])
+                    whole = n - rest
+                    for start in range(0, whole, window):
+                        rows.append((k, start, window, zlib.crc32(raw[4 * start : 4 * (start + window)]), n, base + made, 0))
+                        made += 1
                     if rest:
-                        for held in packer.put((serial, n - rest, rest), rest):
+                        ids_of[serial] = [k, raw[4 * whole :], whole, n, rest]
+                        for held in packer.put((serial, whole, rest), rest):
                             emit(held)
                     serial += 1
                 if len(rows) >= 20_000:
                     yield flushed()
-        full, last = cut_and_join(packer.drain(), window)
+        full, last = packer.close()
         for held in full + power_of_two_tail(last):
             emit(held)
+            if len(rows) >= 20_000:
+                yield flushed()
         yield flushed()
 
     return df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, SCHEMA)

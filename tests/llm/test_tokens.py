@@ -1,8 +1,10 @@
 import zlib
+from collections import Counter
 
 import numpy as np
 import pyarrow.parquet as pq
 import pytest
+from pyspark.sql import functions as F
 
 from sievewright.llm import packing as P
 from sievewright.llm import token_counts as C
@@ -105,6 +107,92 @@ def test_open_windows_are_bounded():
     assert sum(x[2] for held in full for x in held) + sum(x[2] for x in rest) == 60_000
 
 
+def plain_packing(sizes, window):
+    """The rule with one level after another tried, then the emptiest open windows cut into the gaps of the fullest.
+
+    Returns (windows that the rule filled, windows that the end filled, the window left), each of (item, start, length).
+    """
+    open_, full = [], []
+    for i, size in enumerate(sizes):
+        count = Counter(sum(x[2] for x in w) for w in open_)
+
+        def squares(h):
+            after = count.copy()
+            if h:
+                after[h] -= 1
+            if h + size < window:
+                after[h + size] += 1
+            return sum(n * n for n in after.values())
+
+        best = min([h for h in count if h + size <= window] + [0], key=lambda h: (squares(h), -h))
+        held = next((w for w in reversed(open_) if best and sum(x[2] for x in w) == best), None)
+        if held is None:
+            held = []
+        else:
+            open_.remove(held)
+        held.append((i, 0, size))
+        (full if best + size == window else open_).append(held)
+    open_.sort(key=lambda w: -sum(x[2] for x in w))
+    closed = []
+    while len(open_) > 1:
+        room = window - sum(x[2] for x in open_[0])
+        while room and len(open_) > 1:
+            i, start, n = open_[-1].pop()
+            open_[0].append((i, start, min(n, room)))
+            if n > room:
+                open_[-1].append((i, start + room, n - room))
+            room = max(0, room - n)
+            if not open_[-1]:
+                open_.pop()
+        if not room:
+            closed.append(open_.pop(0))
+    return full, closed, open_[0] if open_ else []
+
+
+@pytest.mark.parametrize("window", [20, 64])
+def test_whole_packing_against_plain_code(window):
+    sizes = np.random.default_rng(3).integers(1, window, 400).tolist()
+    packer, got = P.LevelPacker(window), []
+    for i, size in enumerate(sizes):
+        got += packer.put((i, 0, size), size)
+    full, rest = packer.close()
+    want = plain_packing(sizes, window)
+    assert got == want[0] and full == want[1] and rest == want[2] and packer.open == 0
+    assert all(sum(x[2] for x in w) == window for w in got + full)
+
+
+def test_one_task_packs_as_plain_code(spark):
+    df = spark.createDataFrame(DOCS, "doc_id long, text string").withColumn("start", F.lit("clash")).withColumn("text_", F.lit(1)).coalesce(1)
+    rows = P.pack(df, window=32).toPandas()
+    sizes = [len(e.ids) + 1 for e in library([t or "" for _, t in DOCS])]
+    full, closed, rest = plain_packing([n % 32 for n in sizes if n % 32], 32)
+    rests = [k for (k, _), n in zip(DOCS, sizes) if n % 32]
+    want = sorted([sorted((str(rests[i]), n) for i, _, n in w) for w in full + closed])
+    whole = rows.groupby("sequence_id").filter(lambda g: len(g) > 1 and g.length.sum() == 32)
+    assert sorted(sorted((str(None if np.isnan(k) else int(k)), n) for k, n in zip(g.doc_id, g.length)) for _, g in whole.groupby("sequence_id")) == [w for w in want if len(w) > 1]
+    tail = rows.groupby("sequence_id").length.sum()
+    assert sum(tail[tail < 32]) == sum(x[2] for x in rest)
+
+
+@pytest.mark.parametrize("tasks", [1, 8, 32])
+def test_most_windows_come_from_the_rule(tasks):
+    text = pq.read_table("/root/testdata/sf0.01/documents.parquet").column("text").to_pylist()
+    sizes = [len(x) // 4 + 1 for x in PieceEncoder(tokenizer_path()).ids([t or "" for t in text])]
+    ruled = whole = 0
+    for k in range(tasks):
+        packer, full = P.LevelPacker(), []
+        for i, n in enumerate(sizes[k::tasks]):
+            if n % 2048:
+                full += packer.put((i, 0, n % 2048), n % 2048)
+        opened = packer.open
+        closed, rest = packer.close()
+        # a window of the rule stays one unless it was cut up to fill others
+        ruled += len(full) + sum(sum(x[2] for x in w if x[1] == 0) > 1024 for w in closed)
+        whole += len(full) + len(closed)
+        assert len(closed) + bool(rest) <= opened
+    assert ruled > 0.7 * whole
+
+
 def test_orc_round_trip(spark, tmp_path):
     from pyarrow import orc
 
