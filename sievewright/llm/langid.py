@@ -15,6 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sievewright.llm.common import cut, discard
 from sievewright.llm.subwords import SubwordModel, train
 from sievewright.llm.tokens import text_slices
 
@@ -27,33 +28,38 @@ def held_out(id_col: str) -> Column:
     return F.coalesce(F.crc32(F.col(id_col).cast("string")) % FOLDS == 0, F.lit(True))
 
 
-def fit(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_language: int = 1000, max_languages: int = 256, **options) -> SubwordModel | None:
-    """Train on at most about ``per_language`` rows of each of the ``max_languages`` commonest languages.
+def fit(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_language: int = 1000, max_bytes: int = 64 << 20, **options) -> SubwordModel | None:
+    """Train on about ``per_language`` rows of every language, and at most about ``max_bytes`` of text.
 
     The rows are those of least hash, so the sample is the same on every run; the
-    counts that set its rate read no text.  Only texts with non-null ``lang`` outside the held-out fold take part; ids and
+    counts that set its rate read no text.  Where the sampled texts are longer than
+    ``max_bytes``, all languages are thinned alike, but each keeps a row.  Only
+    texts with non-null ``lang`` outside the held-out fold take part; ids and
     sources choose nothing and are no input.  None if there is no such row.
     """
+    spark = df.sparkSession
     known = df.select(F.col(id_col).alias("id_"), F.col(text_col).cast("string").alias("text_"), F.col(lang_col).cast("string").alias("lang_")).where(F.col("lang_").isNotNull() & ~held_out("id_"))
-    sizes = known.groupBy("lang_").count().orderBy(F.desc("count"), "lang_").limit(max_languages).collect()
-    if not sizes:
+    rates, rates_path = cut(known.groupBy(F.col("lang_").alias("of_")).agg(F.least(F.lit(1.0), F.lit(float(per_language)) / F.count("*")).alias("rate_")), "language-rates")
+    # 40 bits of a hash as a number from 0 to 1; rows that repeat id and text share it, so the limit bounds those
+    ticket = F.shiftrightunsigned(F.xxhash64("id_", "text_", F.lit("language-sample")), 24) / F.lit(float(1 << 40))
+    drawn = known.where("text_ is not null").withColumn("ticket_", ticket).join(rates, F.col("lang_") == F.col("of_")).where("ticket_ < rate_").limit(2 * per_language * max(1, rates.count()))
+    drawn, path = cut(drawn.select("id_", "text_", "lang_", "ticket_", "rate_"), "language-sample")
+    held = drawn.agg(F.sum(F.octet_length("text_")).alias("bytes")).first()["bytes"]
+    share = min(1.0, max_bytes / max(1, held or 0))
+    least = drawn.groupBy(F.col("lang_").alias("of_")).agg(F.min("ticket_").alias("least_"))
+    kept = drawn.join(least, F.col("lang_") == F.col("of_")).where((F.col("ticket_") < F.col("rate_") * F.lit(share)) | (F.col("ticket_") == F.col("least_")))
+    order = kept.select("id_", "text_", "lang_").toArrow().sort_by([("id_", "ascending"), ("text_", "ascending")])
+    for done in (path, rates_path):
+        discard(spark, done)
+    if not order.num_rows:
         return None
-    space = 1 << 40
-    ticket = F.shiftrightunsigned(F.xxhash64(F.col("id_"), F.lit("language-sample")), 24)
-    drawn = F.lit(False)
-    for row in sizes:
-        drawn = drawn | ((F.col("lang_") == row["lang_"]) & (ticket < int(space * min(1.0, per_language / row["count"]))))
-    sample = known.where(drawn & F.col("text_").isNotNull()).limit(2 * per_language * len(sizes)).select("id_", "text_", "lang_").toArrow()
-    if not sample.num_rows:
-        return None
-    order = sample.sort_by([("id_", "ascending"), ("text_", "ascending")])
     return train(order.column("text_").to_pylist(), order.column("lang_").to_pylist(), **options)
 
 
 def identify(df: DataFrame, model: SubwordModel | None, text_col: str = "text", lang_col: str = "lang_pred", score_col: str = "score", accepted_col: str = "accepted") -> DataFrame:
     """``df`` with three more columns, which replace columns of the same names.
 
-    ``lang_pred`` is the likeliest learned language, or ``und`` if the text is null
+    ``lang_pred`` is the likeliest learned language (of equal ones the first by name), or ``und`` if the text is null
     or has no letter (or if nothing was learned); ``score`` is its calibrated
     probability, 0 for ``und``; ``accepted`` is false for ``und``, where the score
     is below the model's rejection score, and where the text's n-grams are less

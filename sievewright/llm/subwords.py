@@ -20,6 +20,8 @@ _LETTER = np.array([chr(i).isalpha() for i in range(65_536)])
 _SHAPE = np.array([65 if c.isupper() else 97 if c.isalpha() else 48 if c.isdigit() else 32 if c.isspace() else ord(c) for c in map(chr, range(65_536))], dtype=np.uint32)
 #: Lengths, in characters, at which held-back texts are cut to see how unfamiliar a text of a learned class may look.
 PIECES = (4, 8, 16, 32, 64, 128, 256, 512, 1024)
+#: Temperatures that calibration tries.
+TEMPERATURES = np.geomspace(1 / 64, 64, 97)
 #: Bits for a bucket that no learned text fills; a uniform share has 0.
 UNSEEN = -6.0
 _MULTIPLY = np.array([2654435761, 2246822519, 3266489917, 668265263, 374761393], dtype=np.uint32)
@@ -195,24 +197,28 @@ def train(texts: list[str], labels: list[str], orders: tuple[int, ...] = (3, 4),
 def calibrate(model: SubwordModel, texts: list[str], y: np.ndarray, lost: float = 0.0005, above: float = 0.09) -> None:
     """Set the temperature of least log loss, and the score below which to reject.
 
-    The rejection score lies ``above`` of the way from chance to certainty, or lower
-    if more than the share ``lost`` of right predictions would fall below it; it
-    only rejects what looks like no class at all.  What looks like a class but is
-    made of other n-grams falls below the least familiarity: for each length, the
-    quantile ``lost`` of the held-back texts cut to it, less a margin in bits that
-    is the wider the fewer they are.  Short texts vary more, so their bound is lower.
+    The temperature is fitted on the held-back texts and, in the ``letters`` view, on
+    all their beginnings of the lengths in ``PIECES``: whole texts alone are told
+    apart without a mistake, which says nothing of how sure to be.  The rejection score lies ``above`` of the
+    way from chance to certainty, or lower if more than the share ``lost`` of right
+    predictions would fall below it; it only rejects what looks like no class at
+    all.  What looks like a class but is made of other n-grams falls below the least
+    familiarity: for each length, the quantile ``lost`` of the held-back texts cut to
+    it, less a margin in bits that is the wider the fewer they are.  Short texts vary
+    more, so their bound is lower.
     """
-    z = np.concatenate([model.logits(texts[i : i + 64])[0] for i in range(0, len(texts), 64)])
-    loss = lambda t: -np.log(np.maximum(softmax(z / t)[np.arange(len(y)), y], 1e-12)).mean()
-    model.temperature = float(min(np.geomspace(0.25, 4, 41), key=loss))
+    read = lambda xs: [np.concatenate(c) for c in zip(*(model.read(xs[i : i + 64]) for i in range(0, len(xs), 64)))]
+    z, _, _ = read(texts)
+    cuts = [read([x.strip()[:n] for x in texts]) for n in PIECES] if model.view == "letters" else []
+    pooled = np.concatenate([z, *(c[0][c[1] > 0] for c in cuts)])
+    truth = np.concatenate([y, *(y[c[1] > 0] for c in cuts)])
+    loss = lambda t: -np.log(np.maximum(softmax(pooled / t)[np.arange(len(truth)), truth], 1e-12)).mean()
+    model.temperature = float(min(TEMPERATURES, key=loss))
     p = softmax(z / model.temperature)
     right = p.max(axis=1)[p.argmax(axis=1) == y]
     if len(right):
         chance = 1 / len(model.classes)
         model.reject_below = float(min(chance + above * (1 - chance), np.quantile(right, lost)))
     if model.familiar is not None:
-        pieces = []
-        for n in PIECES:
-            _, letters, known = model.read([x.strip()[:n] for x in texts])
-            pieces.append(np.quantile(known[letters > 0], lost) if (letters > 0).any() else -np.inf)
+        pieces = [np.quantile(known[letters > 0], lost) if (letters > 0).any() else -np.inf for _, letters, known in cuts]
         model.bounds = np.minimum.accumulate(pieces[::-1])[::-1] - 1 - np.log2(1 + 100 / len(texts))

@@ -66,6 +66,55 @@ def test_rejection_is_calibrated():
     assert p[2].max() < p[:2].max(axis=1).min() and 0 < model.reject_below <= 0.545 + 1e-9
 
 
+def plain_judge(model, text):
+    """(probabilities, letters, familiarity) with loops over n-grams."""
+    low = "".join(c if c.isalpha() else " " for c in f" {text.lower()} ")
+    total, known, count = np.zeros(len(model.classes)), 0.0, 0
+    for n in model.orders:
+        for i in range(len(low) - n + 1):
+            gram = low[i : i + n]
+            if " " in gram[1:-1]:
+                continue
+            h = n
+            for k, c in enumerate(gram):
+                h = (h ^ ord(c)) * int(subwords._MULTIPLY[k % 5]) % (1 << 32)
+                h ^= h >> 15
+            b = h % len(model.table)
+            total, known, count = total + model.table[b], known + model.familiar[b], count + 1
+    z = (total / max(count, 1) + model.bias) / model.temperature
+    e = np.exp(z - z.max())
+    return e / e.sum(), sum(map(str.isalpha, text.lower())), known / max(count, 1)
+
+
+def test_predictions_against_plain_code(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    model = langid.fit(docs)
+    texts = [r.text for r in docs.limit(12).collect()] + ["", "1 2", "Ünï çødé", "kq7xz vbnwq", "Все люди", "🙂 a", "x" * 5000]
+    got = langid.identify(spark.createDataFrame([(t,) for t in texts], "text string"), model).collect()
+    for t, r in zip(texts, got):
+        p, letters, known = plain_judge(model, t)
+        want = model.classes[int(p.argmax())] if letters else "und"
+        assert r.lang_pred == want and abs(r.score - (p.max() if letters else 0)) < 1e-6
+        bound = max([-np.inf] + [b for n, b in zip(subwords.PIECES, model.bounds) if n <= letters])
+        assert r.accepted == bool(letters and p.max() >= model.reject_below and known >= bound)
+
+
+def test_temperature_lies_inside_its_range(spark):
+    model = langid.fit(spark.read.parquet(f"{SF}/documents.parquet"))
+    assert subwords.TEMPERATURES[0] < model.temperature < subwords.TEMPERATURES[-1]
+    p, _, accepted = model.judge(list(OTHER.values()))
+    assert p.max() < 0.6 and not accepted.any()
+
+
+def test_every_language_is_learned_and_bytes_are_bounded(spark):
+    rows = [(i, " ".join([f"w{i % 400}q" * 3, chr(97 + i % 26) * 9, "abc"]), f"l{i % 400}", "s") for i in range(1200)] + [(5000 + i, "long " * 4000, "long", "s") for i in range(40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    known = {r[2] for r in rows if zlib.crc32(str(r[0]).encode()) % 5}
+    assert len(known) > 256
+    for most in (64 << 20, 50_000):
+        assert set(langid.fit(df, max_bytes=most, epochs=0, buckets=256, hold=0.0).classes) == known
+
+
 OTHER = {
     "Italian": "Nel mezzo del cammin di nostra vita mi ritrovai per una selva oscura che la diritta via era smarrita",
     "Finnish": "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan, heille on annettu järki",
