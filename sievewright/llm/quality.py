@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sievewright.llm.common import cut
+from sievewright.llm.line_dedup import host_of
 from sievewright.llm.subwords import SubwordModel, train
 from sievewright.llm.tokens import text_slices
 
@@ -98,10 +99,21 @@ def strength(groups: DataFrame, n: str, k: str, centre: Column) -> float:
     return float(np.clip(binomial / spread - 1, *STRENGTH)) if spread > 0 else STRENGTH[1]
 
 
-def grade(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", site_col: str = "source", path_col: str = "lang", keep_above: float = 0.5, model: SubwordModel | None = None) -> DataFrame:
+def path_of(url: Column, depth: int = 1) -> Column:
+    """The first ``depth`` folders of a URL's path, lower case, without the document's own name; '' at the root, null if there is no URL."""
+    path = F.regexp_extract(F.lower(url), r"^[a-z][a-z0-9+.-]*://[^/?#]*/([^?#]*)", 1)
+    folders = F.filter(F.split(F.regexp_replace(path, "[^/]*$", ""), "/"), lambda x: x != "")
+    return F.when(host_of(url).isNotNull(), F.array_join(F.slice(folders, 1, depth), "/"))
+
+
+def grade(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", site_col: str = "source", path_col: str = "lang", keep_above: float = 0.5, model: SubwordModel | None = None, url_col: str | None = None) -> DataFrame:
     """(doc_id, text_score, site_rate, path_rate, quality, keep) for each row.
 
-    ``labels`` has (doc_id, quality); ids without a row there are unlabelled.
+    With ``url_col``, the site is the URL's host and the path its first folder.
+    Without, two columns stand for them; the defaults are what ``documents`` has:
+    its source for the site, its language for a part of the site.  A text counts
+    whole, however long.  ``labels`` has (doc_id, quality); ids without a row there
+    are unlabelled.  Only the named columns are read, so others may have any name.
     ``text_score`` is the classifier's probability; ``site_rate`` and ``path_rate``
     are the shrunken rates of good documents without the row itself; ``quality`` is
     the posterior, and ``keep`` whether it is at least ``keep_above``.  Texts that
@@ -111,7 +123,8 @@ def grade(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     """
     known = labelled(labels)
     model = model or fit(df, known, id_col, text_col)
-    scored, _ = cut(evidence(df, model, id_col, text_col, F.col(site_col), F.col(path_col)), "evidence")
+    site, path = (host_of(F.col(url_col)), path_of(F.col(url_col))) if url_col else (F.col(site_col), F.col(path_col))
+    scored, _ = cut(evidence(df, model, id_col, text_col, site, path), "evidence")
     seen = scored.join(known, F.col("doc_id") == F.col("label_id"), "left").select("doc_id", "site", "path", "p", F.coalesce("label", "p").alias("e"))
     paths, _ = cut(seen.groupBy("site", "path").agg(F.count("*").alias("n_path"), F.sum("e").alias("k_path")), "path-sums")
     sites = paths.groupBy("site").agg(F.sum("n_path").alias("n_site"), F.sum("k_path").alias("k_site"))

@@ -39,6 +39,7 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``documents`` has no URL: its source stands in for the host, and its language for the path within it."""
     from sievewright.llm.quality import grade
 
     return grade(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))

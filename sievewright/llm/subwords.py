@@ -78,7 +78,11 @@ def features(texts: list[str], orders: tuple[int, ...], buckets: int, view: str
 
 
 def echoes(texts: list[str], first: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
-    """One feature, in the last bucket, for each word that repeats one of the two words before it."""
+    """One feature, in the last bucket, for each word that repeats one of the two words before it.
+
+    Repetition is a sign of machine-made text that no n-gram of character kinds can
+    show; the model learns its weight like that of any other feature.
+    """
     count = []
     for t in texts:
         w = t.split()

@@ -201,6 +201,30 @@ def test_quality_of_hosts_and_paths(spark):
     assert np.allclose(got.quality, want, atol=1e-9)
 
 
+def test_hosts_and_paths_of_urls(spark):
+    cases = [("https://WWW.Ex.com/Blog/2024/post.html?q=/a/", "ex.com", "blog"), ("http://ex.com/post", "ex.com", ""), ("http://ex.com", "ex.com", ""), ("http://ex.com//a//b/c", "ex.com", "a"), ("no url", None, None), (None, None, None)]
+    got = spark.createDataFrame(cases, "u string, h string, p string").select(quality.host_of(F.col("u")), quality.path_of(F.col("u")), "h", "p", quality.path_of(F.col("u"), 2)).collect()
+    assert all(r[0] == r[2] and r[1] == r[3] for r in got) and got[0][4] == "blog/2024"
+
+
+def test_quality_from_urls_on_held_out_labels(spark):
+    docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
+    url = F.concat(F.lit("https://h"), F.col("doc_id") % 7, F.lit(".org/p"), F.floor(F.col("doc_id") / 7) % 3, F.lit("/x.html"))
+    docs = docs.select("doc_id", "text", url.alias("url"), F.lit("clash").alias("site"), F.lit("clash").alias("p"), F.lit("clash").alias("label"))
+    learned = labels.where("crc32(cast(doc_id as string)) % 4 <> 0")
+    got = quality.grade(docs, learned, url_col="url").toPandas().set_index("doc_id")
+    held = labels.where("crc32(cast(doc_id as string)) % 4 = 0").toPandas().drop_duplicates("doc_id").set_index("doc_id").quality
+    assert len(held) > 50 and (got.loc[held.index].keep == (held == 1)).mean() > 0.95
+    assert got.loc[held.index][held == 1].keep.mean() > 0.97
+
+
+def test_one_very_long_text_counts_whole(spark):
+    rows = [(1, "fine words here and there " * 200_000 + "JUNK$$$ " * 20, "a", "x"), (2, "JUNK$$$ JUNK$$$ JUNK$$$", "a", "x"), (3, "fine words here and there", "b", "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
+    got = quality.grade(docs, spark.createDataFrame([(2, 0), (3, 1)], "doc_id long, quality int")).toPandas().set_index("doc_id")
+    assert len(got) == 3 and got.text_score[1] > got.text_score[2]
+
+
 def test_quality_edge_cases(spark):
     docs = spark.createDataFrame([(1, "some fine words", "a", "x"), (2, None, None, None), (None, "", "a", None), (3, "!!! ???", "a", "x"), (1, "some fine words", "a", "x")], "doc_id long, text string, source string, lang string")
     labels = spark.createDataFrame([(1, 1), (1, None), (3, 0), (None, 1)], "doc_id long, quality int")
