@@ -5,11 +5,16 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 #: Words as every contract of this subpackage counts them: runs of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
+#: Folders that :func:`cut` wrote inside the innermost :func:`sweeping`.
+_made: ContextVar[list[str] | None] = ContextVar("made", default=None)
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -42,6 +47,9 @@ def cut(df: DataFrame, label: str) -> tuple[DataFrame, str]:
     planner true sizes.  Returns the reread frame and its path.
     """
     path = scratch_path(df.sparkSession, label)
+    made = _made.get()
+    if made is not None:
+        made.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path), path
 
@@ -53,6 +61,26 @@ def discard(spark: SparkSession, path: str) -> None:
     at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
 
 
+@contextmanager
+def sweeping(spark: SparkSession) -> Iterator[set[str]]:
+    """Discard all that :func:`cut` writes inside the block but the paths put into the yielded set.
+
+    What stays is what the block's result still reads; an enclosing block decides on it.
+    """
+    made: list[str] = []
+    token, keep = _made.set(made), set()
+    try:
+        yield keep
+    finally:
+        _made.reset(token)
+        for path in made:
+            if path not in keep:
+                discard(spark, path)
+        outer = _made.get()
+        if outer is not None:
+            outer.extend(p for p in made if p in keep)
+
+
 def fresh_name(df: DataFrame, stem: str) -> str:
     """A column name starting with ``stem`` that ``df`` does not have (in any case)."""
     taken, name = {c.lower() for c in df.columns}, stem

@@ -49,4 +49,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 6
             break
     else:
         raise RuntimeError("components did not settle")
-    return now.select(F.col("hi").alias("node"), F.col("lo").alias("root")).union(now.select(F.col("lo").alias("node"), F.col("lo").alias("root")).distinct())
+    stars = now.select(F.col("hi").alias("node"), F.col("lo").alias("root")).union(now.select(F.col("lo").alias("node"), F.col("lo").alias("root")).distinct())
+    roots, _ = cut(stars, "roots")
+    discard(spark, path)
+    return roots

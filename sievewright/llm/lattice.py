@@ -4,32 +4,38 @@ A table projects unit vectors by a Gaussian matrix to blocks of eight dimensions
 scales them, and decodes each block to its nearest point of the lattice E8 (the
 densest packing in eight dimensions, with a decoder of a few roundings).  The
 points of all blocks name the cell.  A vector stands in its own cell and in the
-``probes`` neighbouring cells it is nearest to, in several tables; vectors of the
+neighbouring cells whose boundary it is near to, in several tables; vectors of the
 same label that share any cell are compared by their cosine in double precision.
 
-Equal vectors of a label are one row with a weight from the start.  A pair is
-counted in the first cell that it shares, by the codes that both rows carry, and a
-run of a cell gives each row's number of new partners and a spanning forest: links
-are never listed pair by pair, and a large cell is compared block against block.
+Equal vectors of a label are one row with a weight from the start.  A vector
+travels to its cells as it was stored (four bytes for a float).  A pair is counted
+in the least cell that it shares, by the cells that both rows name, and a run of a
+cell gives each row's number of new partners and a spanning forest: links are
+never listed pair by pair, and a large cell is compared block against block.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 from itertools import combinations, product
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import FloatType
 
 from sievewright.llm.buckets import Union, deal, whole_runs
-from sievewright.llm.common import cut
+from sievewright.llm.common import cut, sweeping
 from sievewright.llm.components import components
 
-#: (blocks, cell size, tables, probes, share of unrelated pairs that share a cell).  Measured on pairs of
-#: random unit vectors in 64 dimensions: recall above 0.999 at cosine 0.98 for each.
-PLANS = ((1, 1.6, 4, 1, 1e-2), (2, 2.0, 6, 2, 9e-4), (3, 2.2, 8, 2, 1e-4))
+#: (blocks, cell size, tables, margin), ever finer: of random unit vectors in 64 dimensions the share of unrelated
+#: pairs that are compared is 0.19, 0.02, 4e-4, 1e-4 and 1e-5, and a vector travels 4, 6, 12, 16 and 22 times.
+#: Each finds at least 0.999 of the pairs of cosine 0.98 (``tests/llm`` measures it).
+PLANS = ((1, 2.6, 2, 0.18), (1, 1.7, 2, 0.3), (2, 2.0, 4, 0.18), (2, 1.7, 5, 0.2), (3, 2.0, 5, 0.2))
+#: Vectors of the largest label by which the plan is chosen.
+SAMPLE = 512
 
 
 def minimal_vectors() -> np.ndarray:
@@ -62,50 +68,66 @@ def nearest_e8(x: np.ndarray) -> np.ndarray:
 
 
 class LatticeHash:
-    """Codes of vectors: (rows, tables, 1 + probes) 64-bit cell names, own cell first."""
+    """Cells of vectors in ``tables`` tables of ``blocks`` projections to eight dimensions.
 
-    def __init__(self, dim: int, blocks: int, size: float, tables: int, probes: int, seed: int = 8):
+    A vector stands in the cell of its nearest lattice point, and in each
+    neighbouring cell whose boundary is so near that the squared distance to its
+    point is less than ``margin`` longer.
+    """
+
+    def __init__(self, dim: int, blocks: int, size: float, tables: int, margin: float, seed: int = 8):
         rng = np.random.default_rng(seed)
-        self.blocks, self.probes = blocks, probes
+        self.blocks, self.margin = blocks, margin
         self.maps = [rng.normal(size=(dim, 8 * blocks)) / size for _ in range(tables)]
         self.mix = rng.integers(1, 1 << 63, size=(tables, 8 * blocks), dtype=np.uint64) | np.uint64(1)
         self.near = minimal_vectors()
 
-    def codes(self, x: np.ndarray) -> np.ndarray:
-        out = np.empty((len(x), len(self.maps), 1 + self.probes), dtype=np.int64)
-        rows = np.arange(len(x))
+    def cells(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(row, 64-bit cell name) of every cell of every row, by row; each row has its cells once."""
+        owner, names = [], []
         for t, m in enumerate(self.maps):
             y = x @ m
-            own, moves, price = [], [], []
+            base = np.concatenate([nearest_e8(y[:, 8 * b : 8 * b + 8]) for b in range(self.blocks)], axis=1)
+            owner.append(np.arange(len(x)))
+            names.append(self._name(t, base))
             for b in range(self.blocks):
-                z = y[:, 8 * b : 8 * b + 8]
-                c = nearest_e8(z)
+                part = slice(8 * b, 8 * b + 8)
                 # |z - c - v|^2 - |z - c|^2 for each neighbour c + v
-                more = 2.0 - 2.0 * ((z - c) @ self.near.T)
-                pick = np.argpartition(more, self.probes, axis=1)[:, : self.probes]
-                own.append(c)
-                moves.append(self.near[pick])
-                price.append(np.take_along_axis(more, pick, axis=1))
-            base = np.concatenate(own, axis=1)
-            order = np.argsort(np.concatenate(price, axis=1), axis=1, kind="stable")[:, : self.probes]
-            out[:, t, 0] = self._name(t, base)
-            for k in range(self.probes):
-                cell = base.copy()
-                for b in range(self.blocks):
-                    at = rows[order[:, k] // self.probes == b]
-                    cell[at, 8 * b : 8 * b + 8] += moves[b][at, order[at, k] % self.probes]
-                out[:, t, 1 + k] = self._name(t, cell)
-        return out
+                row, move = np.nonzero(2.0 - 2.0 * ((y[:, part] - base[:, part]) @ self.near.T) < self.margin)
+                cell = base[row]
+                cell[:, part] += self.near[move]
+                owner.append(row)
+                names.append(self._name(t, cell))
+        row, name = np.concatenate(owner), np.concatenate(names)
+        order = np.argsort(row, kind="stable")
+        return row[order], name[order]
 
     def _name(self, t: int, cells: np.ndarray) -> np.ndarray:
-        h = (np.rint(2 * cells).astype(np.int64).view(np.uint64) * self.mix[t]).sum(axis=1, dtype=np.uint64)
+        h = (np.rint(2 * cells).astype(np.int64).view(np.uint64) * self.mix[t]).sum(axis=1, dtype=np.uint64) + np.uint64(t)
         h ^= h >> np.uint64(29)
         return (h * np.uint64(0xBF58476D1CE4E5B9)).view(np.int64)
 
+    def cost(self, x: np.ndarray, threshold: float) -> float:
+        """Comparisons for each pair of unit vectors below ``threshold``: how often an unrelated pair shares a cell."""
+        row, name = self.cells(x)
+        order = np.argsort(name, kind="stable")
+        meet = np.zeros((len(x), len(x)))
+        for own in np.split(row[order], np.flatnonzero(np.diff(name[order])) + 1):
+            meet[np.ix_(own, own)] += 1
+        below = np.triu(x @ x.T < threshold, 1)
+        return float(meet[below].mean()) if below.any() else 0.0
+
+
+def units(x: np.ndarray) -> np.ndarray:
+    """Rows of doubles scaled to length 1, without overflow on the way."""
+    x = x / np.abs(x).max(axis=1, keepdims=True)
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
+
 
 def usable(df: DataFrame, id_col: str, vector_col: str, label_col: str) -> DataFrame:
     """(vec_id, label, vector, sound): sound rows have a label and a vector of finite numbers that is not zero."""
-    vector = F.transform(F.col(vector_col), lambda x: x.cast("double") + F.lit(0.0))  # turns -0.0 into 0.0
+    kind = "float" if df.schema[vector_col].dataType.elementType == FloatType() else "double"
+    vector = F.transform(F.col(vector_col), lambda x: x.cast(kind) + F.lit(0.0).cast(kind))  # turns -0.0 into 0.0
     sound = F.col("label").isNotNull() & F.col("vector").isNotNull() & F.forall("vector", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf")))) & F.exists("vector", lambda x: x != 0)
     slim = df.select(F.col(id_col).cast("long").alias("vec_id"), F.col(label_col).cast("string").alias("label"), vector.alias("vector"))
     return slim.withColumn("sound", F.coalesce(sound, F.lit(False)))
@@ -113,28 +135,25 @@ def usable(df: DataFrame, id_col: str, vector_col: str, label_col: str) -> DataF
 
 def _links(classes: DataFrame, hasher: LatticeHash, threshold: float, block: int) -> DataFrame:
     """(a, b, n): a spanning forest of links (n null), and for row a the weight n of new partners (b null)."""
-    tables, cells = len(hasher.maps), 1 + hasher.probes
-    schema = pa.schema([("label", pa.int64()), ("cell", pa.int64()), ("table", pa.int32()), ("class", pa.int64()), ("weight", pa.int64()), ("vector", pa.binary()), ("codes", pa.binary())])
+    schema = pa.schema([("label", pa.int64()), ("cell", pa.int64()), ("class", pa.int64()), ("weight", pa.int64()), ("vector", pa.binary()), ("cells", pa.binary())])
+    kind = np.float32 if classes.schema["vector"].dataType.elementType == FloatType() else np.float64
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 1024):
-                part = batch.slice(at, 1024)
+            for at in range(0, batch.num_rows, 512):
+                part = batch.slice(at, 512)
                 x = part.column(3).flatten().to_numpy().reshape(part.num_rows, -1)
-                unit = x / np.abs(x).max(axis=1, keepdims=True)
-                unit /= np.linalg.norm(unit, axis=1, keepdims=True)
-                codes = hasher.codes(unit)
-                many = np.repeat(np.arange(len(x)), tables * cells)
-                take = pa.array(many)
-                yield pa.RecordBatch.from_arrays([part.column(0).take(take), pa.array(codes.ravel()), pa.array(np.tile(np.repeat(np.arange(tables, dtype=np.int32), cells), len(x))), part.column(1).take(take), part.column(2).take(take), pa.array([r.tobytes() for r in unit]).take(take), pa.array([r.tobytes() for r in codes]).take(take)], schema=schema)
+                row, name = hasher.cells(units(x.astype(np.float64)))
+                own = np.split(name, np.flatnonzero(np.diff(row)) + 1)
+                take = pa.array(row)
+                yield pa.RecordBatch.from_arrays([part.column(0).take(take), pa.array(name), part.column(1).take(take), part.column(2).take(take), pa.array([r.tobytes() for r in x]).take(take), pa.array([r.tobytes() for r in own]).take(take)], schema=schema)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for t, of in whole_runs(batches, 3, 4096):
+        for t, of in whole_runs(batches, 2, 4096):
             get = lambda c: t.column(c).to_numpy()  # noqa: E731, B023
-            x = np.frombuffer(b"".join(t.column("vector").to_pylist()), dtype=np.float64).reshape(len(of), -1)
-            codes = np.frombuffer(b"".join(t.column("codes").to_pylist()), dtype=np.int64).reshape(len(of), tables, cells)
-            table, cell, klass, weight, own = get("table"), get("cell"), get("class"), get("weight"), get("block_own")
-            split = get("block_a") != get("block_b")
+            x = units(np.frombuffer(b"".join(t.column("vector").to_pylist()), dtype=kind).reshape(len(of), -1).astype(np.float64))
+            cell, klass, weight, own, split = get("cell"), get("class"), get("weight"), get("block_own"), get("block_a") != get("block_b")
+            named = [np.frombuffer(c, dtype=np.int64) for c in t.column("cells").to_pylist()]
             sets, partners = Union(len(of)), np.zeros(len(of), dtype=np.int64)
             edges = np.flatnonzero(np.diff(of, prepend=-1))
             for a, b in zip(edges.tolist(), np.append(edges[1:], len(of)).tolist()):
@@ -146,31 +165,53 @@ def _links(classes: DataFrame, hasher: LatticeHash, threshold: float, block: int
                     i, j = i + i0, j + i0
                     keep = (i < j) & (~split[a] | (own[i] != own[j]))
                     i, j = i[keep], j[keep]
-                    for k in range(0, len(i), 65_536):
-                        p, q = i[k : k + 65_536], j[k : k + 65_536]
+                    for k in range(0, len(i), 16_384):
+                        p, q = i[k : k + 16_384], j[k : k + 16_384]
                         close = np.einsum("ij,ij->i", x[p], x[q]) >= threshold
                         p, q = p[close], q[close]
                         if not len(p):
                             continue
                         sets.join(p, q)
-                        first = np.ones(len(p), dtype=bool)
-                        for s in range(int(table[a]) + 1):
-                            same = codes[p, s][:, :, None] == codes[q, s][:, None, :]
-                            if s == table[a]:  # of several shared cells of this table, the least counts
-                                same &= (codes[p, s] < cell[a])[:, :, None]
-                            first &= ~same.any(axis=(1, 2))
+                        first = least_shared(named, p, q, int(cell[a]))
                         np.add.at(partners, p[first], weight[q[first]])
                         np.add.at(partners, q[first], weight[p[first]])
             child, met = np.flatnonzero(sets.root != np.arange(len(of))), np.flatnonzero(partners)
             none = lambda n: pa.nulls(n, pa.int64())
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate((klass[child], klass[met]))), pa.concat_arrays([pa.array(klass[sets.root[child]]), none(len(met))]), pa.concat_arrays([none(len(child)), pa.array(partners[met])])], ["a", "b", "n"])
 
-    rows = classes.select(F.xxhash64("label").alias("label"), "class", "weight", "vector").mapInArrow(place, "label long, cell long, table int, class long, weight long, vector binary, codes binary")
-    dealt = deal(rows.select("label", "table", "cell", "class", "weight", "vector", "codes"), ["label", "table", "cell"], F.xxhash64("class"), block)
-    return dealt.mapInArrow(compare, "a long, b long, n long")
+    rows = classes.select(F.xxhash64("label").alias("label"), "class", "weight", "vector").mapInArrow(place, "label long, cell long, class long, weight long, vector binary, cells binary")
+    return deal(rows, ["label", "cell"], F.xxhash64("class"), block).mapInArrow(compare, "a long, b long, n long")
+
+
+def least_shared(named: list[np.ndarray], p: np.ndarray, q: np.ndarray, cell: int) -> np.ndarray:
+    """For each pair (p, q) of rows, which all stand in ``cell``, whether no cell less than it is named by both."""
+    rows, at = np.unique(np.concatenate((p, q)), return_inverse=True)
+    lower = [named[r][named[r] < cell] for r in rows.tolist()]
+    width = max(1, max(map(len, lower)))
+    left, right = np.zeros((len(rows), width), dtype=np.int64), np.ones((len(rows), width), dtype=np.int64)
+    filled = np.zeros((len(rows), width), dtype=bool)
+    for k, own in enumerate(lower):
+        left[k, : len(own)] = right[k, : len(own)] = own
+        filled[k, : len(own)] = True
+    a, b = at[: len(p)], at[len(p) :]
+    out = np.ones(len(p), dtype=bool)
+    for k in range(width):
+        out &= ~(filled[a, k] & ((left[a, k][:, None] == right[b]) & filled[b]).any(axis=1))
+    return out
+
+
+def plan_for(classes: DataFrame, dim: int, label: str, rows: int, threshold: float, wanted: float) -> tuple:
+    """The first of ``PLANS`` that leaves about ``wanted`` comparisons a row in a label of so many rows.
+
+    How often unrelated vectors meet depends on how the data lie, so it is measured
+    on up to ``SAMPLE`` vectors of the label, those of least hash.
+    """
+    drawn = classes.where((F.size("vector") == dim) & (F.col("label") == label)).select("vector", F.xxhash64("class", F.lit("plan")).alias("ticket")).orderBy("ticket").limit(SAMPLE).collect()
+    x = units(np.array([r["vector"] for r in drawn], dtype=np.float64))
+    return next((p for p in PLANS if rows * LatticeHash(dim, *p).cost(x, threshold) <= wanted), PLANS[-1])
 
 
-def near_duplicates(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label", threshold: float = 0.98, plan: tuple | None = None, wanted: int = 4096, block: int = 512) -> DataFrame:
+def near_duplicates(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label", threshold: float = 0.98, plan: tuple | None = None, wanted: float = 4096, block: int = 2048) -> DataFrame:
     """(vec_id, n_links, component_id, kept) for each row.
 
     Rows link if their labels are equal and not null and the cosine of their
@@ -180,31 +221,36 @@ def near_duplicates(df: DataFrame, id_col: str = "vec_id", vector_col: str = "em
     reachable, itself included; ``kept`` tells whether it is the row's own.  Equal
     vectors always link.  Rows with a null id link and count like others, but name
     no component; an id on several vectors is one node.  Repeated rows are equal
-    vectors; an empty table gives no rows.  ``plan`` is a row of ``PLANS``; by default the first that leaves
-    about ``wanted`` unrelated candidates a row in the largest label.
+    vectors; an empty table gives no rows.  ``plan`` is a row of ``PLANS``; by
+    default :func:`plan_for` chooses one by the largest label.  The plans' margins
+    are made for thresholds from 0.98 on.
     """
-    rows, _ = cut(usable(df, id_col, vector_col, label_col), "vectors")
-    mark = [F.xxhash64("label", "vector").alias("mark_a"), F.xxhash64(F.lit("class"), F.col("label"), F.col("vector")).alias("mark_b")]
-    marked = rows.where("sound").select("vec_id", "label", "vector", *mark)
-    classes = marked.groupBy("label", "vector").agg(F.count("*").alias("weight"), F.min("vec_id").alias("first_id"), F.first("mark_a").alias("mark_a"), F.first("mark_b").alias("mark_b"))
-    classes, _ = cut(classes.withColumn("class", F.coalesce("first_id", "mark_a")), "vector-classes")
-    sizes = classes.groupBy(F.size("vector").alias("dim"), "label").count().groupBy("dim").agg(F.max("count").alias("most")).collect()
-    found = None
-    for r in sizes:
-        chosen = plan or next((p for p in PLANS if r["most"] * p[4] <= wanted), PLANS[-1])
-        part = _links(classes.where(F.size("vector") == r["dim"]), LatticeHash(r["dim"], *chosen[:4]), threshold, block)
-        found = part if found is None else found.union(part)
-    if found is None:
-        return rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.col("vec_id").isNotNull().alias("kept"))
-    found, _ = cut(found, "vector-links")
-    roots, _ = cut(components(found.where("b is not null").select("a", "b")), "vector-roots")
-    partners = found.where("n is not null").groupBy(F.col("a").alias("class_n")).agg(F.sum("n").alias("n"))
-    linked = classes.select("class", "first_id").join(roots, F.col("class") == F.col("node")).select("class", "first_id", "root")
-    least = linked.groupBy("root").agg(F.min("first_id").alias("least_id"))
-    named = linked.join(least, "root").groupBy(F.col("class").alias("class_r")).agg(F.min("least_id").alias("least_id"))
-    of = classes.join(named, F.col("class") == F.col("class_r"), "left").join(partners, F.col("class") == F.col("class_n"), "left")
-    component = F.when(F.col("class_r").isNull(), F.col("first_id")).otherwise(F.col("least_id"))
-    of, _ = cut(of.select(F.col("mark_a").alias("of_a"), F.col("mark_b").alias("of_b"), (F.col("weight") - 1 + F.coalesce("n", F.lit(0))).alias("n_links"), component.alias("least_id")), "vector-groups")
-    out = rows.where("sound").select("vec_id", *mark).join(of, (F.col("mark_a") == F.col("of_a")) & (F.col("mark_b") == F.col("of_b"))).select("vec_id", "n_links", F.col("least_id").alias("component_id"))
+    with sweeping(df.sparkSession) as keep:
+        marks = [F.xxhash64("label", "vector").alias("mark_a"), F.xxhash64(F.lit("class"), F.col("label"), F.col("vector")).alias("mark_b")]
+        found = usable(df, id_col, vector_col, label_col)
+        # the vectors stay behind: what the end needs of a row is which class it is of
+        rows, rows_path = cut(found.select("vec_id", "sound", *marks), "vectors")
+        classes = found.where("sound").groupBy("label", "vector").agg(F.count("*").alias("weight"), F.min("vec_id").alias("first_id")).select("*", *marks)
+        classes, _ = cut(classes.withColumn("class", F.coalesce("first_id", "mark_a")), "vector-classes")
+        sizes = classes.groupBy(F.size("vector").alias("dim"), "label").agg(F.count("*").alias("n")).groupBy("dim").agg(F.max(F.struct("n", "label")).alias("most")).collect()  # a row for each length of vectors
+        parts = []
+        for r in sizes:
+            chosen = plan or plan_for(classes, r["dim"], r["most"]["label"], r["most"]["n"], threshold, wanted)
+            parts.append(_links(classes.where(F.size("vector") == r["dim"]), LatticeHash(r["dim"], *chosen), threshold, block))
+        if not parts:
+            keep.add(rows_path)
+            return rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.col("vec_id").isNotNull().alias("kept"))
+        links, _ = cut(reduce(DataFrame.union, parts), "vector-links")
+        roots = components(links.where("b is not null").select("a", "b"))
+        partners = links.where("n is not null").groupBy(F.col("a").alias("class_n")).agg(F.sum("n").alias("n"))
+        slim = classes.select("class", "first_id", "weight", "mark_a", "mark_b")
+        linked = slim.select("class", "first_id").join(roots, F.col("class") == F.col("node")).select("class", "first_id", "root")
+        least = linked.groupBy("root").agg(F.min("first_id").alias("least_id"))
+        named = linked.join(least, "root").groupBy(F.col("class").alias("class_r")).agg(F.min("least_id").alias("least_id"))
+        of = slim.join(named, F.col("class") == F.col("class_r"), "left").join(partners, F.col("class") == F.col("class_n"), "left")
+        component = F.when(F.col("class_r").isNull(), F.col("first_id")).otherwise(F.col("least_id"))
+        of, of_path = cut(of.select(F.col("mark_a").alias("of_a"), F.col("mark_b").alias("of_b"), (F.col("weight") - 1 + F.coalesce("n", F.lit(0))).alias("n_links"), component.alias("least_id")), "vector-groups")
+        keep |= {rows_path, of_path}
+    out = rows.where("sound").select("vec_id", "mark_a", "mark_b").join(of, (F.col("mark_a") == F.col("of_a")) & (F.col("mark_b") == F.col("of_b"))).select("vec_id", "n_links", F.col("least_id").alias("component_id"))
     out = out.union(rows.where("not sound").select("vec_id", F.lit(0).cast("long"), "vec_id"))
     return out.withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)))

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sievewright.llm.buckets import Union, deal, pairs_by_offset, whole_runs
-from sievewright.llm.common import cut, discard
+from sievewright.llm.common import cut, sweeping
 from sievewright.llm.components import components
 from sievewright.llm.tokens import text_slices
 
@@ -136,13 +136,14 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     its component_id is null only if no row of the group has an id.  Repeated rows
     stay; an empty table gives no rows; other columns are ignored.
     """
-    docs, _ = cut(with_fingerprints(df, id_col, text_col, shingle), "fingerprints")
-    fps, path = cut(docs.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "distinct-fingerprints")
-    roots, _ = cut(components(link(fps.select("fp"), fps.count(), radius, block)), "roots")
-    linked = fps.join(roots, fps.fp == roots.node).select("fp", "first_id", "root")
-    least = linked.groupBy("root").agg(F.min("first_id").alias("least_id"))
-    of = linked.join(least, "root").select(F.col("fp").alias("fp_"), "root", "least_id")
-    known = fps.join(of, fps.fp == of.fp_, "left").select("fp", F.coalesce("root", "fp").alias("group_fp"), F.when(F.col("root").isNull(), F.col("first_id")).otherwise(F.col("least_id")).alias("component_id"))
-    known, _ = cut(known, "groups")
-    discard(df.sparkSession, path)
+    with sweeping(df.sparkSession) as keep:
+        docs, docs_path = cut(with_fingerprints(df, id_col, text_col, shingle), "fingerprints")
+        fps, _ = cut(docs.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "distinct-fingerprints")
+        roots = components(link(fps.select("fp"), fps.count(), radius, block))
+        linked = fps.join(roots, fps.fp == roots.node).select("fp", "first_id", "root")
+        least = linked.groupBy("root").agg(F.min("first_id").alias("least_id"))
+        of = linked.join(least, "root").select(F.col("fp").alias("fp_"), "root", "least_id")
+        known = fps.join(of, fps.fp == of.fp_, "left").select("fp", F.coalesce("root", "fp").alias("group_fp"), F.when(F.col("root").isNull(), F.col("first_id")).otherwise(F.col("least_id")).alias("component_id"))
+        known, known_path = cut(known, "groups")
+        keep |= {docs_path, known_path}
     return docs.join(known, "fp").select("doc_id", "fp", "group_fp", "component_id")

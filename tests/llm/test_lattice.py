@@ -58,7 +58,7 @@ def test_decoder_finds_the_nearest_point():
         assert np.isclose((v**2).sum(), 2)
 
 
-@pytest.mark.parametrize("plan,block", [(None, 2048), (L.PLANS[1][:4], 8)])
+@pytest.mark.parametrize("plan,block", [(None, 2048), *((p, 8) for p in L.PLANS)])
 def test_against_brute_force(spark, plan, block):
     rows = sample(np.random.default_rng(5), 260)
     base = rows[0][1]
@@ -73,6 +73,58 @@ def test_against_brute_force(spark, plan, block):
     assert not wrong, [(i, got[i], want[i]) for i in wrong][:5]
 
 
+def cells_of(hasher, x):
+    row, name = hasher.cells(x)
+    out = [set() for _ in x]
+    for r, c in zip(row.tolist(), name.tolist()):
+        assert c not in out[r]
+        out[r].add(c)
+    return out
+
+
+@pytest.mark.parametrize("dim", [16, 64, 256])
+@pytest.mark.parametrize("plan", L.PLANS)
+def test_recall_of_each_plan_at_the_threshold(plan, dim):
+    """Against brute force: of pairs whose cosine is 0.98 exactly, the hardest there are."""
+    rng = np.random.default_rng(1)
+    a, w = (L.units(rng.normal(size=(2000, dim))) for _ in "aw")
+    w = L.units(w - (w * a).sum(axis=1, keepdims=True) * a)
+    b = 0.98 * a + np.sqrt(1 - 0.98**2) * w
+    hasher = L.LatticeHash(dim, *plan)
+    met = [bool(p & q) for p, q in zip(cells_of(hasher, a), cells_of(hasher, b))]
+    assert np.mean(met) >= 0.997
+
+
+def test_plans_get_finer_and_cost_is_what_meets():
+    x = L.units(np.random.default_rng(3).normal(size=(400, 64)))
+    costs = [L.LatticeHash(64, *p).cost(x, 0.98) for p in L.PLANS]
+    assert costs == sorted(costs, reverse=True)
+    own = cells_of(L.LatticeHash(64, *L.PLANS[1]), x)
+    assert np.isclose(costs[1], np.mean([len(own[i] & own[j]) for i in range(400) for j in range(i)]))
+
+
+def test_biased_vectors_get_a_finer_plan(spark):
+    rng = np.random.default_rng(4)
+    rows = lambda shift: [(i, (rng.normal(size=64) + shift).tolist(), 1) for i in range(1500)]
+    chosen = []
+    for shift in (0.0, 1.5):
+        df = spark.createDataFrame(rows(shift), "vec_id long, embedding array<float>, label int")
+        classes = L.usable(df, "vec_id", "embedding", "label").withColumn("class", F.col("vec_id"))
+        chosen.append(L.PLANS.index(L.plan_for(classes, 64, "1", 1500, 0.98, 400)))
+    assert chosen[0] < chosen[1]
+
+
+def test_doubles_are_compared_as_doubles(spark):
+    v = np.zeros(8)
+    v[0] = 1.0
+    w = np.array([0.98, np.sqrt(1 - 0.98**2), 0, 0, 0, 0, 0, 0])
+    below = w + np.array([0, 1e-9, 0, 0, 0, 0, 0, 0])
+    df = spark.createDataFrame([(1, (3 * v).tolist(), 1), (2, (w * (1 + 1e-12)).tolist(), 1), (3, below.tolist(), 1)], "vec_id long, embedding array<double>, label int")
+    got = {r.vec_id: r.n_links for r in L.near_duplicates(df).collect()}
+    want = {i: sum(1 for b in (v, w, below) if (a / np.linalg.norm(a)) @ (b / np.linalg.norm(b)) >= 0.98) - 1 for i, a in ((1, v), (2, w), (3, below))}
+    assert got[3] == want[3] == 1 and got[2] == want[2] and got[1] == want[1]
+
+
 def test_empty_and_unusable(spark):
     schema = "vec_id long, embedding array<float>, label int"
     assert L.near_duplicates(spark.createDataFrame([], schema)).count() == 0
