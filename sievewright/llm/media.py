@@ -2,8 +2,9 @@
 
 An Aho-Corasick automaton finds the magic bytes of all formats in one pass over a
 value; a validator of the format then walks its structure (chunks, blocks, pages,
-boxes, markers), checks lengths and, where there are any, checksums, and tells how
-long the file is.  What passes corrects the declared type, and what stands inside
+boxes, markers), checks lengths and the checksums of PNG chunks and gzip members
+(those of Ogg pages, FLAC frames and members of archives are not looked at), and
+tells how long the file is.  What passes corrects the declared type, and what stands inside
 other data is carved out.  Text can be stored as 8-bit samples of a WAV file and
 read back the same way.
 """
@@ -14,6 +15,7 @@ import hashlib
 import struct
 import zlib
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -163,14 +165,21 @@ def pdf(b: memoryview, at: int) -> int:
     return end + 5 - at if end > 0 and whole.find(b"startxref", at, end) > 0 else 0
 
 
+@lru_cache(maxsize=1)
+def _archives(whole: bytes) -> dict[int, int]:
+    """Where each archive of a value starts, by the end records whose central directory ends at them, and where it ends."""
+    out, p = {}, -1
+    while (p := whole.find(b"PK\5\6", p + 1)) >= 0 and p + 22 <= len(whole):
+        size, start, note = struct.unpack_from("<IIH", whole, p + 12)
+        at = p - size - start
+        if at >= 0 and whole[at + start : at + start + 4] in (b"PK\1\2", b"PK\5\6") and p + 22 + note <= len(whole):
+            out.setdefault(at, p + 22 + note)
+    return out
+
+
 def zipped(b: memoryview, at: int) -> int:
-    """The first end record whose central directory starts and ends where it says."""
-    whole, p = b.obj, at
-    while (p := whole.find(b"PK\5\6", p + 1)) > 0 and p + 22 <= len(b):
-        size, start, note = struct.unpack_from("<IIH", b, p + 12)
-        if at + start + size == p and bytes(b[at + start : at + start + 4]) in (b"PK\1\2", b"PK\5\6") and p + 22 + note <= len(b):
-            return p + 22 + note - at
-    return 0
+    """The first end record whose central directory starts and ends where it says; a value's end records are read once."""
+    return max(0, _archives(b.obj).get(at, 0) - at)
 
 
 def gzipped(b: memoryview, at: int) -> int:
@@ -318,7 +327,11 @@ def wav_samples(file: bytes) -> tuple[int, bytes] | None:
 
 
 def store_texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, n_bytes, media): every whole text as the 8-bit samples of a WAV file; null is the empty text."""
+    """(doc_id, n_bytes, media): every whole text as the 8-bit samples of a WAV file; null is the empty text.
+
+    Null and repeated ids stay, a row each; an empty table gives no rows; other
+    columns are ignored, whatever their names.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -346,9 +359,12 @@ def read_media(stored: DataFrame, content_col: str = "media") -> DataFrame:
     Takes the rows of :func:`sniff`; adds payload_bytes, payload_sha256, tail_crc32
     (of the last 64 payload bytes), media_bytes, media_sha256 and feature.  The
     payload of a file that is no 8-bit mono WAV is null, and so is all that rests on
-    it.
+    it; a null file has nulls only.  Repeated rows and null ids stay, an empty table
+    stays empty; the content and ``segments`` go, columns of the new names are
+    replaced, and all others stay.
     """
-    names = [c for c in stored.columns if c not in (content_col, "segments")]
+    new = {"payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"}
+    names = [c for c in stored.columns if c.lower() not in {content_col.lower(), "segments"} | new]
     fields = [*names, content_col]
     out = StructType(list(stored.select(*names).schema.fields))
     for name, kind in (("payload_bytes", LongType()), ("payload_sha256", StringType()), ("tail_crc32", LongType()), ("media_bytes", LongType()), ("media_sha256", StringType()), ("feature", StringType())):

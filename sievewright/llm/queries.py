@@ -25,10 +25,12 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored files are declared as what they were before, plain text; sniffing corrects that, and counts the files in each value."""
     from sievewright.llm.media import read_media, sniff, store_texts
 
-    read = read_media(sniff(store_texts(_table(spark, sf_dir, "documents")), "media"))
-    return read.select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature")
+    stored = store_texts(_table(spark, sf_dir, "documents")).withColumn("declared", F.lit("text/plain"))
+    read = read_media(sniff(stored, "media", "declared").withColumn("n_files", F.size("segments").cast("long")))
+    return read.select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "detected", "corrected", "n_files")
 
 
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -82,6 +82,42 @@ def test_ogg_of_interleaved_streams():
         assert not [s for s in own.segments(file[:cut]) if s[1] == 0]
 
 
+def test_truncated_archives_are_read_once():
+    """A header for each of many members and no end record: time grows with the bytes, not with their square."""
+    import time
+
+    def took(n):
+        value = (b"PK\3\4" + bytes(26)) * n
+        began = time.perf_counter()
+        assert M.Sniffer().segments(value) == []
+        return time.perf_counter() - began
+
+    took(1000)
+    assert took(40_000) < 4 * 10 * max(took(4000), 0.01)
+    two = zipped() + b"between" + zipped()
+    assert [s[1:] for s in M.Sniffer().segments(two)] == [(0, len(zipped())), (len(zipped()) + 7, len(zipped()))]
+
+
+def test_media_edge_cases(spark):
+    schema = "doc_id long, text string, media string, feature string, Segments string"
+    rows = [(1, "a", "m", "f", "s"), (1, "a", "m", "f", "s"), (None, None, None, None, None)]
+    df = spark.createDataFrame(rows, schema)
+    stored = M.store_texts(df)
+    assert stored.columns == ["doc_id", "n_bytes", "media"] and stored.count() == 3 and M.store_texts(df.limit(0)).count() == 0
+    read = M.read_media(M.sniff(stored.withColumn("feature", F.lit("old")).withColumn("note", F.lit("kept")), "media"))
+    out = read.collect()
+    assert read.columns.count("feature") == 1 and {r.note for r in out} == {"kept"} and all(r.feature.startswith("audio/wav") for r in out)
+    assert out[0] == out[1] or len({str(r) for r in out}) == 2
+    assert M.read_media(M.sniff(stored.limit(0), "media")).count() == 0 and M.carve(M.sniff(stored.limit(0), "media"), "media").count() == 0
+
+
+def test_query_shows_correction(spark):
+    from sievewright.llm.queries import op3_media
+
+    out = op3_media(spark, "/root/testdata/sf0.001").toPandas()
+    assert (out.detected == "audio/wav").all() and out.corrected.all() and (out.n_files >= 1).all()
+
+
 def test_sniff_and_carve(spark):
     inner = FILES["image/png"]
     rows = [(1, inner, "image/jpeg"), (2, b"note" + inner + FILES["audio/wav"], "text/plain"), (3, None, "image/gif"), (4, b"", None), (5, b"GIF89a broken", "image/gif"), (6, b"plain", None), (1, inner, "image/jpeg")]
