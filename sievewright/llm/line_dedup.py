@@ -4,7 +4,7 @@ Lines are counted by (site, line digest): the pages of the site that contain the
 line, once each, over the pages of the site.  Lines above ``max_ratio`` on at
 least ``min_pages`` pages are boilerplate and leave every page of that site.  The
 shuffle carries two 64-bit digests a distinct line of a page, summed before it;
-texts are never shuffled by line.  A site has at most (mean distinct lines a page)
+texts are never shuffled by line, nor those of a hot site by site.  A site has at most (mean distinct lines a page)
 / ``max_ratio`` boilerplate lines, however large it is, so a site's list is short
 and joins its pages as one row.
 """
@@ -20,6 +20,8 @@ from sievewright.llm.common import cut
 MAX_RATIO = 0.08
 #: Fewer pages than this never do: a small site repeats lines by chance.
 MIN_PAGES = 5
+#: A site with more than one in so many of all pages is hot.
+HOT_SITES = 1000
 
 
 def digest(line: Column) -> Column:
@@ -62,14 +64,19 @@ HTML_STEPS = (
 
 
 def boilerplate(df: DataFrame, site_col: str, text_col: str, max_ratio: float = MAX_RATIO, min_pages: int = MIN_PAGES) -> DataFrame:
-    """(site, lines): for each site with boilerplate, the digests of its boilerplate lines."""
+    """(site, lines, hot): for each site with boilerplate, the digests of its boilerplate lines.
+
+    ``hot`` marks sites with more than one in ``HOT_SITES`` of all pages, so there
+    are fewer than ``HOT_SITES`` of them.
+    """
     pages = df.select(F.col(site_col).alias("site"), F.col(text_col).alias("text"))
     totals = pages.groupBy("site").agg(F.count("*").alias("pages"))
     # a line counts once a page: equal lines of one page are one before they are digested
     lines = pages.select("site", F.explode(F.array_distinct(F.transform(F.split("text", "\n"), lambda x: F.trim(x)))).alias("line")).where("line <> ''")
     counts = lines.select("site", digest(F.col("line")).alias("d")).groupBy("site", "d").agg(F.count("*").alias("n")).where(F.col("n") >= min_pages)
     above = counts.join(totals.withColumnRenamed("site", "site_"), F.col("site").eqNullSafe(F.col("site_"))).where(F.col("n") > F.lit(max_ratio) * F.col("pages"))
-    return above.groupBy("site").agg(F.sort_array(F.collect_list("d")).alias("lines"))
+    lists = above.groupBy("site").agg(F.sort_array(F.collect_list("d")).alias("lines"), F.max("pages").alias("pages"))
+    return lists.select("site", "lines", (F.col("pages") * HOT_SITES > F.lit(df.count())).alias("hot"))
 
 
 def drop_boilerplate(df: DataFrame, site: str, text_col: str = "text", max_ratio: float = MAX_RATIO, min_pages: int = MIN_PAGES, kept_col: str | None = None, dropped_col: str | None = None) -> DataFrame:
@@ -77,29 +84,44 @@ def drop_boilerplate(df: DataFrame, site: str, text_col: str = "text", max_ratio
 
     Blank lines stay and never count.  Null texts stay null; null sites are one
     site of their own; a page whose lines all go keeps the text ''.  Repeated rows
-    are pages of their own.  An empty table stays empty.  ``dropped_col``, if
-    named, gets the number of lines dropped, ``kept_col`` of those kept.
+    are pages of their own, and a line on exactly ``max_ratio`` of the pages stays.
+    An empty table stays empty.  ``dropped_col``, if named, gets the number of lines
+    dropped, ``kept_col`` of those kept; a column of that name is replaced.
+
+    The lists of the few hot sites are sent to all tasks; the rows of those sites are
+    then dealt by their content where the other lists are too large for that, so a
+    site with a third of all pages is no task of its own.
     """
     found, _ = cut(boilerplate(df, site, text_col, max_ratio, min_pages), "boilerplate")
-    names = {"site": "boilerplate_site", "lines": "boilerplate_lines"}
-    while {x.lower() for x in names.values()} & {c.lower() for c in df.columns}:
-        names = {k: v + "_" for k, v in names.items()}
-    found = found.withColumnsRenamed(names)
-    gone = F.col(names["lines"])
+    taken = {c.lower() for c in [*df.columns, dropped_col or "", kept_col or ""]}
+    names = ["hot_site", "hot_lines", "cold_site", "cold_salt", "cold_lines"]
+    while taken & set(names):
+        names = [x + "_" for x in names]
+    hot_site, hot_lines, cold_site, cold_salt, cold_lines = names
+    hot = found.where("hot").select(F.col("site").alias(hot_site), F.col("lines").alias(hot_lines))
+    cold = found.where("not hot").select(F.col("site").alias(cold_site), F.lit(0).alias(cold_salt), F.col("lines").alias(cold_lines))
+    out = df.join(F.broadcast(hot), F.col(site).eqNullSafe(F.col(hot_site)), "left")
+    salt = F.when(F.col(hot_lines).isNull(), F.lit(0)).otherwise(1 + F.pmod(F.xxhash64(F.col(text_col)), F.lit(1 << 20)).cast("int"))
+    out = out.join(cold, F.col(site).eqNullSafe(F.col(cold_site)) & (salt == F.col(cold_salt)), "left")
+    gone = F.coalesce(F.col(hot_lines), F.col(cold_lines))
     whole = F.split(F.col(text_col), "\n")
     left = F.filter(whole, lambda x: (F.trim(x) == "") | ~F.array_contains(gone, digest(x)))
     text = F.when(gone.isNull() | F.col(text_col).isNull(), F.col(text_col)).otherwise(F.array_join(left, "\n"))
-    out = df.join(found, F.col(site).eqNullSafe(F.col(names["site"])), "left")
     more = {}
     if dropped_col:
         more[dropped_col] = F.when(gone.isNull() | F.col(text_col).isNull(), F.lit(0)).otherwise(F.size(whole) - F.size(left)).cast("long")
     if kept_col:
         more[kept_col] = F.when(F.col(text_col).isNull(), F.lit(0)).when(gone.isNull(), F.size(whole)).otherwise(F.size(left)).cast("long")
-    return out.withColumns({**more, text_col: text}).select(*df.columns, *more)
+    kept = [c for c in df.columns if c.lower() not in {x.lower() for x in more}]
+    return out.withColumns({**more, text_col: text}).select(*kept, *more)
 
 
 def page_lines(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """(page_id, host, text) of raw pages, ready for :func:`drop_boilerplate`."""
+    """(page_id, host, text) of raw pages, ready for :func:`drop_boilerplate`.
+
+    A null page has the text '', a URL without a host or a null one the host null;
+    repeated pages stay, other columns go, and an empty table stays empty.
+    """
     return pages.select(F.col(id_col).alias("page_id"), host_of(F.col(url_col)).alias("host"), html_lines(F.col(html_col)).alias("text"))
 
 

@@ -28,8 +28,8 @@ WEIGHTS = (5, 2, 1)
 TOTAL = 1.5
 CAP = 2.0
 SEED = "mix-1"
-#: Hex digits of the md5 by which equal sizes of a source are split.
-PREFIX = 2
+#: Rows of one size and source that a task numbers, about; the digits of the md5 that split them follow from it.
+PART_ROWS = 1_000_000
 
 
 def word_count(text: Column) -> Column:
@@ -66,6 +66,14 @@ def _source(key: Column) -> Column:
     return F.when(key != "n", F.substring(key, 2, 1 << 30))
 
 
+def prefix_digits(rows: int) -> int:
+    """Hex digits (2 at least) that leave ``PART_ROWS`` to a part even if all rows are of one source and size."""
+    digits = 2
+    while rows > PART_ROWS << (4 * digits):
+        digits += 1
+    return digits
+
+
 def offset_of(key: Column) -> Column:
     """The source's random offset in [0, 1): 24 bits of an md5; a null source has one too."""
     return F.conv(F.substring(F.md5(F.concat(F.lit(SEED + "/"), key)), 1, 6), 16, 10).cast("double") / F.lit(16777216.0)
@@ -77,13 +85,15 @@ def mix(df: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_
     Where a name of the four is taken, underscores are added.  ``copies`` is how
     often the mix takes the document: at most ``cap``, rounded up.  Null texts have
     size 0, null sources are one source, null ids share one place in the order,
-    and repeated rows are drawn one by one.  Sources without words have target 0
+    and repeated rows are drawn one by one; rows that share id and size go by a hash
+    of their columns.  A text counts whole, however long.  Sources without words have target 0
     and give no copies.  An empty table gives no rows.
     """
     keep = list(columns if columns is not None else df.columns)
     size, source_size, target, copies = (fresh_name(df.select(*keep), x) for x in ("size", "source_size", "target", "copies"))
     mark = F.md5(F.concat(F.lit(SEED + "/"), F.coalesce(F.col(id_col).cast("string"), F.lit(""))))
-    rows = df.select(F.struct(*[F.col(c) for c in keep]).alias("row"), _key(F.col(source_col).cast("string")).alias("key"), word_count(F.col(text_col)).alias("size"), mark.alias("mark")).withColumn("part", F.substring("mark", 1, PREFIX))
+    rows = df.select(F.struct(*[F.col(c) for c in keep]).alias("row"), _key(F.col(source_col).cast("string")).alias("key"), word_count(F.col(text_col)).alias("size"), mark.alias("mark"))
+    rows = rows.withColumn("part", F.substring("mark", 1, prefix_digits(df.count())))
 
     groups, _ = cut(rows.groupBy("key", "size", "part").agg(F.count("*").alias("n")), "mix-counts")
     by_size = groups.groupBy("key", "size").agg(F.sum("n").alias("n"))
@@ -95,7 +105,7 @@ def mix(df: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_
     places, _ = cut(places.select("key", "size", "part", (F.col("smaller") + F.col("earlier")).alias("before"), "source_size", "target"), "mix-places")
 
     # window and join ask for the same dealing, so the rows travel once
-    own = F.row_number().over(Window.partitionBy("key", "size", "part").orderBy("mark"))
+    own = F.row_number().over(Window.partitionBy("key", "size", "part").orderBy("mark", F.xxhash64("row")))
     ranked = rows.withColumn("own", own).join(places, ["key", "size", "part"])
     expected = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     rank = (F.col("before") + F.col("own")).cast("double")

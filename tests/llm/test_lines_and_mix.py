@@ -28,6 +28,24 @@ def test_lines_against_plain_code(spark):
     assert L.drop_boilerplate(df.limit(0), "host").count() == 0
 
 
+def test_one_hot_site(spark, monkeypatch):
+    """A site with most pages is dealt by content: no broadcast, and no join by that site alone."""
+    monkeypatch.setattr(L, "HOT_SITES", 3)
+    rows = [("hot", f"Menu\nbody {i}\nline {i % 7}") for i in range(60)] + [(f"s{i % 9}", f"Top\nown {i}") for i in range(30)] + [(None, f"N\n{i}") for i in range(8)]
+    df = spark.createDataFrame([(s, t, i) for i, (s, t) in enumerate(rows)], "host string, text string, kept long").withColumn("hot_lines", F.lit("clash"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = L.drop_boilerplate(df, "host", max_ratio=0.2, min_pages=3, dropped_col="kept").withColumn("place", F.spark_partition_id())
+        got = out.collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert out.columns == ["host", "text", "hot_lines", "kept", "place"]
+    assert sorted(r.text for r in got) == sorted(plain_dedup(rows, 0.2, 3))
+    found = {r.site: r.hot for r in L.boilerplate(df, "host", "text", 0.2, 3).collect()}
+    assert found["hot"] and not found[None] and not any(found[f"s{i}"] for i in range(9))
+
+
 def test_no_python_in_line_dedup(spark):
     df = spark.createDataFrame([("a", "x")], "host string, text string")
     plan = L.drop_boilerplate(df, "host")._jdf.queryExecution().executedPlan().toString()
@@ -97,6 +115,22 @@ def test_mix_edge_cases(spark):
     assert M.emit(out, "copies_", ["doc_id"]).count() == sum(c for v in got.values() for *_, c in v)
 
 
+def test_one_hot_size(spark, monkeypatch):
+    """Many documents of one size and source: longer prefixes split them, and the ranks stay the same."""
+    monkeypatch.setattr(M, "PART_ROWS", 1)
+    assert [M.prefix_digits(n) for n in (0, 256, 257, 4096, 4097)] == [2, 2, 3, 3, 4]
+    df = spark.createDataFrame([(i, "w", "a") for i in range(500)] + [(1000 + i, "x y", "b") for i in range(300)], "doc_id long, text string, source string")
+    fine = sorted((r.doc_id, r.copies) for r in M.mix(df, columns=["doc_id"]).collect())
+    monkeypatch.setattr(M, "PART_ROWS", 1_000_000)
+    assert fine == sorted((r.doc_id, r.copies) for r in M.mix(df, columns=["doc_id"]).collect())
+
+
+def test_rows_of_one_id_are_drawn_alike_on_each_run(spark):
+    df = spark.createDataFrame([(7, f"t{i} u", "s") for i in range(40)] + [(i, "a b c", "t") for i in range(40)], "doc_id long, text string, source string")
+    runs = [sorted((r.text, r.doc_id, r.copies) for r in M.mix(df.repartition(n)).collect()) for n in (1, 7)]
+    assert runs[0] == runs[1]
+
+
 def test_a_source_without_words_takes_nothing(spark):
     df = spark.createDataFrame([(i, "", "empty") for i in range(5)] + [(9, "w", "full")], "doc_id long, text string, source string")
     assert {r.source: r.copies for r in M.mix(df).where("source = 'empty'").collect()} == {"empty": 0}
