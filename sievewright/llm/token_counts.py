@@ -60,7 +60,9 @@ def count_tokens(df: DataFrame, id_col: str = "doc_id", fields: Sequence[str] =
     ``section`` counts a field's lines from 0 (``by_line``) or is 0.  ``start`` is
     in the joined text.  Null values are empty; an empty field has one section
     without characters, and a row always has a section for each field.  Ids may be
-    null or repeat; an empty table gives no rows.
+    null or repeat, and repeated rows count one by one; texts are encoded whole,
+    however long; other columns are ignored, whatever their names; an empty table
+    gives no rows.
     """
     if rule not in RULES:
         raise ValueError(f"rule must be one of {RULES}")

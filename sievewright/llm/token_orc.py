@@ -36,21 +36,24 @@ def shard_bounds(df: DataFrame, id_col: str) -> list[int]:
     """
     size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     known = size if size < 1 << 62 else 0  # plans without files have no size
-    n = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), min(known // SHARD_BYTES, 1_000_000))
+    n = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), known // SHARD_BYTES)
     cuts = F.percentile_approx(F.col(id_col).cast("long"), [k / n for k in range(1, n)] or [0.5], max(10_000, 20 * n))
     return sorted(set(df.agg(cuts.alias("cuts")).first()["cuts"] or []))
 
 
 def shard_of(key: Column, bounds: list[int]) -> Column:
-    """How many bounds are below ``key`` (null: none), by two searches over the square root of their number."""
+    """How many bounds are below ``key`` (null: none), by two searches over the square root of their number.
+
+    The bounds stand in the plan as one literal each way, whatever their number.
+    """
     if not bounds:
         return F.lit(0)
     step = max(1, int(len(bounds) ** 0.5))
-    chunks = [bounds[i : i + step] for i in range(0, len(bounds), step)]
-    ends = F.lit([c[-1] for c in chunks])
+    array = lambda xs: F.split(F.lit(",".join(map(str, xs))), ",").cast("array<bigint>")
+    ends = array([bounds[min(i + step, len(bounds)) - 1] for i in range(0, len(bounds), step)])
     coarse = F.size(F.filter(ends, lambda b: b < key))
-    fine = F.size(F.filter(F.try_element_at(F.lit([c + [c[-1]] * (step - len(c)) for c in chunks]), F.least(coarse + 1, F.lit(len(chunks)))), lambda b: b < key))
-    return F.when(key.isNull(), 0).otherwise(F.when(coarse == len(chunks), len(bounds)).otherwise(coarse * step + fine)).cast("int")
+    fine = F.size(F.filter(F.slice(array(bounds), coarse * step + 1, step), lambda b: b < key))
+    return F.when(key.isNull(), 0).otherwise(F.least(coarse * step, F.lit(len(bounds))) + fine).cast("int")
 
 
 def write_tokens(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = 2, tokenizer: str | None = None, stripe_mb: int = 64, row_stride: int = 5000, fpp: float = 0.01) -> str:
@@ -58,7 +61,8 @@ def write_tokens(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str
 
     Null texts are empty; rows with a null id come first; rows with equal ids
     stand in the order of their texts; an empty table writes a file without rows.
-    Further columns are ignored.
+    Further columns are ignored, whatever their names.  All rows of an id are in one
+    shard.
     """
     vocabulary = tokenizer or tokenizer_path()
     end = np.array([end_id], dtype="<u4").tobytes()
@@ -80,8 +84,9 @@ def write_tokens(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str
                 last, before = of[-1], int(start[-1] + n[-1])
 
     key = F.col(id_col).cast("long")
-    slim = df.select(key.alias("doc_id"), F.col(text_col).cast("string").alias("text"), shard_of(key, shard_bounds(df, id_col)).alias("shard"))
-    dealt = slim.repartition("shard").sortWithinPartitions("shard", "doc_id", "text")
+    bounds = shard_bounds(df, id_col)
+    slim = df.select(key.alias("doc_id"), F.col(text_col).cast("string").alias("text"), shard_of(key, bounds).alias("shard"))
+    dealt = slim.repartitionById(len(bounds) + 1, "shard").sortWithinPartitions("shard", "doc_id", "text")  # a task for each shard
     options = {"orc.bloom.filter.columns": "doc_id", "orc.bloom.filter.fpp": str(fpp), "orc.create.index": "true", "orc.row.index.stride": str(row_stride), "orc.stripe.size": str(stripe_mb << 20), "orc.compress": "SNAPPY"}
     dealt.mapInArrow(encode, FILE_SCHEMA).write.partitionBy("shard").format("orc").options(**options).save(path)
     return path

@@ -216,6 +216,25 @@ def test_orc_round_trip(spark, tmp_path):
     assert O.round_trip(df.limit(0)).count() == 0
 
 
+def test_orc_repeated_ids_long_texts_and_other_columns(spark):
+    rows = [*DOCS, (7, "a", ), (7, None), (4, "long " * 60_000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("shard", F.lit("clash")).withColumn("ids", F.lit(1)).repartition(3)
+    got = sorted((r.start, r.doc_id, r.n_tokens, r.ids_crc32) for r in O.round_trip(df).collect())
+    at, want = 0, []
+    for k, t in sorted(rows, key=lambda d: (d[0] is not None, d[0] or 0, d[1] is not None, (d[1] or "").encode())):
+        ids = np.array(library([t or ""])[0].ids + [2], dtype="<u4")
+        want.append((at, k, len(ids), zlib.crc32(ids.tobytes())))
+        at += len(ids)
+    assert got == want
+
+
+def test_each_shard_has_its_task(spark, tmp_path):
+    df = spark.range(4000).select((F.col("id") * 3).alias("doc_id"), F.lit("some text").alias("text")).repartition(6)
+    O.write_tokens(df, str(tmp_path / "t"))
+    rows = O.read_tokens(spark, str(tmp_path / "t")).select("shard", F.input_file_name().alias("f")).groupBy("shard").agg(F.count_distinct("f").alias("files"), F.count("*").alias("n")).collect()
+    assert len(rows) == 4 and {r.files for r in rows} == {1} and max(r.n for r in rows) < 1.2 * min(r.n for r in rows)
+
+
 def test_shards_ascend(spark, tmp_path):
     import random
 
@@ -243,6 +262,16 @@ def test_shard_search(spark, n):
     assert spark.sql("select cast(null as long) x").select(O.shard_of(F.col("x"), bounds)).first()[0] == 0
 
 
+def test_token_counts_of_odd_rows(spark):
+    rows = [(None, "a\nb"), (1, None), (1, None), (2, "long words " * 30_000), (None, "a\nb")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("section", F.lit("clash")).withColumn("sizes", F.lit(1))
+    out = C.count_tokens(df).toPandas()
+    assert out.columns.tolist() == ["doc_id", "field", "section", "start", "length", "n_tokens"]
+    assert (out.doc_id.isna().sum(), (out.doc_id == 1).sum(), out[out.doc_id == 1].n_tokens.sum()) == (4, 2, 0)
+    assert out[out.doc_id == 2].n_tokens.tolist() == [len(library([rows[3][1]])[0].ids)]
+    assert C.count_tokens(df.limit(0)).count() == 0
+
+
 @pytest.mark.parametrize("rule", C.RULES)
 @pytest.mark.parametrize("by_line", [True, False])
 def test_attribution_against_plain_code(spark, rule, by_line):
