@@ -7,7 +7,7 @@ columns of ``docs`` as they came.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sievewright.llm import common, langid, line_dedup, mixing, packing, simhash
@@ -18,19 +18,26 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     The model learns from the labelled rows of ``docs`` outside the held-out fold.
     Where there are none, nothing is known of any language, and only documents
-    without letters go.
+    without letters go; null and empty texts are such.  Each row is judged by its
+    text alone, so repeated rows stay or go together; further columns stay, whatever
+    their names; an empty table stays empty.
     """
     model = langid.fit(docs)
     if model is None:
         return docs.where(F.col("text").rlike(r"\p{L}"))
-    found = langid.identify(docs, model, lang_col="lang_pred_", score_col="score_", accepted_col="accepted_")
-    return found.where("accepted_").select(*docs.columns)
+    lang, score, accepted = (common.fresh_name(docs, x) for x in ("lang_pred", "score", "accepted"))
+    return langid.identify(docs, model, lang_col=lang, score_col=score, accepted_col=accepted).where(F.col(accepted)).select(*docs.columns)
 
 
 def site_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop the boilerplate lines of each source; every document stays, with its new number of characters."""
-    left = line_dedup.drop_boilerplate(docs, "source", dropped_col="dropped_")
-    return left.withColumn("n_chars", F.when(F.col("dropped_") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(*docs.columns)
+    """Drop the boilerplate lines of each source; every document stays, with its new number of characters.
+
+    A null text stays null and a null source is a source; repeated rows count as
+    pages of their own; further columns stay, whatever their names.
+    """
+    gone = common.fresh_name(docs, "dropped")
+    left = line_dedup.drop_boilerplate(docs, "source", dropped_col=gone)
+    return left.withColumn("n_chars", F.when(F.col(gone) > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,15 +46,18 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     Only the rows whose id is null or repeated need a comparison of whole rows for
     that; they are few, and the others pass without a shuffle of texts by content.
     Documents that share an id are told apart by their texts: each group led by the
-    id keeps one of its own.
+    id keeps one of its own.  Null texts are empty, and all texts without words are
+    one group; of rows that share id and text the least by its other columns stays;
+    further columns stay, whatever their names; an empty table stays empty.
     """
     found, _ = common.cut(simhash.near_duplicates(docs), "pipeline-groups")
-    keepers = found.where("doc_id = component_id").select(F.col("doc_id").alias("keep_id")).distinct()
-    repeated, _ = common.cut(docs.groupBy("doc_id").count().where("count > 1 and doc_id is not null").select(F.col("doc_id").alias("again_id")), "repeated-ids")
-    kept = docs.join(keepers, F.col("doc_id") == F.col("keep_id"), "left_semi")
-    once = kept.join(repeated, F.col("doc_id") == F.col("again_id"), "left_anti")
-    twice = kept.join(repeated, F.col("doc_id") == F.col("again_id"), "left_semi")
-    own = found.where("doc_id = component_id").join(repeated, F.col("doc_id") == F.col("again_id"), "left_semi")
+    keep, again = common.fresh_name(docs, "keep_id"), common.fresh_name(docs, "again_id")
+    keepers = found.where("doc_id = component_id").select(F.col("doc_id").alias(keep)).distinct()
+    repeated, _ = common.cut(docs.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1 and doc_id is not null").select(F.col("doc_id").alias(again)), "repeated-ids")
+    kept = docs.join(keepers, F.col("doc_id") == F.col(keep), "left_semi")
+    once = kept.join(repeated, F.col("doc_id") == F.col(again), "left_anti")
+    twice = kept.join(repeated, F.col("doc_id") == F.col(again), "left_semi")
+    own = found.where("doc_id = component_id").join(repeated, F.col("doc_id") == F.col(again), "left_semi")
     return once.unionByName(_homonyms(twice, own)).unionByName(_nameless(docs.where("doc_id is null"), found.where("doc_id is null and component_id is null")))
 
 
@@ -61,9 +71,14 @@ def _homonyms(rows: DataFrame, found: DataFrame) -> DataFrame:
     named = simhash.with_fingerprints(texts, "key_k", "text_k").withColumnRenamed("doc_id", "key_f")
     group = found.select(F.col("doc_id").alias("id_f"), F.col("fp").alias("fp_f"), "group_fp").distinct()
     of = texts.join(named.distinct(), F.col("key_k") == F.col("key_f")).join(group, (F.col("doc_id") == F.col("id_f")) & (F.col("fp") == F.col("fp_f")))
-    chosen = of.groupBy("id_f", "group_fp").agg(F.min("text_k").alias("text_c")).select("id_f", "text_c")
-    left = rows.join(chosen, (F.col("doc_id") == F.col("id_f")) & (F.coalesce("text", F.lit("")) == F.col("text_c")), "left_semi")
-    return left.groupBy(F.col("doc_id").alias("id_k"), F.coalesce("text", F.lit("")).alias("key_k")).agg(F.min_by(F.struct(*rows.columns), F.struct("text", "lang", "source", "n_chars")).alias("row")).select("row.*")
+    led, text = common.fresh_name(rows, "led_id"), common.fresh_name(rows, "led_text")
+    chosen = of.groupBy("id_f", "group_fp").agg(F.min("text_k").alias("text_c")).select(F.col("id_f").alias(led), F.col("text_c").alias(text))
+    left = rows.join(chosen, (F.col("doc_id") == F.col(led)) & (F.coalesce("text", F.lit("")) == F.col(text)), "left_semi")
+    return left.groupBy(F.col("doc_id").alias("id_k"), F.coalesce("text", F.lit("")).alias("key_k")).agg(_least_row(rows)).select("row.*")
+
+
+def _least_row(rows: DataFrame) -> Column:
+    return F.min_by(F.struct(*[F.col(f"`{c}`") for c in rows.columns]), F.struct("text", "lang", "source", "n_chars")).alias("row")
 
 
 def _nameless(rows: DataFrame, found: DataFrame) -> DataFrame:
@@ -71,17 +86,27 @@ def _nameless(rows: DataFrame, found: DataFrame) -> DataFrame:
     texts = rows.select(F.coalesce("text", F.lit("")).alias("text_k")).distinct().select("text_k", F.xxhash64("text_k").alias("id_k"))
     named = simhash.with_fingerprints(texts, "id_k", "text_k").withColumnRenamed("doc_id", "id_f")
     group = found.select(F.col("fp").alias("fp_f"), "group_fp").distinct()
-    chosen = named.join(group, named.fp == group.fp_f).join(texts, F.col("id_f") == F.col("id_k")).groupBy("group_fp").agg(F.min("text_k").alias("text_c")).select("text_c")
-    return rows.join(chosen, F.coalesce("text", F.lit("")) == F.col("text_c"), "left_semi").groupBy(F.coalesce("text", F.lit("")).alias("key_k")).agg(F.min_by(F.struct(*rows.columns), F.struct("text", "lang", "source", "n_chars")).alias("row")).select("row.*")
+    text = common.fresh_name(rows, "led_text")
+    chosen = named.join(group, named.fp == group.fp_f).join(texts, F.col("id_f") == F.col("id_k")).groupBy("group_fp").agg(F.min("text_k").alias("text_c")).select(F.col("text_c").alias(text))
+    return rows.join(chosen, F.coalesce("text", F.lit("")) == F.col(text), "left_semi").groupBy(F.coalesce("text", F.lit("")).alias("key_k")).agg(_least_row(rows)).select("row.*")
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeat and drop documents so that the sources' words meet their targets."""
-    return mixing.emit(mixing.mix(docs), columns=docs.columns)
+    """Repeat and drop documents so that the sources' words meet their targets.
+
+    Null texts have no words and are taken or not like others of their size; null
+    sources are one source; rows are drawn one by one, repeated ones too, and equal
+    sizes go by a hash of the id; further columns stay, whatever their names.
+    """
+    return mixing.emit(mixing.mix(docs), common.fresh_name(docs, "copies"), docs.columns)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pack what is left into sequences of at most 2048 tokens: one row for each piece."""
+    """Pack what is left into sequences of at most 2048 tokens: one row for each piece.
+
+    Null and empty texts are the end id alone, null ids stay null, and copies are
+    packed one by one; further columns are ignored.
+    """
     return packing.pack(docs)
 
 
@@ -101,7 +126,9 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``, each written to the shared folder and read again."""
     docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES[:-1]:
-        docs, path = common.cut(stage(spark, docs, sf_dir), f"stage-{name}")
+        with common.sweeping(spark) as keep:  # of what a stage writes on its way, only its result stays
+            docs, path = common.cut(stage(spark, docs, sf_dir), f"stage-{name}")
+            keep.add(path)
         if before:
             common.discard(spark, before)  # nothing reads the stage before the last any more
         before = path
