@@ -1,5 +1,8 @@
+import os
 import zlib
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline as P
 from sievewright.llm import common, mixing, simhash
 from tests.llm.test_lines_and_mix import plain_dedup
@@ -73,6 +76,29 @@ def test_nothing_learned_drops_only_texts_without_letters(spark):
     assert sorted(r.text for r in P.language_id(spark, docs, SF).collect()) == sorted(t for t, _ in few[:-1])
 
 
+def test_other_columns_of_any_name_stay(spark):
+    names = ["lang_pred", "SCORE", "accepted_", "dropped", "keep_id", "again_id", "fp", "row", "key_k", "id_f", "led_text", "copies", "size", "hot_site"]
+    base = spark.read.parquet(f"{SF}/documents.parquet").limit(40)
+    odd = spark.createDataFrame([(7_000_000, "same words here", "en", "s", 1), (7_000_000, "other words there", "en", "s", 1), (None, "no id", None, None, None), (None, "no id", None, None, None), (7_000_001, None, None, None, None)], base.schema)
+    docs, _ = common.cut(base.unionByName(odd).select("*", *[F.concat(F.lit(f"{n}/"), F.coalesce("text", F.lit("none"))).alias(n) for n in names]), "clash")
+    for name, stage in P.STAGES[:-1]:
+        before = {r.text for r in docs.collect()}
+        docs, _ = common.cut(stage(spark, docs, SF), f"clash-{name}")
+        assert docs.columns == [*base.columns, *names]
+        rows = docs.collect()
+        assert rows and all(r[n].startswith(f"{n}/") for r in rows for n in names)
+        if name != "line_dedup":
+            assert {r.text for r in rows} <= before and all(r[n] == f"{n}/{r.text if r.text is not None else 'none'}" for r in rows for n in names)
+    assert P.pack(spark, docs, SF).count() >= len(rows)
+
+
+def test_a_run_leaves_only_what_is_read(spark):
+    root = common.scratch_root(spark).removeprefix("file:")
+    before = set(os.listdir(root))
+    P.run(spark, SF)
+    assert {x.split("-")[0] + "-" + x.split("-")[1] for x in set(os.listdir(root)) - before} == {"stage-mixing"}
+
+
 def test_no_documents(spark):
     docs, _ = common.cut(spark.read.parquet(f"{SF}/documents.parquet").limit(0), "none")
     for name, stage in P.STAGES:
