@@ -31,7 +31,7 @@ def parser() -> argparse.ArgumentParser:
     add("audit", (("--path",), {}), (("--min-short-side",), number), (("--min-sharpness",), {"type": float}), (("--write-manifest",), flag))
     add("ingest", (("--source",), {"required": True}), (("--source-name",), {"default": "local"}))
     add("recover", (("--dry-run",), flag), (("--limit",), number | {"default": 600}), (("--category",), {"action": "append"}), (("--candidates",), {"help": "Parquet of candidates with their hashes"}), (("--thumbs",), {"default": "dataset/thumbs", "help": "folder for thumbnails of candidates that are listed now"}))
-    add("fetch", (("--source",), {"action": "append"}), (("--klass",), {"choices": CLASSES}), (("--limit",), number | {"default": 100}), (("--dry-run",), flag), (("--allow-unknown-license",), flag))
+    add("fetch", (("--source",), {"action": "append"}), (("--klass",), {"choices": CLASSES}), (("--limit",), number | {"default": 100}), (("--dry-run",), flag), (("--allow-unknown-license",), flag), (("--secrets",), {"default": "config/secrets.yaml", "help": "YAML or JSON: for each source its options, such as api_key"}))
     add("refilter", (("--min-short-side",), number | {"required": True}), (("--klass",), {"choices": CLASSES}))
     add("relicense")
     add("synthesize", (("--count",), number | {"default": 100}), (("--steps",), number | {"default": 30}), (("--ip-adapter-scale",), {"type": float, "default": 0.35}), (("--seed",), number | {"default": 7797676568}), (("--reference-dir",), {"required": True}))
@@ -65,9 +65,6 @@ def run(spark: SparkSession, argv: list[str]) -> commands.Outcome:
         out, save = commands.audit(spark, records, a.path or a.images, Thresholds().override(a.min_short_side, a.min_sharpness)), a.write_manifest
     elif a.command == "ingest":
         out = commands.ingest_folder(spark, records, a.source, a.images, a.source_name)
-        for row in out.report["copy"].select("name").toLocalIterator():
-            with open(f"{a.source}/{row['name']}", "rb") as f:
-                tree.put(f"{a.images}/{row['name']}", f.read())
     elif a.command == "recover":
         if a.candidates:
             candidates = spark.read.parquet(a.candidates)
@@ -78,7 +75,8 @@ def run(spark: SparkSession, argv: list[str]) -> commands.Outcome:
             candidates = commands.list_candidates(spark, wanted, a.thumbs, a.limit)
         out = commands.recover(spark, records, candidates)
     elif a.command == "fetch":
-        out = commands.fetch(spark, records, a.source or ["wikimedia"], _queries(settings, a.klass), a.limit, a.allow_unknown_license)
+        secrets = config.load(a.secrets) if a.secrets and os.path.exists(a.secrets) else {}
+        out = commands.fetch(spark, records, a.source or ["wikimedia"], _queries(settings, a.klass), a.limit, a.allow_unknown_license, secrets, None if a.dry_run else a.images)
     elif a.command == "refilter":
         out = commands.refilter(records, a.min_short_side, a.klass)
     elif a.command == "relicense":

@@ -13,6 +13,12 @@ def from_hex(c: Column) -> Column:
     return F.when(F.coalesce(c, F.lit("")) != "", F.conv(c, 16, -10).cast("long"))
 
 
+def signed(x: int) -> int:
+    """64 bits as a signed long; also of the union of signed longs."""
+    x &= (1 << 64) - 1
+    return x - (1 << 64) if x >> 63 else x
+
+
 def hamming(a: Column, b: Column) -> Column:
     return F.bit_count(a.bitwiseXOR(b)).cast("int")
 

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -86,11 +88,24 @@ def stem(name: Column) -> Column:
     return F.when(F.regexp_like(base, F.lit(r"^.+\.[^.]+$")), F.regexp_replace(base, r"\.[^.]+$", "")).otherwise(base)
 
 
+#: One of these stands, lower-cased, in every text that has noise: the words that ``NOISE`` asks for.
+NOISE_NEEDS = (":", "dsc", "img", "camera", "nikon", "canon", "wikimedia", "commons", "own work", "self-photographed", "uploaded", "cc-by", "cc by", "public domain")
+#: Letters that match an ASCII letter of another case without becoming one in lower case.
+FOLDED = ("\u017f", "\u212a", "\u0130", "\u0131")
+
+
+def may_have_noise(c: Column) -> Column:
+    """False only where ``NOISE`` cannot match: a few searches for words spare most texts the pattern."""
+    low = let(F.lower(c), lambda low: reduce(or_, [F.contains(low, F.lit(w)) for w in NOISE_NEEDS]))
+    return low | reduce(or_, [F.contains(c, F.lit(x)) for x in FOLDED])
+
+
 def clean(c: Column) -> Column:
     """A description without noise and odd characters, white space collapsed, outer `` ,.-`` stripped."""
-    text = F.regexp_replace(F.coalesce(c, F.lit("")), "(?iU)" + NOISE, " ")
-    text = F.regexp_replace(F.regexp_replace(text, r"[^\p{L}\p{N}_\s,.-]", " "), r"\s+", " ")
-    return F.regexp_replace(text, r"^[ ,.-]+|[ ,.-]+$", "")
+    text = F.coalesce(c, F.lit(""))
+    text = F.when(may_have_noise(text), F.regexp_replace(text, "(?iU)" + NOISE, " ")).otherwise(text)
+    # odd characters and white space become one space together
+    return F.btrim(F.regexp_replace(text, r"[^\p{L}\p{N}_,.-]+", " "), F.lit(" ,.-"))
 
 
 def first_sentence(cleaned: Column) -> Column:

@@ -43,19 +43,28 @@ def corrupt_lines(lines: DataFrame, line: str = "value") -> DataFrame:
     return rows.where(F.col("corrupt_").isNotNull() | ~valid(rows)).select("line_")
 
 
+def _file_system(spark: SparkSession, path: str):
+    """(file system, path, path of the copy that :func:`save` keeps while it swaps)."""
+    jvm = spark.sparkContext._jvm
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), at, jvm.org.apache.hadoop.fs.Path(f"{path}.previous")
+
+
 def load(spark: SparkSession, path: str) -> DataFrame:
-    """The records of a manifest file: the last line of a filename wins; no file is an empty manifest.
+    """The records of a manifest: the last line of a filename wins; no file is an empty manifest.
 
-    Lines of one file are numbered by position: (file, offset order).  A manifest
-    written by :func:`save` has one line a key, so nothing has to be put in order.
+    Of a folder, files go by name and lines by their place in the file.  Where a
+    :func:`save` was cut off between its two renames, the manifest before it is put
+    back first.
     """
-    jvm = spark.sparkContext._jvm
-    at = jvm.org.apache.hadoop.fs.Path(path)
-    if not at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at):
-        return spark.createDataFrame([], RECORD)
-    # the order of lines in a text file is that of its splits, which the id follows
-    lines = spark.read.text(path).select("value", F.monotonically_increasing_id().alias("line_no_"))
-    rows = parse_lines(lines)
+    fs, at, previous = _file_system(spark, path)
+    if not fs.exists(at):
+        if not fs.exists(previous):
+            return spark.createDataFrame([], RECORD)
+        fs.rename(previous, at)
+    # a split's lines are in one task, in order; splits go by file and first byte
+    place = F.struct(F.col("_metadata.file_path"), F.col("_metadata.file_block_start"), F.monotonically_increasing_id())
+    rows = parse_lines(spark.read.text(path).select("value", place.alias("line_no_")))
     rows = rows.where(F.col("corrupt_").isNull() & valid(rows))
     return with_defaults(latest(rows, "filename", F.col("line_no_")).select(*RECORD.names))
 
@@ -66,16 +75,24 @@ def to_lines(df: DataFrame) -> DataFrame:
 
 
 def save(df: DataFrame, path: str) -> None:
-    """Write the manifest sorted by filename: to a folder beside ``path``, which then takes its place."""
+    """Write the manifest sorted by filename.
+
+    It is written beside ``path`` and swapped in by renames; the manifest before it
+    stays until the new one stands, so at every moment one of them is whole.
+    """
     spark = df.sparkSession
     staging = f"{path}.staging"
     to_lines(df).orderBy("filename").select("line").coalesce(1).write.mode("overwrite").text(staging)
-    jvm = spark.sparkContext._jvm
-    fs = jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    old, new = jvm.org.apache.hadoop.fs.Path(path), jvm.org.apache.hadoop.fs.Path(staging)
+    fs, at, previous = _file_system(spark, path)
+    new = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(staging)
     part = next(s.getPath() for s in fs.listStatus(new) if s.getPath().getName().startswith("part-"))
-    fs.delete(old, True)
-    fs.rename(part, old)
+    if fs.exists(at):
+        fs.delete(previous, True)
+        if not fs.rename(at, previous):
+            raise OSError(f"cannot move {path} aside")
+    if not fs.rename(part, at):
+        raise OSError(f"cannot put {path} in its place; the manifest before it is {path}.previous")
+    fs.delete(previous, True)
     fs.delete(new, True)
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,7 +12,7 @@ from sievewright.functions.licenses import apply_policy
 from sievewright.functions.text import CaptionWords, html_strip, none_if_empty, stem
 from sievewright.functions.verdicts import add_reason, has_provenance, is_rejected
 from sievewright.operators.duplicates import distance_buckets, hamming_pairs, match_in_turn
-from sievewright.schema import SYNTHETIC
+from sievewright.schema import SYNTHETIC, UNKNOWN_LICENSE
 
 # Fixed values of the generated descriptions.
 COMPOSITIONS = ("close macro detail, top-down view", "angled view, raking side light", "cross-section cut, exposed interior texture", "wide view, several fragments scattered on a surface")
@@ -29,7 +31,7 @@ def match_candidates(records: DataFrame, candidates: DataFrame, radius: int = 5)
     locals_ = pending(records).select("filename", from_hex(F.col("phash")).alias("h"))
     keyed = locals_.select(F.concat(F.lit("l"), "filename").alias("k"), "h").union(candidates.select(F.concat(F.lit("c"), F.col("seq").cast("string")), from_hex(F.col("phash"))))
     pairs = hamming_pairs(keyed, "k", "h", radius).where(F.col("a").startswith("c") & F.col("b").startswith("l"))
-    edges = pairs.select(F.substring("a", 2, 30).cast("long").alias("seq"), F.substring("b", 2, 1 << 20).alias("local"), "distance")
+    edges = pairs.select(F.substring("a", 2, 1 << 30).cast("long").alias("seq"), F.substring("b", 2, 1 << 30).alias("local"), "distance")
     return match_in_turn(edges).select("seq", F.col("local").alias("filename"), "distance")
 
 
@@ -138,7 +140,29 @@ def nearest(edges: DataFrame) -> DataFrame:
 
 
 def cross_distances(candidates: DataFrame, locals_: DataFrame, radius: int) -> DataFrame:
-    """(seq, local, distance) of all pairs within ``radius`` for small lists of candidates (seq, h) and locals (local, h)."""
+    """(seq, local, distance) of all pairs within ``radius`` of candidates (seq, h) and locals (local, h)."""
     keyed = candidates.select(F.concat(F.lit("c"), F.col("seq").cast("string")).alias("k"), "h").union(locals_.select(F.concat(F.lit("l"), F.col("local").cast("string")), "h"))
     pairs = hamming_pairs(keyed, "k", "h", radius).where(F.col("a").startswith("c") & F.col("b").startswith("l"))
-    return pairs.select(F.substring("a", 2, 30).cast("long").alias("seq"), F.substring("b", 2, 30).alias("local"), "distance")
+    rest = lambda c: F.substring(c, 2, 1 << 30)
+    return pairs.select(rest("a").cast("long").alias("seq"), rest("b").alias("local"), "distance")
+
+
+def recovery_counts(records: DataFrame, candidates: DataFrame, matches: DataFrame) -> DataFrame:
+    """(kind, name, n): records without provenance, candidates with and without a hash, matches, licences found and errors met."""
+    own = has_provenance(F.col("license"), F.col("origin_title"))
+    many = lambda kind, df, name=F.lit(None).cast("string"): df.groupBy(F.lit(kind).alias("kind"), name.alias("name")).agg(F.count("*").alias("n"))
+    meta = lambda k: html_strip(F.try_element_at("meta", F.lit(k)))
+    hit = matches.select("seq").join(candidates, "seq")
+    hashed = none_if_empty(F.col("phash")).isNotNull()
+    parts = [
+        many("pending", pending(records)),
+        many("with_provenance", records.where(own)),
+        many("candidates", candidates),
+        many("hashed", candidates.where(hashed)),
+        many("failed", candidates.where(~hashed)),
+        many("matched", matches),
+        many("license", hit, F.coalesce(meta("LicenseShortName"), meta("UsageTerms"), F.lit(UNKNOWN_LICENSE))),
+    ]
+    if "error" in candidates.columns:
+        parts.append(many("error", candidates.where(F.col("error").isNotNull()), F.regexp_extract("error", "^([^:]*)", 1)))
+    return reduce(DataFrame.unionByName, parts)

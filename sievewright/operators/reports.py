@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -49,22 +51,29 @@ def histogram(df: DataFrame, column: Column, name: str) -> DataFrame:
     return df.groupBy(column.alias(name)).agg(F.count("*").alias("n")).orderBy(name)
 
 
-def nearest_rank(df: DataFrame, column: str, fractions: dict[str, float]) -> DataFrame:
+def nearest_rank(df: DataFrame, column: str, fractions: dict[str, float], parts: int = 256) -> DataFrame:
     """One row: min, max, median and nearest-rank quantiles of the non-null values.
 
     The quantile of p is the value at place min(floor(n * p), n - 1) from 0 in
-    ascending order.  Places are counted on the distinct values with their numbers,
-    so neither the values nor their counts pass through one array; the running sum
-    goes over distinct values only.
+    ascending order.  The distinct values with their numbers are dealt into ``parts``
+    ranges of about equal size; the ranges' totals tell in which ones the wanted
+    places lie, and only those are put in order, each by itself.
     """
     counts = df.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("v")).agg(F.count("*").alias("m"))
-    upto = Window.orderBy("v")
-    n = F.sum("m").over(Window.partitionBy())
-    placed = counts.withColumn("n", n).withColumn("upto", F.sum("m").over(upto.rowsBetween(Window.unboundedPreceding, 0)))
+    bounds = counts.agg(F.percentile_approx("v", [k / parts for k in range(1, parts)], 20 * parts).alias("b")).first()["b"] or []
+    edges = sorted(set(bounds))
+    of = F.size(F.filter(F.array(*[F.lit(b) for b in edges]), lambda b: b < F.col("v"))) if edges else F.lit(0)
+    ranged = counts.withColumn("part", of)
+    whole, upto = Window.partitionBy(), Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    totals = ranged.groupBy("part").agg(F.sum("m").alias("held"), F.min("v").alias("low"), F.max("v").alias("high"))  # a row for each range
+    totals = totals.select("part", "held", F.coalesce(F.sum("held").over(upto), F.lit(0)).alias("before"), F.sum("held").over(whole).alias("n"), F.min("low").over(whole).alias("least"), F.max("high").over(whole).alias("most"))
+    n = F.col("n")
+    places = {**{k: F.least(F.floor(n * F.lit(p)), n - 1) for k, p in fractions.items()}, "low_mid": F.floor((n - 1) / 2), "high_mid": F.floor(n / 2)}
+    holds = reduce(lambda a, b: a | b, [(F.col("before") <= p) & (p < F.col("before") + F.col("held")) for p in places.values()])
+    placed = ranged.join(totals.where(holds), "part").withColumn("upto", F.col("before") + F.sum("m").over(Window.partitionBy("part").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)))
     at = lambda place: F.min(F.when(F.col("upto") > place, F.col("v")))
-    quantile = lambda p: at(F.least(F.floor(F.col("n") * F.lit(p)), F.col("n") - 1))
-    middle = (at(F.floor((F.col("n") - 1) / 2)).cast("double") + at(F.floor(F.col("n") / 2)).cast("double")) / 2
-    return placed.agg(F.coalesce(F.sum("m"), F.lit(0)).alias("n"), F.min("v").alias("least"), F.max("v").alias("most"), middle.alias("median"), *[quantile(p).alias(k) for k, p in fractions.items()])
+    middle = (at(places["low_mid"]).cast("double") + at(places["high_mid"]).cast("double")) / 2
+    return placed.agg(F.coalesce(F.max("n"), F.lit(0)).cast("long").alias("n"), F.max("least").alias("least"), F.max("most").alias("most"), middle.alias("median"), *[at(places[k]).alias(k) for k in fractions])
 
 
 def usable(df: DataFrame, duplicate: Column, readable: Column) -> DataFrame:

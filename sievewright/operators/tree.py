@@ -29,32 +29,59 @@ def put(path: str, data: bytes) -> None:
         raise
 
 
-def download(rows: DataFrame, folder: str, fetch: Callable[[dict], bytes], tasks: int = 4) -> DataFrame:
-    """(filename, error) of fetching each row (filename, download_url, ...) to a folder that executors share.
-
-    Files that exist are not fetched again; an error is the row's (its type and the
-    first 80 characters), leaves no file, and loses no other row.  ``tasks`` bounds
-    how many fetches run at once.
-    """
-    names = rows.columns
+def _each(rows: DataFrame, act: Callable[[dict], None]) -> DataFrame:
+    """(filename, error) of doing something with each row where it is; an error loses no other row."""
 
     def run(batches):
         import pyarrow as pa
 
         for batch in batches:
-            out = []
-            for row in batch.to_pylist():
-                path = os.path.join(folder, row["filename"])
+            for at in range(batch.num_rows):  # row by row: a row may hold a whole file
+                (row,) = batch.slice(at, 1).to_pylist()
                 error = None
-                if not os.path.exists(path):
-                    try:
-                        put(path, fetch({k: row[k] for k in names}))
-                    except Exception as e:
-                        error = f"{type(e).__name__}: {str(e)[:80]}"
-                out.append((row["filename"], error))
-            yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], pa.string()) for i in (0, 1)], ["filename", "error"])
-
-    return rows.repartition(tasks, "filename").mapInArrow(run, "filename string, error string")
+                try:
+                    act(row)
+                except Exception as e:
+                    error = f"{type(e).__name__}: {str(e)[:80]}"
+                yield pa.RecordBatch.from_arrays([pa.array([x], pa.string()) for x in (row["filename"], error)], ["filename", "error"])
+
+    return rows.mapInArrow(run, "filename string, error string")
+
+
+def download(rows: DataFrame, folder: str, fetch: Callable[[dict], bytes], tasks: int = 4, have: str | None = None) -> DataFrame:
+    """(filename, error) of fetching each row (filename, download_url, ...) to a folder that executors share.
+
+    Files that exist are not fetched again (those of ``have`` are copied); an error
+    is the row's (its type and the first 80 characters), leaves no file, and loses no
+    other row.  ``tasks`` bounds how many fetches run at once.
+    """
+
+    def act(row: dict) -> None:
+        path, old = os.path.join(folder, row["filename"]), os.path.join(have, row["filename"]) if have else None
+        if not os.path.exists(path):
+            put(path, Path(old).read_bytes() if old and os.path.exists(old) else fetch(row))
+
+    return _each(rows.repartition(tasks, "filename"), act)
+
+
+def store(rows: DataFrame, folder: str) -> DataFrame:
+    """(filename, error) of writing rows (filename, content, error) to a folder; rows that have an error keep it."""
+    done = _each(rows.where("error is null").select("filename", "content"), lambda row: put(os.path.join(folder, row["filename"]), row["content"]))
+    return done.unionByName(rows.where("error is not null").select("filename", "error"))
+
+
+def copy(names: DataFrame, source: str, target: str, move: bool = False) -> DataFrame:
+    """(filename, error) of copying files (filename) from one shared folder to another, or of moving them."""
+
+    def act(row: dict) -> None:
+        old, new = os.path.join(source, row["filename"]), os.path.join(target, row["filename"])
+        if not move:
+            put(new, Path(old).read_bytes())
+        elif os.path.exists(old) or not os.path.exists(new):  # a task that runs again finds its file moved
+            os.makedirs(os.path.dirname(new), exist_ok=True)
+            os.replace(old, new)
+
+    return _each(names.select("filename"), act)
 
 
 def write_tree(paths: DataFrame, source: str, out: str, encode: Callable[[bytes], bytes] | None = None) -> DataFrame:

@@ -7,6 +7,8 @@ does not take that step.
 
 from __future__ import annotations
 
+import shutil
+import uuid
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -17,10 +19,11 @@ from sievewright import sources
 from sievewright.functions.bits import from_hex
 from sievewright.functions.text import CaptionWords, none_if_empty
 from sievewright.functions.verdicts import add_reason, filter_reasons, is_panoramic, is_rejected, mode_note
-from sievewright.operators import classes, discovery, duplicates, export, ingest, manifest, pixels, provenance, reports
+from sievewright.operators import classes, discovery, duplicates, export, ingest, manifest, pixels, provenance, reports, tree
 from sievewright.plans import config
 from sievewright.schema import RECORD, Thresholds
 from sievewright.scratch import written
+from sievewright.sources import europepmc, http
 
 
 @dataclass
@@ -81,23 +84,34 @@ def audit(spark: SparkSession, records: DataFrame, folder: str, t: Thresholds =
 
 
 def ingest_folder(spark: SparkSession, records: DataFrame, folder: str, target: str, source_name: str = "local") -> Outcome:
-    """The new or changed pictures of a folder, and seed records with their digests."""
-    new = ingest.new_or_changed(ingest.list_images(spark, folder), ingest.list_files(spark, target))
-    seeds = ingest.seed_records(ingest.with_sha256(spark, folder).join(new.select("name"), "name", "left_semi"), records, source_name)
+    """Copy the new or changed pictures of a folder, and seed records with their digests; one that cannot be copied stays out."""
+    new = written(ingest.new_or_changed(ingest.list_images(spark, folder), ingest.list_files(spark, target)), "new-files")
+    copied = written(tree.copy(new.select(F.col("name").alias("filename")), folder, target), "copied")
+    done = copied.where("error is null").select(F.col("filename").alias("name"))
+    seeds = ingest.seed_records(ingest.with_sha256(spark, folder).join(done, "name", "left_semi"), records, source_name)
     fresh = seeds.withColumnsRenamed({"sha256": "sha_", "source": "source_"}).join(records, "filename", "left").withColumn("sha256", F.col("sha_")).withColumn("source", F.col("source_"))
-    return Outcome(manifest.upsert(records, _conform(fresh)), {"copy": new})
+    return Outcome(manifest.upsert(records, _conform(fresh)), {"copy": new, "errors": copied.where("error is not null")})
 
 
-def fetch(spark: SparkSession, records: DataFrame, source_names: list[str], queries: dict[str, list[str]], limit: int = 100, allow_unknown: bool = False, options: dict | None = None) -> Outcome:
-    """Discover candidates, gate them, and name the accepted ones; ``queries`` maps a class to its queries."""
-    found = []
+def fetch(spark: SparkSession, records: DataFrame, source_names: list[str], queries: dict[str, list[str]], limit: int = 100, allow_unknown: bool = False, options: dict | None = None, folder: str | None = None, get=None, t: Thresholds = Thresholds(), tasks: int = 4) -> Outcome:
+    """Discover candidates, gate and name them, and take what is accepted into ``folder`` and the manifest.
+
+    ``queries`` maps a class to its queries, ``options`` a source to its own.  A file
+    that was fetched is measured and judged: one that cannot be read is kept and
+    marked ``unreadable``, one whose perceptual hash is known, or came before in this
+    run, ``duplicate``.  A file that could not be fetched is counted and stays
+    unknown, so a later run tries it again.  Without a folder (a dry run) nothing is
+    fetched and the manifest does not change.
+    """
+    found, broken = [], []
     for place, name in enumerate(source_names):
-        own = (options or {}).get(name, {})
+        own = (options or {}).get(name) or {}
         if not sources.available(name, own):
             continue
         for k, (klass, terms) in enumerate(queries.items()):
-            rows = sources.discover(spark, name, terms, klass, limit=limit, **own)
-            found.append(rows.withColumn("seq_", F.lit((place * 64 + k) << 45) + F.col("seq")))
+            raw = written(sources.listed(spark, name, terms, limit=limit, **own), "listed")  # asked once, read twice
+            broken.append(raw.where("error is not null").select(F.lit(name).alias("source"), "error"))
+            found.append(sources.to_records(name, raw, klass).withColumn("seq_", F.lit((place * 64 + k) << 45) + F.col("seq")))
     if not found:
         return Outcome(report={"counters": spark.createDataFrame([], "kind string, name string, n long")})
     names = [*RECORD.names, "seq_"]
@@ -110,8 +124,47 @@ def fetch(spark: SparkSession, records: DataFrame, source_names: list[str], quer
     report = {
         "counters": discovery.counters(judged_),
         "denied": discovery.top_counts(denied, F.substring("license", 1, 34), "seq_", 8),
+        "listing_errors": provenance.error_counts(reduce(DataFrame.unionByName, broken)),
     }
-    return Outcome(manifest.upsert(records, accepted.select(*RECORD.names)), report)
+    if folder is None:
+        return Outcome(report=report)
+    accepted = written(accepted.select(*names), "accepted")
+    new, got = _taken_in(spark, accepted, records, folder, get, t, tasks)
+    report["download_errors"] = provenance.error_counts(got)
+    report["verdicts"] = reports.reasons(new)
+    report["taken"] = got.agg(F.count_if("error is null").alias("downloaded"), F.count_if("error is not null").alias("failed"))
+    return Outcome(manifest.upsert(records, new), report)
+
+
+def _taken_in(spark: SparkSession, accepted: DataFrame, records: DataFrame, folder: str, get, t: Thresholds, tasks: int) -> tuple[DataFrame, DataFrame]:
+    """(the records of what was fetched, with their verdicts; (filename, source, error) of every fetch).
+
+    Files land beside the folder, are measured there without a look at older ones,
+    and move in last.
+    """
+    get = get or http.get
+    staging = f"{folder.rstrip('/')}.incoming-{uuid.uuid4().hex}"
+    member = F.contains("download_url", F.lit(europepmc.MEMBER))
+    wanted = accepted.select("filename", "source", "download_url")
+    plain = tree.download(wanted.where(~member), staging, lambda row: get(row["download_url"]), tasks, folder)
+    members = tree.store(europepmc.read_members(wanted.where(member), get), staging)
+    got = written(plain.unionByName(members).join(wanted.select("filename", "source"), "filename"), "fetched")
+    kept = got.where("error is null").select("filename")
+    try:
+        if not kept.limit(1).count():
+            return accepted.select(*RECORD.names).limit(0), got
+        digests = ingest.with_sha256(spark, staging).select(F.col("name").alias("filename"), F.col("sha256").alias("sha_"))
+        there = accepted.join(kept, "filename", "left_semi")
+        seen = judged(there, pixels.measure(spark, staging, t), t).join(digests, "filename").join(accepted.select("filename", "seq_"), "filename")
+        readable = ~F.array_contains("reject_reasons", "unreadable")
+        seen = written(seen.withColumn("sha256", F.when(readable, F.col("sha_"))).withColumn("phash", F.when(readable, F.col("phash"))), "measured")
+        claimed = duplicates.claim_exact_phash(seen, records, F.col("seq_"))
+        claimed = claimed.withColumn("reject_reasons", F.when(F.col("phash_duplicate"), add_reason(F.col("reject_reasons"), "duplicate")).otherwise(F.col("reject_reasons")))
+        new = written(claimed.withColumn("rejected", is_rejected(F.col("reject_reasons"))).select(*RECORD.names), "taken-in")
+        moved = written(tree.copy(kept, staging, folder, move=True), "moved").where("error is not null")
+        return new.join(moved.select("filename"), "filename", "left_anti"), got
+    finally:
+        shutil.rmtree(staging, ignore_errors=True)
 
 
 def list_candidates(spark: SparkSession, categories: list[str], folder: str, limit: int = 600, **options) -> DataFrame:
@@ -128,11 +181,11 @@ def list_candidates(spark: SparkSession, categories: list[str], folder: str, lim
 
 def recover(spark: SparkSession, records: DataFrame, candidates: DataFrame, radius: int = 5) -> Outcome:
     """Match candidates (seq, phash, title, description_url, url, meta, category) to records without provenance."""
-    candidates = candidates.where("phash is not null")
+    listed, candidates = candidates, candidates.where("phash is not null")
     matches = written(provenance.match_candidates(records, candidates, radius), "matches")
     hit = matches.join(candidates.drop("phash"), "seq")
     left = provenance.pending(records).join(matches.select("filename"), "filename", "left_anti")
-    report = {"matches": matches, "distances": provenance.match_buckets(records, candidates, matches), "unmatched": left.select("filename").orderBy("filename")}
+    report = {"matches": matches, "distances": provenance.match_buckets(records, candidates, matches), "unmatched": left.select("filename").orderBy("filename"), "counts": provenance.recovery_counts(records, listed, matches)}
     return Outcome(provenance.apply_metadata(records, hit), report)
 
 

@@ -19,17 +19,26 @@ def available(name: str, options: dict | None = None) -> bool:
     return registry()[name] is not None and (name != "flickr" or bool((options or {}).get("api_key")))
 
 
-def discover(spark: SparkSession, name: str, queries: list[str], klass: str, **options) -> DataFrame:
-    """Record fields of what a source finds for ``queries``; also query and seq."""
+def listed(spark: SparkSession, name: str, queries: list[str], **options) -> DataFrame:
+    """What a source finds for ``queries``, as it came: query, seq, its own columns, and error where a listing broke off."""
     import json
 
-    from sievewright.sources import europepmc, flickr, mediawiki
-
     source = registry()[name]
     spark.dataSource.register(source)
-    raw = spark.read.format(source.name()).options(queries=json.dumps(queries), **{k: str(v) for k, v in options.items()}).load()
+    return spark.read.format(source.name()).options(queries=json.dumps(queries), **{k: str(v) for k, v in options.items()}).load()
+
+
+def to_records(name: str, raw: DataFrame, klass: str) -> DataFrame:
+    """Record fields of what :func:`listed` found; also query and seq."""
+    from sievewright.sources import europepmc, flickr, mediawiki
+
     if name == "wikimedia":
         return mediawiki.pages_to_records(raw, "page", F.lit(klass), F.regexp_replace("query", "(?i)^category:", ""))
     if name == "europepmc":
         return europepmc.figures_to_records(raw, F.lit(klass), F.col("query"))
     return flickr.photos_to_records(raw, "photo", F.lit(klass), F.col("query"))
+
+
+def discover(spark: SparkSession, name: str, queries: list[str], klass: str, **options) -> DataFrame:
+    """Record fields of what a source finds for ``queries``; also query and seq."""
+    return to_records(name, listed(spark, name, queries, **options), klass)

@@ -8,14 +8,15 @@ import zipfile
 from collections.abc import Iterator
 from xml.etree import ElementTree
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.types import BinaryType, StringType, StructField, StructType
 
 from sievewright.functions.licenses import ALLOWED_MARKERS, DENIED_CLAUSES, is_allowed
 from sievewright.schema import UNKNOWN_LICENSE
-from sievewright.sources.http import get
+from sievewright.sources.http import get, told
 
 # Fixed values of the service's interface and of its records.
 ENDPOINT = "https://www.ebi.ac.uk/europepmc/webservices/rest"
@@ -74,7 +75,7 @@ def figures_to_records(rows: DataFrame, klass: Column, query: Column) -> DataFra
     authors, journal = F.trim(F.coalesce("authorString", F.lit(""))), F.trim(F.coalesce("journalTitle", F.lit("")))
     archive = F.concat(F.lit(f"{ENDPOINT}/"), "pmcid", F.lit("/supplementaryFiles"))
     own = [c for c in ("query", "seq") if c in rows.columns]
-    return rows.select(
+    return rows.where(F.col("href").isNotNull()).select(
         *own,
         F.concat(F.lit("epmc_"), F.lower("pmcid"), F.lit("_"), named).alias("filename"),
         F.lit("europepmc").alias("source"),
@@ -107,39 +108,41 @@ def split_url(url: str) -> tuple[str, str]:
     return archive, member
 
 
-def member_of(data: bytes, wanted: str) -> bytes:
-    with zipfile.ZipFile(io.BytesIO(data)) as z:
-        name = best_member(wanted, z.namelist())
-        if name is None:
-            raise FileNotFoundError(wanted)
-        return z.read(name)
-
-
 def read_members(wanted: DataFrame, fetch=get) -> DataFrame:
-    """(download_url, content, error): the members named by ``archive::member``; every archive is fetched once.
+    """``wanted`` (download_url, ...) with (content, error): the members named by ``archive::member``.
 
-    A group is one archive's figures; a failure is the row's error and loses no
-    other row.
+    Rows are dealt and sorted by archive, so a task fetches each archive once, holds
+    one at a time, and gives its members row by row; a failure is the row's error and
+    loses no other row.
     """
+    names = wanted.columns
 
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        try:
-            data = fetch(rows["archive"].iloc[0])
-        except Exception as e:
-            data, failed = None, f"{type(e).__name__}: {str(e)[:80]}"
-        for url in rows["download_url"]:
-            try:
-                if data is None:
-                    out.append((url, None, failed))
-                else:
-                    out.append((url, member_of(data, split_url(url)[1]), None))
-            except Exception as e:
-                out.append((url, None, f"{type(e).__name__}: {str(e)[:80]}"))
-        return pd.DataFrame(out, columns=["download_url", "content", "error"])
-
-    named = wanted.select("download_url", F.regexp_extract("download_url", f"^(.*){MEMBER}", 1).alias("archive"))
-    return named.groupBy("archive").applyInPandas(run, "download_url string, content binary, error string")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = zipped = failed = None
+        for batch in batches:
+            for at in range(batch.num_rows):
+                url, content, error = batch.column(names.index("download_url"))[at].as_py(), None, None
+                try:
+                    archive, member = split_url(url)
+                    if archive != held:
+                        held, zipped, failed = archive, None, None
+                        try:
+                            zipped = zipfile.ZipFile(io.BytesIO(fetch(archive)))
+                        except Exception as e:
+                            failed = e
+                    if failed is not None:
+                        raise failed
+                    name = best_member(member, zipped.namelist())
+                    if name is None:
+                        raise FileNotFoundError(member)
+                    content = zipped.read(name)
+                except Exception as e:
+                    error = f"{type(e).__name__}: {str(e)[:80]}"
+                yield pa.RecordBatch.from_arrays([*batch.slice(at, 1).columns[: len(names)], pa.array([content], pa.binary()), pa.array([error], pa.string())], [*names, "content", "error"])
+
+    archive = F.regexp_extract("download_url", f"^(.*){MEMBER}", 1)
+    dealt = wanted.withColumn("archive_", archive).repartition("archive_").sortWithinPartitions("archive_")
+    return dealt.mapInArrow(run, StructType([*wanted.schema.fields, StructField("content", BinaryType()), StructField("error", StringType())]))
 
 
 def _admitted(license_: str | None) -> bool:
@@ -160,7 +163,8 @@ class EuropePmcReader(DataSourceReader):
         while taken < self.limit:
             try:
                 page = json.loads(get(f"{self.endpoint}/search", {"query": f"{query} AND OPEN_ACCESS:y AND HAS_FT:y", "format": "json", "resultType": "core", "pageSize": 50, "cursorMark": cursor}))
-            except Exception:
+            except Exception as e:
+                yield query, (i << 32) + taken, *[None] * 8, told(e)  # what came stays
                 return
             articles = (page.get("resultList") or {}).get("result") or []
             for a in articles:
@@ -168,11 +172,12 @@ class EuropePmcReader(DataSourceReader):
                     continue
                 try:
                     xml = get(f"{self.endpoint}/{a['pmcid']}/fullTextXML").decode("utf-8", "replace")
-                except Exception:
+                except Exception as e:
+                    yield query, (i << 32) + taken, a["pmcid"], *[None] * 7, told(e)
                     continue
                 for fig, href, caption in figures(xml):
                     if taken < self.limit:
-                        yield query, (i << 32) + taken, a["pmcid"], a.get("license"), a.get("title"), a.get("authorString"), a.get("journalTitle"), fig, href, caption
+                        yield query, (i << 32) + taken, a["pmcid"], a.get("license"), a.get("title"), a.get("authorString"), a.get("journalTitle"), fig, href, caption, None
                         taken += 1
             following = page.get("nextCursorMark")
             if not articles or not following or following == cursor:
@@ -181,14 +186,18 @@ class EuropePmcReader(DataSourceReader):
 
 
 class EuropePmcSource(DataSource):
-    """Options: ``queries`` (JSON list; one task each), ``limit`` (figures a query), ``endpoint``."""
+    """Options: ``queries`` (JSON list; one task each), ``limit`` (figures a query), ``endpoint``.
+
+    A search page or a full text that cannot be had is a row with nothing but its
+    error (and the article's id).
+    """
 
     @classmethod
     def name(cls) -> str:
         return "europepmc"
 
     def schema(self) -> str:
-        return "query string, seq long, " + ARTICLE + ", fig_id string, href string, caption string"
+        return "query string, seq long, " + ARTICLE + ", fig_id string, href string, caption string, error string"
 
     def reader(self, schema) -> DataSourceReader:
         return EuropePmcReader(dict(self.options))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from sievewright.functions.text import none_if_empty
-from sievewright.sources.http import get
+from sievewright.sources.http import get, told
 
 # Fixed values of the service's interface.
 ENDPOINT = "https://api.flickr.com/services/rest/"
@@ -74,11 +74,12 @@ class FlickrReader(DataSourceReader):
         while taken < self.limit:
             try:
                 answer = json.loads(get(self.endpoint, {"method": "flickr.photos.search", "api_key": self.key, "text": query, "license": LICENSE_IDS, "format": "json", "nojsoncallback": 1, "per_page": 100, "page": number, "extras": "license,owner_name,description,url_o,url_k,url_h,url_b"}))["photos"]
-            except Exception:
+            except Exception as e:
+                yield query, (i << 32) + taken, None, told(e)
                 return
             for photo in answer.get("photo") or []:
                 if taken < self.limit:
-                    yield query, (i << 32) + taken, json.dumps(photo)
+                    yield query, (i << 32) + taken, json.dumps(photo), None
                     taken += 1
             if number >= int(answer.get("pages", 0)):
                 return
@@ -86,14 +87,14 @@ class FlickrReader(DataSourceReader):
 
 
 class FlickrSource(DataSource):
-    """Options: ``api_key`` (without one there are no rows), ``queries`` (JSON list), ``limit``, ``endpoint``."""
+    """Options: ``api_key`` (without one there are no rows), ``queries`` (JSON list), ``limit``, ``endpoint``; a search that breaks off ends with a row that has an error and no photo."""
 
     @classmethod
     def name(cls) -> str:
         return "flickr"
 
     def schema(self) -> str:
-        return "query string, seq long, photo string"
+        return "query string, seq long, photo string, error string"
 
     def reader(self, schema) -> DataSourceReader:
         return FlickrReader(dict(self.options))

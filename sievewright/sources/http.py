@@ -26,3 +26,8 @@ def get(url: str, params: dict | None = None, timeout: float = 45, attempts: int
                 raise
         time.sleep(PAUSE * 2**k)
     raise AssertionError
+
+
+def told(e: Exception) -> str:
+    """An error as its row tells it: its type and the first 80 characters."""
+    return f"{type(e).__name__}: {str(e)[:80]}"

@@ -12,7 +12,7 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from sievewright.functions.text import html_strip, none_if_empty, safe_filename
 from sievewright.functions.verdicts import add_reason
 from sievewright.schema import UNKNOWN_LICENSE
-from sievewright.sources.http import get
+from sievewright.sources.http import get, told
 
 # Fixed values of the wiki's interface.
 ENDPOINT = "https://commons.wikimedia.org/w/api.php"
@@ -35,14 +35,11 @@ def generator(query: str, limit: int) -> dict:
 
 
 def paginate(endpoint: str, params: dict, limit: int, wanted=usable) -> Iterator[dict]:
-    """Pages until ``limit`` wanted ones, an error (what came stays), or no continuation."""
+    """Pages until ``limit`` wanted ones, an error (what came stays, and it is raised), or no continuation."""
     ask, taken = {"action": "query", "format": "json", "prop": "imageinfo|categories", "iiprop": "url|size|extmetadata", "cllimit": 50, **params}, 0
     more: dict = {}
     while taken < limit:
-        try:
-            answer = json.loads(get(endpoint, {**ask, **more}))
-        except Exception:
-            return
+        answer = json.loads(get(endpoint, {**ask, **more}))
         for page in (answer.get("query", {}).get("pages") or {}).values():
             if taken < limit and wanted(page):
                 taken += 1
@@ -71,19 +68,27 @@ class MediaWikiReader(DataSourceReader):
         if self.thumbs:
             params |= {"iiurlwidth": 320}
         wanted = (lambda p: bool((p.get("imageinfo") or [{}])[0].get("thumburl"))) if self.thumbs else usable
-        for k, page in enumerate(paginate(self.endpoint, params, self.limit, wanted)):
-            yield query, (i << 32) + k, json.dumps(page)
+        taken = 0
+        try:
+            for page in paginate(self.endpoint, params, self.limit, wanted):
+                yield query, (i << 32) + taken, json.dumps(page), None
+                taken += 1
+        except Exception as e:
+            yield query, (i << 32) + taken, None, told(e)
 
 
 class MediaWikiSource(DataSource):
-    """Options: ``queries`` (JSON list; one task each), ``limit``, ``endpoint``, ``thumbs`` (pages with a thumbnail instead)."""
+    """Options: ``queries`` (JSON list; one task each), ``limit``, ``endpoint``, ``thumbs`` (pages with a thumbnail instead).
+
+    A listing that breaks off ends with a row that has an error and no page.
+    """
 
     @classmethod
     def name(cls) -> str:
         return "mediawiki"
 
     def schema(self) -> str:
-        return "query string, seq long, page string"
+        return "query string, seq long, page string, error string"
 
     def reader(self, schema) -> DataSourceReader:
         return MediaWikiReader(dict(self.options))
@@ -102,7 +107,7 @@ def pages_to_records(pages: DataFrame, page: str, klass: Column, hint: Column) -
     cats = F.transform(F.coalesce("p_.categories", F.from_json(F.lit("[]"), "array<struct<title:string>>")), lambda c: F.regexp_replace(F.coalesce(c["title"], F.lit("")), "^Category:", ""))
     number = F.coalesce(F.col("p_.pageid").cast("string"), F.lit(""))
     safe = safe_filename(F.regexp_replace(title, "^File:", ""))
-    own = [c for c in pages.columns if c != page]
+    own = [c for c in pages.columns if c not in (page, "error")]
     return rows.where(fit).select(
         *own,
         F.when(number != "", F.concat(F.lit("wm_"), number, F.lit("_"), safe)).otherwise(F.concat(F.lit("wm_"), safe)).alias("filename"),
