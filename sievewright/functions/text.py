@@ -58,6 +58,11 @@ class CaptionWords:
         return out.when(klass == SYNTHETIC, f"{self.synthetic}, plastiglomerate")
 
 
+def parsed(c: Column, schema: str) -> Column:
+    """A JSON text as a struct; fields it lacks are null, and so is all of a text that is no JSON."""
+    return F.from_json(c, schema)
+
+
 def none_if_empty(c: Column) -> Column:
     return F.nullif(c, F.lit(""))
 

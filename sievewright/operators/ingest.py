@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sievewright.functions.text import suffix
@@ -25,10 +25,15 @@ def new_or_changed(source: DataFrame, target: DataFrame) -> DataFrame:
     return source.join(target.select("name", "length").distinct(), ["name", "length"], "left_anti")
 
 
+def sha256(content: Column) -> Column:
+    """The digest of a file's bytes, or of a text's UTF-8, in hex."""
+    return F.sha2(content, 256)
+
+
 def with_sha256(spark: SparkSession, folder: str) -> DataFrame:
     """(name, sha256, length) of a folder's files, hashed where they are read."""
     rows = spark.read.format("binaryFile").load(folder)
-    return rows.select(F.regexp_extract("path", r"([^/]*)$", 1).alias("name"), F.sha2("content", 256).alias("sha256"), "length")
+    return rows.select(F.regexp_extract("path", r"([^/]*)$", 1).alias("name"), sha256(F.col("content")).alias("sha256"), "length")
 
 
 def seed_records(images: DataFrame, known: DataFrame, source_name: str = "local") -> DataFrame:

@@ -8,8 +8,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sievewright.functions.licenses import apply_policy, is_allowed
+from sievewright.functions.text import suffix
 from sievewright.functions.verdicts import has, has_provenance, is_rejected, resize_reasons, short_side
-from sievewright.schema import CLASSES, UNKNOWN_LICENSE
+from sievewright.schema import CLASSES, IMAGE_SUFFIXES, UNKNOWN_LICENSE
 
 
 def by_class(df: DataFrame) -> DataFrame:
@@ -76,6 +77,12 @@ def nearest_rank(df: DataFrame, column: str, fractions: dict[str, float], parts:
     return placed.agg(F.coalesce(F.max("n"), F.lit(0)).cast("long").alias("n"), F.max("least").alias("least"), F.max("most").alias("most"), middle.alias("median"), *[at(places[k]).alias(k) for k in fractions])
 
 
+def file_summary(df: DataFrame) -> DataFrame:
+    """One row: files and their bytes, those that are pictures by suffix, the range of widths, the middle height, and pictures that are neither RGB nor grey."""
+    pictures = suffix(F.col("filename")).isin(*IMAGE_SUFFIXES)
+    return df.agg(F.count("*").alias("files"), F.sum("bytes").alias("bytes"), F.count_if(pictures).alias("images"), F.min("width").alias("least_width"), F.max("width").alias("most_width"), F.median("height").alias("median_height"), F.count_if(~F.col("mode").isin("RGB", "L")).alias("odd_modes"))
+
+
 def usable(df: DataFrame, duplicate: Column, readable: Column) -> DataFrame:
     """One row: readable rows, and those of them that no audit verdict of this run concerns."""
     bad = F.lit(False)

@@ -29,8 +29,8 @@ def put(path: str, data: bytes) -> None:
         raise
 
 
-def _each(rows: DataFrame, act: Callable[[dict], None]) -> DataFrame:
-    """(filename, error) of doing something with each row where it is; an error loses no other row."""
+def _each(rows: DataFrame, act: Callable[[dict], str | None]) -> DataFrame:
+    """(filename, error) of doing something with each row where it is; an error, raised or returned, loses no other row."""
 
     def run(batches):
         import pyarrow as pa
@@ -40,7 +40,7 @@ def _each(rows: DataFrame, act: Callable[[dict], None]) -> DataFrame:
                 (row,) = batch.slice(at, 1).to_pylist()
                 error = None
                 try:
-                    act(row)
+                    error = act(row)
                 except Exception as e:
                     error = f"{type(e).__name__}: {str(e)[:80]}"
                 yield pa.RecordBatch.from_arrays([pa.array([x], pa.string()) for x in (row["filename"], error)], ["filename", "error"])
@@ -66,8 +66,7 @@ def download(rows: DataFrame, folder: str, fetch: Callable[[dict], bytes], tasks
 
 def store(rows: DataFrame, folder: str) -> DataFrame:
     """(filename, error) of writing rows (filename, content, error) to a folder; rows that have an error keep it."""
-    done = _each(rows.where("error is null").select("filename", "content"), lambda row: put(os.path.join(folder, row["filename"]), row["content"]))
-    return done.unionByName(rows.where("error is not null").select("filename", "error"))
+    return _each(rows.select("filename", "content", "error"), lambda row: row["error"] or put(os.path.join(folder, row["filename"]), row["content"]))
 
 
 def copy(names: DataFrame, source: str, target: str, move: bool = False) -> DataFrame:

@@ -73,6 +73,7 @@ def audit(spark: SparkSession, records: DataFrame, folder: str, t: Thresholds =
     report = {
         "files": ingest.list_files(spark, folder).agg(F.count("*").alias("files"), F.sum("length").alias("bytes")),
         "usable": reports.usable(out, F.col("dup_"), readable),
+        "summary": reports.file_summary(out),
         "short_side": reports.nearest_rank(out.select(F.least("width", "height").alias("side")), "side", {"p10": 0.1, "p90": 0.9}),
         "sharpness": reports.nearest_rank(out, "sharpness", {"p10": 0.1, "p90": 0.9}),
         "modes": reports.histogram(out, F.col("mode"), "mode"),
@@ -132,7 +133,7 @@ def fetch(spark: SparkSession, records: DataFrame, source_names: list[str], quer
     new, got = _taken_in(spark, accepted, records, folder, get, t, tasks)
     report["download_errors"] = provenance.error_counts(got)
     report["verdicts"] = reports.reasons(new)
-    report["taken"] = got.agg(F.count_if("error is null").alias("downloaded"), F.count_if("error is not null").alias("failed"))
+    report["taken"] = got.agg(F.count_if(F.col("error").isNull()).alias("downloaded"), F.count_if(F.col("error").isNotNull()).alias("failed"))
     return Outcome(manifest.upsert(records, new), report)
 
 

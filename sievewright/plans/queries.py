@@ -9,10 +9,10 @@ from pyspark.sql import functions as F
 
 from sievewright.functions import licenses, text, verdicts
 from sievewright.operators import classes, discovery, duplicates, export, ingest, manifest, pixels, provenance, reports
-from sievewright.plans import config
+from sievewright.plans import commands, config
 from sievewright.plans.tables import HASHES_SQL, RECORDS_SQL, _list, hashes, records, table
-from sievewright.schema import UNCLASSIFIED
-from sievewright.sources import mediawiki
+from sievewright.schema import RECORD, UNCLASSIFIED
+from sievewright.sources import europepmc, mediawiki
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -355,8 +355,8 @@ def anti_join_known_urls(spark, sf_dir):
 
 @query(f" SELECT download_url, min(doc_id) AS doc_id FROM r WHERE {allowed_sql('license')} AND download_url <> '' GROUP BY 1")
 def first_seen_url(spark, sf_dir):
-    r = records(spark, sf_dir).where(licenses.is_allowed(F.col("license")) & (F.col("download_url") != ""))
-    return r.groupBy("download_url").agg(F.min("doc_id").alias("doc_id"))
+    r = records(spark, sf_dir)
+    return discovery.candidate_status(r, r.limit(0), "doc_id").where("status = 'accepted'").select("download_url", "doc_id")
 
 
 @query(_STATUS_SQL + " SELECT doc_id, status FROM s")
@@ -407,7 +407,7 @@ def sha_duplicates(spark, sf_dir):
 
 @query("SELECT doc_id, sha256(text) AS sha256 FROM documents", False)
 def sha256_content(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", F.sha2("text", 256).alias("sha256"))
+    return table(spark, sf_dir, "documents").select("doc_id", ingest.sha256(F.col("text")).alias("sha256"))
 
 
 @query(", k AS (SELECT DISTINCT sha256 AS h FROM r WHERE doc_id % 4 = 0), c AS (SELECT doc_id, sha256, row_number() OVER (PARTITION BY sha256 ORDER BY doc_id) AS rn FROM r WHERE doc_id % 4 <> 0) SELECT doc_id, k.h IS NOT NULL OR rn > 1 AS duplicate FROM c LEFT JOIN k ON c.sha256 = k.h")
@@ -474,15 +474,21 @@ def nn_nearest(spark, sf_dir):
 
 @query("WITH d AS (SELECT source, lang, min(doc_id) AS pos FROM documents GROUP BY 1, 2), k AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY CASE WHEN lang IN ('en', 'fr') THEN 0 ELSE 1 END, pos) AS rn FROM d) SELECT source, lang FROM k WHERE rn = 1", False)
 def best_member_top1(spark, sf_dir):
+    """A source's languages as the members of an archive, of which two are pictures."""
     d = table(spark, sf_dir, "documents").groupBy("source", "lang").agg(F.min("doc_id").alias("pos"))
-    best = F.min(F.struct(F.when(F.col("lang").isin("en", "fr"), 0).otherwise(1).alias("rank"), "pos", "lang"))
-    return d.groupBy("source").agg(best.alias("best")).select("source", "best.lang")
+    names = F.transform(F.sort_array(F.collect_list(F.struct("pos", "lang"))), lambda x: F.concat(F.lit("Fig."), F.when(x["lang"] == "en", "jpg").when(x["lang"] == "fr", "png").otherwise(F.coalesce(x["lang"], F.lit("")))))
+    best = F.nullif(F.regexp_extract(europepmc.best_member_of(F.lit("fig"), F.col("names")), "[.](.*)", 1), F.lit(""))
+    return d.groupBy("source").agg(names.alias("names")).select("source", F.when(best == "jpg", "en").when(best == "png", "fr").otherwise(best).alias("lang"))
 
 
 @query(" SELECT filename FROM r WHERE doc_id NOT IN (SELECT doc_id FROM labels) ORDER BY filename LIMIT 15")
 def recover_unmatched(spark, sf_dir):
-    found = table(spark, sf_dir, "labels").select("doc_id").distinct()
-    return records(spark, sf_dir).join(found, "doc_id", "left_anti").select("filename").orderBy("filename").limit(15)
+    """Records without provenance; the labelled documents are candidates with the same hash."""
+    phash = F.substring(F.md5(F.col("doc_id").cast("string")), 1, 16)
+    r = records(spark, sf_dir).withColumn("phash", phash).withColumn("license", F.lit("UNKNOWN"))
+    none = F.lit(None).cast("string")
+    candidates = table(spark, sf_dir, "labels").select("doc_id").distinct().select(F.col("doc_id").alias("seq"), phash.alias("phash"), F.lit("T").alias("title"), none.alias("description_url"), none.alias("url"), F.create_map(F.lit("LicenseShortName"), F.lit("CC0")).alias("meta"), F.lit("Shale").alias("category"))
+    return commands.recover(spark, r.select(*RECORD.names), candidates).report["unmatched"].limit(15)
 
 
 # Reports -------------------------------------------------------------------------------------
@@ -532,9 +538,7 @@ def audit_usable(spark, sf_dir):
 
 @query(" SELECT count(*) AS files, CAST(sum(bytes) AS BIGINT) AS bytes, count(*) FILTER (WHERE lower(regexp_extract(filename, '(\\.[^.]+)$', 1)) IN ('.jpg', '.jpeg', '.png')) AS images, min(width) AS least_width, max(width) AS most_width, CAST(median(height) AS DOUBLE) AS median_height, count(*) FILTER (WHERE mode NOT IN ('RGB', 'L')) AS odd_modes FROM r")
 def audit_summary(spark, sf_dir):
-    r = records(spark, sf_dir)
-    pictures = text.suffix(F.col("filename")).isin(*ingest.IMAGE_SUFFIXES)
-    return r.agg(F.count("*").alias("files"), F.sum("bytes").alias("bytes"), F.count_if(pictures).alias("images"), F.min("width").alias("least_width"), F.max("width").alias("most_width"), F.median("height").alias("median_height"), F.count_if(~F.col("mode").isin("RGB", "L")).alias("odd_modes"))
+    return reports.file_summary(records(spark, sf_dir))
 
 
 # Export --------------------------------------------------------------------------------------
@@ -638,7 +642,7 @@ def ingest_new_or_changed(spark, sf_dir):
 
 @query("SELECT event_type, count(*) AS n, CAST(sum(CAST(json_extract_string(props, '$.k') AS BIGINT)) AS BIGINT) AS total FROM events GROUP BY 1", False)
 def json_props(spark, sf_dir):
-    e = table(spark, sf_dir, "events").select("event_type", F.from_json("props", "k long")["k"].alias("k"))
+    e = table(spark, sf_dir, "events").select("event_type", text.parsed(F.col("props"), "k long")["k"].alias("k"))
     return e.groupBy("event_type").agg(F.count("*").alias("n"), F.sum("k").alias("total"))
 
 

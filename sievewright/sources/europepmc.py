@@ -101,6 +101,17 @@ def best_member(wanted: str, names: list[str]) -> str | None:
     return next((n for n in same if n.lower().endswith((".jpg", ".jpeg", ".png"))), same[0] if same else None)
 
 
+def best_member_of(wanted: Column, names: Column) -> Column:
+    """:func:`best_member` of columns."""
+    import pandas as pd
+
+    @F.pandas_udf("string")
+    def chosen(w: pd.Series, n: pd.Series) -> pd.Series:
+        return pd.Series([None if a is None or b is None else best_member(a, list(b)) for a, b in zip(w, n)], dtype=object)
+
+    return chosen(wanted, names)
+
+
 def split_url(url: str) -> tuple[str, str]:
     archive, mark, member = url.rpartition(MEMBER)
     if not mark:

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
-from sievewright.functions.text import none_if_empty
+from sievewright.functions.text import none_if_empty, parsed
 from sievewright.sources.http import get, told
 
 # Fixed values of the service's interface.
@@ -31,7 +31,7 @@ def photos_to_records(photos: DataFrame, photo: str, klass: Column, query: Colum
         width = F.when(there, number(f"width_{s}")) if width is None else width.when(there, number(f"width_{s}"))
         height = F.when(there, number(f"height_{s}")) if height is None else height.when(there, number(f"height_{s}"))
     url = F.coalesce(*[none_if_empty(p(f"url_{s}")) for s in SIZES])
-    rows = photos.select("*", F.from_json(photo, PHOTO).alias("p_")).withColumns({"u_": url, "w_": width, "h_": height})
+    rows = photos.select("*", parsed(F.col(photo), PHOTO).alias("p_")).withColumns({"u_": url, "w_": width, "h_": height})
     small = F.coalesce(F.least("w_", "h_") < LEAST_SIDE, F.lit(False)) & F.col("w_").isNotNull() & F.col("h_").isNotNull()
     name = F.concat(F.lit("Flickr license "), F.coalesce(p("license"), F.lit("")))
     for k, v in reversed(LICENSE_NAMES.items()):

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
-from sievewright.functions.text import html_strip, none_if_empty, safe_filename
+from sievewright.functions.text import html_strip, none_if_empty, parsed, safe_filename
 from sievewright.functions.verdicts import add_reason
 from sievewright.schema import UNKNOWN_LICENSE
 from sievewright.sources.http import get, told
@@ -100,7 +100,7 @@ def pages_to_records(pages: DataFrame, page: str, klass: Column, hint: Column) -
     ``hint`` is the query that found the page, and becomes a category if it is not
     one already.
     """
-    rows = pages.select("*", F.from_json(page, PAGE).alias("p_")).withColumn("i_", F.try_element_at("p_.imageinfo", F.lit(1)))
+    rows = pages.select("*", parsed(F.col(page), PAGE).alias("p_")).withColumn("i_", F.try_element_at("p_.imageinfo", F.lit(1)))
     title, info = F.coalesce("p_.title", F.lit("")), F.col("i_")
     fit = none_if_empty(info["url"]).isNotNull() & F.regexp_like(title, F.lit(r"(?i)\.(jpg|jpeg|png)$")) & (F.coalesce(info["width"], F.lit(0)) >= LEAST_SIDE) & (F.coalesce(info["height"], F.lit(0)) >= LEAST_SIDE)
     meta = lambda k: html_strip(F.try_element_at(info["extmetadata"], F.lit(k))["value"])
@@ -130,6 +130,6 @@ def thumb_candidates(pages: DataFrame, page: str = "page", most: int = 600) -> D
     """(query, seq, title, description_url, url, thumb_url, meta, category) of pages with a thumbnail, the first ``most`` of each query."""
     from sievewright.operators.discovery import limit_per_group
 
-    rows = pages.select("query", "seq", F.from_json(page, PAGE).alias("p")).withColumn("i", F.try_element_at("p.imageinfo", F.lit(1))).where("i.thumburl is not null")
+    rows = pages.select("query", "seq", parsed(F.col(page), PAGE).alias("p")).withColumn("i", F.try_element_at("p.imageinfo", F.lit(1))).where("i.thumburl is not null")
     rows = rows.select("query", "seq", "p.title", F.col("i.descriptionurl").alias("description_url"), "i.url", F.col("i.thumburl").alias("thumb_url"), F.transform_values("i.extmetadata", lambda _, v: v["value"]).alias("meta"), F.regexp_replace("query", "(?i)^category:", "").alias("category"))
     return limit_per_group(rows, "query", F.col("seq"), most)

@@ -1,4 +1,10 @@
+import hashlib
+import io
 import json
+import threading
+import zipfile
+from http.server import BaseHTTPRequestHandler, ThreadingHTTPServer
+from urllib.parse import parse_qs, urlparse
 
 import numpy as np
 import pytest
@@ -91,6 +97,8 @@ def test_recover_and_dry_run(spark, tmp_path):
         out = cli.run(spark, ["--manifest", m, "recover", "--candidates", str(tmp_path / "cand"), *["--dry-run"] * dry])
         assert [r.filename for r in out.report["unmatched"].collect()] == ["b.jpg"] and out.report["distances"].first().within_5 == 1
         assert as_dict(manifest.load(spark, m))["a.jpg"]["license"] == ("UNKNOWN" if dry else "CC0")
+        counts = {(r.kind, r["name"]): r.n for r in out.report["counts"].collect()}
+        assert counts == {("pending", None): 2, ("candidates", None): 1, ("hashed", None): 1, ("matched", None): 1, ("license", "CC0"): 1}
 
 
 def test_listed_candidates_and_thumbs(spark, tmp_path):
@@ -115,6 +123,106 @@ def test_listed_candidates_and_thumbs(spark, tmp_path):
     assert uris["0000000000000000.img"].startswith("data:image/png;base64,") and uris["0000000000000001.img"] is None
 
 
+BIG = png(np.clip(noise(3, 1200, 1600) // 2 + 70, 0, 255))
+FIG = '<a xmlns:x="y"><fig id="f1"><caption>c</caption><graphic x:href="one"/></fig><fig id="f2"><graphic x:href="none"/></fig></a>'
+
+
+class Web(BaseHTTPRequestHandler):
+    """A wiki of six pages, one article with an archive, two photographs; what was asked for is kept."""
+
+    asked: list = []
+
+    def log_message(self, *_):
+        pass
+
+    def do_GET(self):
+        url, root = urlparse(self.path), f"http://127.0.0.1:{self.server.server_port}"
+        q = {k: v[0] for k, v in parse_qs(url.query).items()}
+        code, body = 200, b""
+        if url.path == "/wiki":
+            info = lambda i, license_: {"pageid": i, "title": f"File:P{i}.png", "imageinfo": [{"url": f"{root}/file/{i}", "descriptionurl": "d", "width": 1600, "height": 1200, "extmetadata": {"LicenseShortName": {"value": license_}}}]}
+            body = b"{" if q.get("gsrsearch") == "broken" else json.dumps({"query": {"pages": {str(i): info(i, "GFDL" if i == 5 else "CC0") for i in range(1, 7)}}}).encode()
+        elif url.path == "/epmc/search":
+            body = json.dumps({"resultList": {"result": [{"pmcid": "PMC1", "license": "cc by", "title": "T"}, {"pmcid": "PMC2", "license": "cc by"}]}}).encode()
+        elif url.path == "/flickr":
+            body = json.dumps({"photos": {"pages": 1, "photo": [{"id": str(k), "license": "9", "url_o": f"{root}/file/f{k}"} for k in range(2)]}}).encode()
+        elif url.path.endswith("PMC1/fullTextXML"):
+            body = FIG.encode()
+        elif url.path.endswith("/supplementaryFiles"):
+            out = io.BytesIO()
+            with zipfile.ZipFile(out, "w") as z:
+                z.writestr("one.png", png(np.clip(noise(11, 1200, 1600) // 2 + 70, 0, 255)))
+            body = out.getvalue()
+        elif url.path.startswith("/file/"):
+            name = url.path[6:]
+            code = 404 if name == "4" else 200
+            body = {"3": b"no picture", "4": b""}.get(name, BIG if name in ("1", "2") else png(np.clip(noise(20 + int(name.strip("f")), 1200, 1600) // 2 + 70, 0, 255)))
+        else:
+            code = 404
+        if not url.path.startswith(("/wiki", "/flickr")):
+            Web.asked.append(url.path)
+        self.send_response(code)
+        self.send_header("Content-Length", str(len(body)))
+        self.end_headers()
+        self.wfile.write(body)
+
+
+@pytest.fixture
+def web():
+    server = ThreadingHTTPServer(("127.0.0.1", 0), Web)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    Web.asked = []
+    yield f"http://127.0.0.1:{server.server_port}"
+    server.shutdown()
+
+
+def test_fetch_takes_in_what_it_accepts(spark, tmp_path, web):
+    folder, strata = str(tmp_path / "img"), "01_real_estratos"
+
+    def get(url, root=web):
+        from sievewright.sources import europepmc, http
+
+        return http.get(url.replace(europepmc.ENDPOINT, f"{root}/epmc"))
+
+    def run(records, **kw):
+        return commands.fetch(spark, records, ["wikimedia", "europepmc"], {strata: ["rock", "broken"]}, options={"wikimedia": {"endpoint": f"{web}/wiki"}, "europepmc": {"endpoint": f"{web}/epmc"}}, get=get, **kw)
+
+    empty = recs(spark, []).limit(0)
+    dry = run(empty)
+    assert dry.records is None and not [x for x in Web.asked if "/file/" in x or "supplementary" in x]
+    out = run(empty, folder=folder)
+    got = as_dict(out.records)
+    assert sorted(got) == ["epmc_pmc1_one.jpg", "wm_1_p1.png", "wm_2_p2.png", "wm_3_p3.png", "wm_6_p6.png"]
+    assert got["wm_1_p1.png"]["width"] == 1600 and got["wm_1_p1.png"]["sha256"] == hashlib.sha256(BIG).hexdigest() and not got["wm_1_p1.png"]["rejected"]
+    assert got["wm_2_p2.png"]["reject_reasons"] == ["duplicate"] and got["wm_6_p6.png"]["reject_reasons"] == []
+    assert got["wm_3_p3.png"]["reject_reasons"] == ["unreadable"] and got["wm_3_p3.png"]["sha256"] is None and got["wm_3_p3.png"]["needs_review"] == ["no se pudo leer: ValueError"]
+    assert sorted(p.name for p in (tmp_path / "img").iterdir()) == sorted(got) and [p.name for p in tmp_path.iterdir()] == ["img"]
+    told = {(r["name"]): r.n for r in out.report["download_errors"].collect()}
+    assert told == {"wikimedia: HTTPError": 1, "europepmc: FileNotFoundError": 1} and tuple(out.report["taken"].first()) == (5, 2)
+    listing = {r["name"]: r.n for r in out.report["listing_errors"].collect()}
+    assert listing == {"wikimedia: JSONDecodeError": 1, "europepmc: HTTPError": 2}
+    assert Web.asked.count("/epmc/PMC1/supplementaryFiles") == 1
+    assert {r["name"]: r.n for r in out.report["counters"].collect() if r.kind == "status"}["skipped_license"] == 1
+    # a second run knows all but what failed
+    Web.asked, known = [], recs(spark, []).sparkSession.createDataFrame(out.records.collect(), out.records.schema)
+    again = run(known, folder=folder)
+    assert tuple(again.report["taken"].first()) == (0, 2) and {x for x in Web.asked if "/file/" in x} == {"/file/4"}
+    assert sorted(as_dict(again.records)) == sorted(got)
+
+
+def test_fetch_with_a_key(spark, tmp_path, web):
+    (tmp_path / "s.json").write_text(json.dumps({"flickr": {"api_key": "k", "endpoint": f"{web}/flickr"}}))
+    (tmp_path / "c.json").write_text(json.dumps({"search_terms": {"estratos": ["rock"]}}))
+    m = str(tmp_path / "m.jsonl")
+    run = lambda *a: cli.run(spark, ["--manifest", m, "--images", str(tmp_path / "img"), "--config", str(tmp_path / "c.json"), "fetch", "--source", "flickr", "--secrets", str(tmp_path / "s.json"), *a])
+    run("--dry-run")
+    assert manifest.load(spark, m).count() == 0 and not (tmp_path / "img").exists()
+    run()
+    got = as_dict(manifest.load(spark, m))
+    assert sorted(got) == ["flickr_0.jpg", "flickr_1.jpg"] and all(r["phash"] and not r["rejected"] for r in got.values())
+    assert tuple(run().report["counters"].where("kind = 'status'").first()) == ("status", "skipped_known", 2)
+
+
 def test_fetch_without_a_key_finds_nothing(spark, tmp_path):
     out = cli.run(spark, ["--manifest", str(tmp_path / "m"), "fetch", "--source", "flickr", "--dry-run"])
     assert out.report["counters"].count() == 0

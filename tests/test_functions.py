@@ -125,3 +125,15 @@ def test_bits(spark):
         cuts = bits.band_cuts(radius)
         assert len(cuts) == radius + 1 and sum(w for _, w in cuts) == 64
     assert one(spark, -1, "long", F.size(bits.band_keys(F.col("x"), 0)))[0] == 1
+
+
+def test_noise_is_found_whatever_its_letters(spark):
+    """The searches that spare a text the pattern let through all that the pattern matches."""
+    import re
+
+    words = ["DSC_0421", "Dſc-7 x", "WIKİMEDIA x", "wıkımedıa", "NI\u212aON", "CommonS", "at 12:30 h", "https://x.y/z?a b", "CC-by-sa", "cc BY sa", "Public Domain", "uploaded", "self-photographed", "Own Work", "IMG7", "Camera", "canon", "plain words only", "a: b", "٣:٤٥ x"]
+    df = spark.createDataFrame([(w, f"before {w} after") for w in words], "w string, t string")
+    rows = df.select("w", text.may_have_noise(F.col("t")).alias("may"), (F.regexp_replace("t", "(?iU)" + text.NOISE, " ") != F.col("t")).alias("has"), text.clean(F.col("t")).alias("c")).collect()
+    assert all(r.may or not r.has for r in rows) and [r.w for r in rows if not r.may] == ["plain words only"]
+    assert {r.w: r.c for r in rows}["DSC_0421"] == "before after" and {r.w: r.c for r in rows}["plain words only"] == "before plain words only after"
+    assert sum(r.has for r in rows) >= 15 and re.fullmatch(r"[^ ].*[^ ]", rows[0].c)

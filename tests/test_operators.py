@@ -43,6 +43,23 @@ def test_manifest_skips_corrupt_lines_and_the_last_wins(spark, tmp_path):
     assert manifest.corrupt_lines(spark.read.text(str(path))).count() == 3
 
 
+def test_a_save_that_was_cut_off(spark, tmp_path):
+    path = tmp_path / "m.jsonl"
+    manifest.save(recs(spark, [{"filename": "a.jpg"}]), str(path))
+    path.rename(tmp_path / "m.jsonl.previous")  # between the two renames
+    assert list(as_dict(manifest.load(spark, str(path)))) == ["a.jpg"] and path.exists()
+    manifest.save(recs(spark, [{"filename": "b.jpg"}]), str(path))
+    assert list(as_dict(manifest.load(spark, str(path)))) == ["b.jpg"] and sorted(x.name for x in tmp_path.iterdir() if not x.name.startswith(".")) == ["m.jsonl"]
+
+
+def test_files_of_a_manifest_go_by_name(spark, tmp_path):
+    (tmp_path / "m").mkdir()
+    line = lambda license_, pad: f'{{"filename":"a.jpg","source":"s","license":"{license_}","description":"{"x" * pad}"}}\n'
+    for k, (license_, pad) in enumerate([("first", 5000), ("second", 10), ("last", 300)]):
+        (tmp_path / "m" / f"part-{k}.json").write_text(line(license_, pad))
+    assert as_dict(manifest.load(spark, str(tmp_path / "m")))["a.jpg"]["license"] == "last"
+
+
 def test_upsert_and_indexes(spark):
     old = recs(spark, [{"filename": "a", "sha256": "1", "phash": "ff", "download_url": "u"}, {"filename": "b", "sha256": "", "phash": "ff"}, {"filename": "c", "rejected": True}])
     new = manifest.upsert(old, recs(spark, [{"filename": "b", "license": "CC0"}, {"filename": "d"}]))
@@ -90,6 +107,8 @@ def test_greedy_against_the_loop(spark, seed):
     edges = {(a, b) for a in nodes for b in nodes if a < b and rng.random() < 0.07}
     got = {r.dup: r.keeper for r in duplicates.greedy_duplicates(spark.createDataFrame(sorted(edges), "a int, b int")).collect()}
     assert got == greedy(nodes, lambda a, b: (a, b) in edges)
+    for most in (0, 10):  # in rounds to the end, or for some of the way
+        assert got == {r.dup: r.keeper for r in duplicates.greedy_duplicates(spark.createDataFrame(sorted(edges), "a int, b int"), in_turn=most).collect()}
 
 
 def test_find_duplicates(spark):
@@ -122,6 +141,25 @@ def test_hamming_pairs_against_all_pairs(spark, radius):
     assert got == {(i, j): (h[i] ^ h[j]).bit_count() for i in range(len(h)) for j in range(i + 1, len(h)) if (h[i] ^ h[j]).bit_count() <= radius}
 
 
+@pytest.mark.parametrize("radius,n", [(4, 10), (4, 10**7), (6, 10**6), (9, 10**8), (20, 10)])
+def test_hamming_pairs_by_more_groups_and_split_buckets(spark, monkeypatch, radius, n):
+    """The groups of a larger table, and buckets that are split whatever their size."""
+    rng = random.Random(radius)
+    base = rng.getrandbits(64)
+    h = [rng.getrandbits(64) for _ in range(40)]
+    for _ in range(40):
+        x = base
+        for _ in range(rng.randrange(8)):
+            x ^= 1 << rng.randrange(64)
+        h.append(x)
+    chosen = duplicates.grid(n, radius)
+    assert radius != 4 or chosen == (2 if n > 10 else 1) or n == 10
+    monkeypatch.setattr(duplicates, "grid", lambda *_: chosen)
+    rows = [(i, x - (1 << 64) if x >> 63 else x) for i, x in enumerate(h)]
+    got = [tuple(r) for r in duplicates.hamming_pairs(spark.createDataFrame(rows, "k int, h long"), "k", "h", radius, block=7).collect()]
+    assert sorted(got) == [(i, j, (h[i] ^ h[j]).bit_count()) for i in range(len(h)) for j in range(i + 1, len(h)) if (h[i] ^ h[j]).bit_count() <= radius]
+
+
 @pytest.mark.parametrize("seed", range(3))
 def test_match_in_turn_against_the_loop(spark, seed):
     rng = random.Random(seed)
@@ -134,6 +172,8 @@ def test_match_in_turn_against_the_loop(spark, seed):
             free.discard(best[1])
     got = {r.seq: (r.local, r.distance) for r in duplicates.match_in_turn(spark.createDataFrame(edges, "seq int, local string, distance int")).collect()}
     assert got == want
+    for most in (0, 10):
+        assert want == {r.seq: (r.local, r.distance) for r in duplicates.match_in_turn(spark.createDataFrame(edges, "seq int, local string, distance int"), most).collect()}
     assert duplicates.match_in_turn(spark.createDataFrame([], "seq int, local string, distance int")).count() == 0
 
 
@@ -233,6 +273,17 @@ def test_quantiles_are_nearest_rank(spark):
         assert tuple(got) == want
 
 
+@pytest.mark.parametrize("n", [1, 2, 7, 500])
+def test_quantiles_of_distinct_doubles(spark, n):
+    rng = random.Random(n)
+    xs = [rng.gauss(0, 1) for _ in range(n)] + [0.25] * (n // 3)
+    got = reports.nearest_rank(spark.createDataFrame([(x,) for x in [*xs, None]], "x double"), "x", {"p10": 0.1, "p99": 0.99, "all": 1.0}, parts=5).first()
+    xs.sort()
+    at = lambda p: xs[min(int(len(xs) * p), len(xs) - 1)]
+    middle = (xs[(len(xs) - 1) // 2] + xs[len(xs) // 2]) / 2
+    assert tuple(got) == (len(xs), xs[0], xs[-1], middle, at(0.1), at(0.99), xs[-1])
+
+
 def test_totals_and_refilter(spark):
     df = recs(spark, [{"filename": "a", "width": 800, "height": 700, "rejected": True, "reject_reasons": ["too_small"], "license": "CC0", "origin_title": "t"}, {"filename": "b", "width": 600, "height": 700, "license": "CC0", "origin_title": "t", "caption": "c"}, {"filename": "c", "width": 800, "height": 700, "rejected": True, "reject_reasons": ["too_small", "manual"]}])
     out = reports.refilter(df, 640)
@@ -275,6 +326,13 @@ def test_metadata_and_synthesis(spark):
     assert len({r.description for r in provenance.synth_records(spark, refs, 40, 1).collect()}) > 10
 
 
+def test_long_names_stay_whole(spark):
+    names = ["n" * 40 + str(i) for i in range(2)]
+    locals_ = spark.createDataFrame([(x, i) for i, x in enumerate(names)], "local string, h long")
+    got = provenance.cross_distances(spark.createDataFrame([(7, 0)], "seq long, h long"), locals_, 3)
+    assert sorted((r.seq, r.local, r.distance) for r in got.collect()) == [(7, names[0], 0), (7, names[1], 1)]
+
+
 def test_match_candidates(spark):
     df = recs(spark, [{"filename": "a", "phash": "00000000000000ff"}, {"filename": "b", "phash": "00000000000000fe"}, {"filename": "c", "phash": "ffffffffffffffff", "license": "CC0", "origin_title": "t"}])
     cand = spark.createDataFrame([(1, "00000000000000ff"), (2, "00000000000000ff"), (3, "ffffffffffffffff")], "seq long, phash string")

@@ -21,6 +21,13 @@ def test_upsert_by_batches(spark, tmp_path):
             feed(spark, src, rows, name)
     assert sorted(r.filename for r in streaming.current(spark, out).collect()) == ["a.jpg", "e.jpg"]
     assert streaming.current(spark, str(tmp_path / "none")) is None
+    wrote = lambda: sorted(p.name for p in (tmp_path / "out").iterdir() if "=" in p.name)
+    assert len(wrote()) == 2 and spark.read.parquet(f"{out}/{wrote()[1]}").count() == 1  # a batch holds its own rows
+    streaming.compact(spark, out)
+    assert len(wrote()) == 1 and wrote()[0].startswith("base=") and sorted(r.filename for r in streaming.current(spark, out).collect()) == ["a.jpg", "e.jpg"]
+    feed(spark, src, [(6, "f.jpg", "s", "u6", "CC0"), (7, "g.jpg", "s", "u5", "CC0")], "three")
+    streaming.upsert_batches(stream(), out, "seq", str(tmp_path / "cp")).trigger(availableNow=True).start().awaitTermination()
+    assert sorted(r.filename for r in streaming.current(spark, out).collect()) == ["a.jpg", "e.jpg", "f.jpg"]
 
 
 def test_first_seen_and_windows(spark, tmp_path):
