@@ -8,6 +8,7 @@ import zipfile
 from collections.abc import Iterator
 from xml.etree import ElementTree
 
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -103,7 +104,6 @@ def best_member(wanted: str, names: list[str]) -> str | None:
 
 def best_member_of(wanted: Column, names: Column) -> Column:
     """:func:`best_member` of columns."""
-    import pandas as pd
 
     @F.pandas_udf("string")
     def chosen(w: pd.Series, n: pd.Series) -> pd.Series:
