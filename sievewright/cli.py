@@ -100,7 +100,8 @@ def run(spark: SparkSession, argv: list[str]) -> commands.Outcome:
         out = commands.export_tree(spark, records, a.images)
         if not a.keep:
             tree.clean(a.out)
-        done = tree.write_tree(out.report["paths"], a.images, a.out)
+        paths = written(out.report["paths"], "export-paths")
+        done = tree.write_tree(paths.where("not converted"), a.images, a.out).unionByName(tree.write_recoded(paths.where("converted"), pixels.decoded(spark, a.images), a.out))
         out.report["written"] = written(done, "export-done")
         tree.write_csv(out.report["paths"], f"{a.out}/captions_SDXL.csv")
         tree.write_readme(out.report["paths"], f"{a.out}/README.md")

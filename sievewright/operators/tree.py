@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sievewright.functions.text import CaptionWords
-from sievewright.operators import export, reports
+from sievewright.operators import export, jpeg, pixels, reports
 
 
 def put(path: str, data: bytes) -> None:
@@ -113,6 +113,26 @@ def write_tree(paths: DataFrame, source: str, out: str, encode: Callable[[bytes]
     return paths.select("filename", "folder", "image_name", "caption_name", "caption", "converted").mapInArrow(run, "filename string, converted boolean, error string")
 
 
+def write_recoded(paths: DataFrame, pictures: DataFrame, out: str, quality: int = 95) -> DataFrame:
+    """Write pictures as JPEG, and their captions, below ``out``; (filename, converted, error).
+
+    ``pictures`` are those of :func:`pixels.decoded`; they meet ``paths`` by name, are
+    encoded where they are, one after the other, and never leave their task.  One that
+    cannot be decoded is an error.
+    """
+
+    def act(row: dict) -> None:
+        if row["data"] is None or (row["width"] or 0) <= 0:
+            raise ValueError("not an image")
+        data = jpeg.encode(pixels.to_rgb(row["data"], row["height"], row["width"], row["nChannels"]), quality)
+        put(os.path.join(out, row["folder"], row["image_name"]), data)
+        put(os.path.join(out, row["folder"], row["caption_name"]), row["caption"].encode())
+
+    wanted = paths.select("filename", "folder", "image_name", "caption_name", "caption")
+    done = _each(pictures.join(wanted, pictures["name"] == wanted["filename"]), act)
+    return done.select("filename", F.lit(True).alias("converted"), "error")
+
+
 def clean(out: str) -> None:
     """Take away what an export left before; the folder itself is there afterwards."""
     import shutil

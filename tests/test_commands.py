@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 
 from sievewright import cli
-from sievewright.operators import manifest, tree
+from sievewright.operators import jpeg, manifest, pixels, tree
 from sievewright.plans import commands, config
 from tests.test_operators import as_dict, recs
 from tests.test_pixels import noise, png
@@ -252,6 +252,25 @@ def test_converted_pictures_need_an_encoder(spark, tmp_path):
     assert (tmp_path / "o/10_01_real_estratos/x.jpg").read_bytes() == b"jpeg"
 
 
+def test_export_recodes_what_is_not_rgb_jpeg(spark, tmp_path):
+    m, images, out = str(tmp_path / "m.jsonl"), tmp_path / "img", tmp_path / "train"
+    images.mkdir()
+    colour, grey = noise(1, 120, 160), noise(2, 80, 80)[:, :, 0]
+    plain = jpeg.encode(colour.astype("uint8"))
+    for name, data in (("a.jpg", plain), ("b.png", png(colour)), ("c.png", png(grey)), ("d.png", b"no picture"), ("e.png", png(colour))):
+        (images / name).write_bytes(data)
+    good = {"license": "CC0", "klass": "01_real_estratos", "caption": "c"}
+    manifest.save(recs(spark, [{"filename": n, "mode": k, **good, **more} for n, k, more in (("a.jpg", "RGB", {}), ("b.png", "RGB", {}), ("c.png", "L", {}), ("d.png", "RGB", {}), ("e.png", "RGB", {"rejected": True, "reject_reasons": ["manual"]}))]), m)
+    done = {r.filename: r for r in cli.run(spark, ["--manifest", m, "--images", str(images), "export", "--out", str(out)]).report["written"].collect()}
+    assert {k: (r.converted, r.error) for k, r in done.items() if k != "d.png"} == {"a.jpg": (False, None), "b.png": (True, None), "c.png": (True, None)}
+    assert done["d.png"].converted and done["d.png"].error == "ValueError: not an image"
+    folder = out / "10_01_real_estratos"
+    assert sorted(p.name for p in folder.iterdir()) == ["a.jpg", "a.txt", "b.jpg", "b.txt", "c.jpg", "c.txt"] and (folder / "a.jpg").read_bytes() == plain
+    assert (folder / "b.jpg").read_bytes() == plain and (folder / "b.txt").read_text() == "c"
+    got = {r.name: r for r in pixels.measure(spark, str(folder)).where("name like '%.jpg'").collect()}
+    assert {k: (r.width, r.height, r.mode) for k, r in got.items()} == {"a.jpg": (160, 120, "RGB"), "b.jpg": (160, 120, "RGB"), "c.jpg": (80, 80, "RGB")}
+
+
 def test_configuration(tmp_path, spark):
     (tmp_path / "c.json").write_text(json.dumps({"wikimedia_categories": {"proxy": ["Slag"]}, "search_terms": {"estratos": ["slag"]}}))
     from sievewright.operators import classes

@@ -2,8 +2,9 @@ import struct
 import zlib
 
 import numpy as np
+import pytest
 
-from sievewright.operators import pixels
+from sievewright.operators import jpeg, pixels
 from sievewright.schema import Thresholds
 
 
@@ -75,3 +76,50 @@ def test_measure_a_folder(spark, tmp_path):
     t = Thresholds()
     studio = lambda m: (m.border_std < t.border_std and (m.border_mean < t.border_dark or m.border_mean > t.border_light)) or m.dark_frac > t.dark_frac or m.light_frac > t.light_frac
     assert studio(got["dark.png"]) and not studio(got["field.png"])
+
+
+def pictures():
+    rng, (y, x) = np.random.default_rng(2), np.mgrid[:301, :417]
+    return {
+        "smooth": np.stack([x * 255 // 417, y * 255 // 301, (x + y) * 255 // 718], axis=2),
+        "noise": rng.integers(0, 256, (64, 72, 3)),
+        "stripes": np.stack([np.tile(np.arange(40) % 2 * 255, (30, 1)), np.full((30, 40), 90), np.tile(np.arange(40) % 2 * 60, (30, 1))], axis=2),
+        "odd": rng.integers(100, 140, (13, 7, 3)),
+        "one": np.array([[[255, 0, 10]]]),
+        "flat": np.full((40, 40, 3), 77),
+        "sparse": (rng.random((96, 96, 3)) > 0.999) * 255,
+    }
+
+
+def test_jpeg_is_read_back_by_the_decoder(spark, tmp_path):
+    made = pictures()
+    for k, v in made.items():
+        (tmp_path / f"{k}.jpg").write_bytes(jpeg.encode(v.astype(np.uint8)))
+    got = {r.name[:-4]: pixels.to_rgb(r.data, r.height, r.width, r.nChannels).astype(float) for r in pixels.decoded(spark, str(tmp_path)).collect()}
+    assert {k: v.shape for k, v in got.items()} == {k: v.shape for k, v in made.items()}
+    error = {k: float(((v - made[k]) ** 2).mean()) for k, v in got.items()}
+    assert error["flat"] <= 1 and error["smooth"] < 1 and error["one"] < 2
+    assert max(error.values()) < 25  # 34 dB on noise; halved chroma would cost the stripes thousands
+
+
+def test_jpeg_does_not_depend_on_strips(monkeypatch):
+    made = {k: jpeg.encode(v.astype(np.uint8)) for k, v in pictures().items()}
+    monkeypatch.setattr(jpeg, "STRIP", 1)
+    assert made == {k: jpeg.encode(v.astype(np.uint8)) for k, v in pictures().items()}
+    assert all(len(jpeg.encode(v.astype(np.uint8), 50)) <= len(made[k]) for k, v in pictures().items())
+    for shape in ((0, 5, 3), (5, 5), (5, 5, 4), (1, 65_536, 3)):
+        with pytest.raises(ValueError):
+            jpeg.encode(np.zeros(shape, dtype=np.uint8))
+
+
+def test_code_lengths_are_those_of_a_prefix_code():
+    for seed, n in ((0, 1), (1, 2), (2, 17), (3, 200), (4, 256)):
+        rng = np.random.default_rng(seed)
+        counts = np.zeros(256, dtype=np.int64)
+        counts[rng.permutation(256)[:n]] = np.floor(2.0 ** rng.uniform(0, 40, n)).astype(np.int64)  # as uneven as a code of 16 bits is hard on
+        got = jpeg.code_lengths(counts)
+        assert sorted(got) == np.flatnonzero(counts).tolist() and max(got.values()) <= 16
+        assert sum(2.0 ** -k for k in got.values()) < 1  # room for the code of ones
+    fib = np.zeros(256, dtype=np.int64)
+    fib[:6] = [1, 1, 2, 4, 8, 16]
+    assert [jpeg.code_lengths(fib)[k] for k in range(6)] == [6, 5, 4, 3, 2, 1]
