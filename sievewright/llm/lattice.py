@@ -7,11 +7,15 @@ points of all blocks name the cell.  A vector stands in its own cell and in the
 neighbouring cells whose boundary it is near to, in several tables; vectors of the
 same label that share any cell are compared by their cosine in double precision.
 
-Equal vectors of a label are one row with a weight from the start.  A vector
-travels to its cells as it was stored (four bytes for a float).  A pair is counted
-in the least cell that it shares, by the cells that both rows name, and a run of a
-cell gives each row's number of new partners and a spanning forest: links are
-never listed pair by pair, and a large cell is compared block against block.
+Equal vectors of a label are one row with a weight from the start.  What travels to
+all cells of a vector is its shadow, a byte for each of a quarter of the dimensions:
+an orthogonal projection brings vectors nearer, never apart, so those whose shadows
+lie too far from all others of a cell leave it without a loss.  A vector itself
+travels, as it was stored (four bytes for a float), only to the cells that it stays
+in.  A pair is counted in the least cell that it shares, by the cells that both rows
+name, and a run of a cell gives each row's number of new partners and a spanning
+forest: links are never listed pair by pair, and a large cell is compared block
+against block.
 """
 
 from __future__ import annotations
@@ -81,6 +85,8 @@ class LatticeHash:
         self.maps = [rng.normal(size=(dim, 8 * blocks)) / size for _ in range(tables)]
         self.mix = rng.integers(1, 1 << 63, size=(tables, 8 * blocks), dtype=np.uint64) | np.uint64(1)
         self.near = minimal_vectors()
+        self.frame, _ = np.linalg.qr(rng.normal(size=(dim, min(dim, 256, max(16, dim // 4)))))
+        self.step = 4 / np.sqrt(dim) / 127
 
     def cells(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(row, 64-bit cell name) of every cell of every row, by row; each row has its cells once."""
@@ -102,6 +108,18 @@ class LatticeHash:
         order = np.argsort(row, kind="stable")
         return row[order], name[order]
 
+    def shadows(self, x: np.ndarray) -> np.ndarray:
+        """Unit vectors in the dimensions of ``frame``, as whole numbers of ``step`` that fit a byte."""
+        return np.clip(np.rint(x @ self.frame / self.step), -127, 127).astype(np.int8)
+
+    def reach(self, threshold: float) -> float:
+        """The most that shadows of unit vectors of cosine ``threshold`` are apart, squared, in ``step``s.
+
+        Projecting and clipping bring two vectors nearer; rounding moves each by half a
+        step at most in each dimension.
+        """
+        return float(((np.sqrt(max(0.0, 2 - 2 * threshold)) + 1e-6) / self.step + np.sqrt(self.frame.shape[1])) ** 2)
+
     def _name(self, t: int, cells: np.ndarray) -> np.ndarray:
         h = (np.rint(2 * cells).astype(np.int64).view(np.uint64) * self.mix[t]).sum(axis=1, dtype=np.uint64) + np.uint64(t)
         h ^= h >> np.uint64(29)
@@ -133,27 +151,50 @@ def usable(df: DataFrame, id_col: str, vector_col: str, label_col: str) -> DataF
     return slim.withColumn("sound", F.coalesce(sound, F.lit(False)))
 
 
-def _links(classes: DataFrame, hasher: LatticeHash, threshold: float, block: int) -> DataFrame:
-    """(a, b, n): a spanning forest of links (n null), and for row a the weight n of new partners (b null)."""
-    schema = pa.schema([("label", pa.int64()), ("cell", pa.int64()), ("class", pa.int64()), ("weight", pa.int64()), ("vector", pa.binary()), ("cells", pa.binary())])
-    kind = np.float32 if classes.schema["vector"].dataType.elementType == FloatType() else np.float64
+def _stays(classes: DataFrame, hasher: LatticeHash, threshold: float, block: int) -> DataFrame:
+    """(mark, cell): the cells of each class in which another's shadow is within reach; a cell is of one label."""
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
-                x = part.column(3).flatten().to_numpy().reshape(part.num_rows, -1)
-                row, name = hasher.cells(units(x.astype(np.float64)))
-                own = np.split(name, np.flatnonzero(np.diff(row)) + 1)
-                take = pa.array(row)
-                yield pa.RecordBatch.from_arrays([part.column(0).take(take), pa.array(name), part.column(1).take(take), part.column(2).take(take), pa.array([r.tobytes() for r in x]).take(take), pa.array([r.tobytes() for r in own]).take(take)], schema=schema)
+                x = units(part.column(2).flatten().to_numpy().reshape(part.num_rows, -1).astype(np.float64))
+                row, name = hasher.cells(x)
+                cell = (name ^ part.column(0).to_numpy()[row]).view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+                shadow = pa.array([r.tobytes() for r in hasher.shadows(x)])
+                yield pa.RecordBatch.from_arrays([pa.array(cell.view(np.int64)), part.column(1).take(pa.array(row)), shadow.take(pa.array(row))], ["cell", "mark", "shadow"])
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        width, most = hasher.frame.shape[1], hasher.reach(threshold)
+        for t, of in whole_runs(batches, 1):
+            q = np.frombuffer(b"".join(t.column("shadow").to_pylist()), dtype=np.int8).reshape(-1, width).astype(np.float32)  # whole numbers below 2 ** 24
+            own, split = t.column("block_own").to_numpy(), t.column("block_a").to_numpy() != t.column("block_b").to_numpy()
+            length, near = (q * q).sum(axis=1), np.zeros(len(of), dtype=bool)
+            edges = np.flatnonzero(np.diff(of, prepend=-1))
+            for a, b in zip(edges.tolist(), np.append(edges[1:], len(of)).tolist()):
+                if b - a < 2:
+                    continue
+                for i0 in range(a, b, 256):
+                    i1 = min(b, i0 + 256)
+                    i, j = np.nonzero(length[i0:i1, None] + length[None, i0:b] - 2 * (q[i0:i1] @ q[i0:b].T) <= most)
+                    i, j = i + i0, j + i0
+                    keep = (i < j) & (~split[a] | (own[i] != own[j]))
+                    near[i[keep]] = near[j[keep]] = True
+            yield pa.RecordBatch.from_arrays([pa.array(t.column(c).to_numpy()[near]) for c in ("mark", "cell")], ["mark", "cell"])
+
+    rows = classes.select(F.xxhash64("label").alias("label"), "mark_a", "vector").mapInArrow(place, "cell long, mark long, shadow binary")
+    return deal(rows, ["cell"], F.xxhash64("mark"), block).mapInArrow(meet, "mark long, cell long")
+
+
+def _links(classes: DataFrame, hasher: LatticeHash, threshold: float, block: int) -> DataFrame:
+    """(a, b, n): a spanning forest of links (n null), and for row a the weight n of new partners (b null)."""
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t, of in whole_runs(batches, 2, 4096):
             get = lambda c: t.column(c).to_numpy()  # noqa: E731, B023
-            x = units(np.frombuffer(b"".join(t.column("vector").to_pylist()), dtype=kind).reshape(len(of), -1).astype(np.float64))
-            cell, klass, weight, own, split = get("cell"), get("class"), get("weight"), get("block_own"), get("block_a") != get("block_b")
-            named = [np.frombuffer(c, dtype=np.int64) for c in t.column("cells").to_pylist()]
+            x = units(t.column("vector").combine_chunks().flatten().to_numpy().reshape(len(of), -1).astype(np.float64))
+            klass, weight, own, split = get("class"), get("weight"), get("block_own"), get("block_a") != get("block_b")
+            named = [np.array(c, dtype=np.int64) for c in t.column("lower").to_pylist()]
             sets, partners = Union(len(of)), np.zeros(len(of), dtype=np.int64)
             edges = np.flatnonzero(np.diff(of, prepend=-1))
             for a, b in zip(edges.tolist(), np.append(edges[1:], len(of)).tolist()):
@@ -172,21 +213,26 @@ def _links(classes: DataFrame, hasher: LatticeHash, threshold: float, block: int
                         if not len(p):
                             continue
                         sets.join(p, q)
-                        first = least_shared(named, p, q, int(cell[a]))
+                        first = least_shared(named, p, q)
                         np.add.at(partners, p[first], weight[q[first]])
                         np.add.at(partners, q[first], weight[p[first]])
             child, met = np.flatnonzero(sets.root != np.arange(len(of))), np.flatnonzero(partners)
             none = lambda n: pa.nulls(n, pa.int64())
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate((klass[child], klass[met]))), pa.concat_arrays([pa.array(klass[sets.root[child]]), none(len(met))]), pa.concat_arrays([none(len(child)), pa.array(partners[met])])], ["a", "b", "n"])
 
-    rows = classes.select(F.xxhash64("label").alias("label"), "class", "weight", "vector").mapInArrow(place, "label long, cell long, class long, weight long, vector binary, cells binary")
+    stays, _ = cut(_stays(classes, hasher, threshold, block).groupBy("mark").agg(F.sort_array(F.collect_set("cell")).alias("cells")), "vector-cells")
+    rows = classes.join(stays, F.col("mark_a") == F.col("mark")).select(F.xxhash64("label").alias("label"), F.posexplode("cells").alias("at", "cell"), "class", "weight", "vector", "cells")
+    rows = rows.select("label", "cell", "class", "weight", "vector", F.slice("cells", F.lit(1), F.col("at")).alias("lower"))
     return deal(rows, ["label", "cell"], F.xxhash64("class"), block).mapInArrow(compare, "a long, b long, n long")
 
 
-def least_shared(named: list[np.ndarray], p: np.ndarray, q: np.ndarray, cell: int) -> np.ndarray:
-    """For each pair (p, q) of rows, which all stand in ``cell``, whether no cell less than it is named by both."""
+def least_shared(named: list[np.ndarray], p: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """For each pair (p, q) of rows, which all stand in one cell, whether no cell less than it is named by both.
+
+    ``named`` holds the cells of each row that are less.
+    """
     rows, at = np.unique(np.concatenate((p, q)), return_inverse=True)
-    lower = [named[r][named[r] < cell] for r in rows.tolist()]
+    lower = [named[r] for r in rows.tolist()]
     width = max(1, max(map(len, lower)))
     left, right = np.zeros((len(rows), width), dtype=np.int64), np.ones((len(rows), width), dtype=np.int64)
     filled = np.zeros((len(rows), width), dtype=bool)

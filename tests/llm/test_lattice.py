@@ -132,3 +132,34 @@ def test_empty_and_unusable(spark):
     assert [(r.vec_id, r.n_links, r.component_id, r.kept) for r in out] == [(1, 0, 1, True), (None, 0, None, False)]
     out = L.near_duplicates(spark.createDataFrame([(None, [1.0, 0.0], 1), (4, [1.0, 0.0], 1), (4, [1.0, 0.0], 1)], schema)).collect()
     assert sorted([(r.vec_id or 0, r.n_links, r.component_id) for r in out]) == [(0, 2, 4), (4, 2, 4), (4, 2, 4)]
+
+
+@pytest.mark.parametrize("dim", [1, 2, 8, 64, 256, 1200])
+def test_shadows_of_links_are_within_reach(dim):
+    """Exact for every pair: random ones, the spread of one coordinate, and vectors that lie in the frame itself."""
+    rng = np.random.default_rng(6)
+    hasher = L.LatticeHash(dim, *L.PLANS[0])
+    a, w = (L.units(rng.normal(size=(400, dim))) for _ in "aw")
+    a[:50], a[50:100] = np.eye(dim)[rng.integers(0, dim, 50)], L.units(hasher.frame.T[rng.integers(0, hasher.frame.shape[1], 50)])
+    w = w - (w * a).sum(axis=1, keepdims=True) * a
+    w[50:100] = hasher.frame.T[rng.integers(0, hasher.frame.shape[1], 50)]  # apart within the frame
+    b = np.array([L.units((0.98 * p + np.sqrt(1 - 0.98**2) * q / max(np.linalg.norm(q), 1e-9))[None])[0] for p, q in zip(a, w)])
+    linked = np.einsum("ij,ij->i", a, b) >= 0.98
+    apart = ((hasher.shadows(a).astype(float) - hasher.shadows(b)) ** 2).sum(axis=1)
+    assert linked.any() and (apart[linked] <= hasher.reach(0.98)).all()
+    if dim >= 64:
+        far = ((hasher.shadows(a).astype(float)[:200, None] - hasher.shadows(a)[None, 200:]) ** 2).sum(axis=2)
+        assert (far[100:] > hasher.reach(0.98)).mean() > 0.99
+
+
+def test_vectors_without_a_near_one_do_not_travel(spark):
+    rng = np.random.default_rng(7)
+    rows = [(i, rng.normal(size=64).tolist(), "a" if i % 2 else "b") for i in range(600)]
+    rows += [(600 + i, (np.array(rows[i][1]) * 2 + rng.normal(size=64) * 0.01).tolist(), rows[i][2]) for i in range(20)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label string")
+    marks = [F.xxhash64("label", "vector").alias("mark_a"), F.col("vec_id").alias("class"), F.lit(1).cast("long").alias("weight")]
+    classes = L.usable(df, "vec_id", "embedding", "label").select("*", *marks)
+    for block in (2048, 16):
+        stays = L._stays(classes, L.LatticeHash(64, *L.PLANS[0]), 0.98, block).join(classes, F.col("mark") == F.col("mark_a")).groupBy("vec_id").count().collect()
+        ids = {r.vec_id for r in stays}
+        assert ids >= {*range(20), *range(600, 620)} and len(ids) < 80
