@@ -6,11 +6,11 @@ import argparse
 import os
 import sys
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from sievewright.operators import manifest, pixels, tree
-from sievewright.plans import commands, config
+from sievewright.plans import commands, config, render
 from sievewright.schema import CLASSES, Thresholds
 from sievewright.scratch import written
 
@@ -82,9 +82,9 @@ def run(spark: SparkSession, argv: list[str]) -> commands.Outcome:
     elif a.command == "relicense":
         out = commands.relicense(records)
     elif a.command == "synthesize":
-        from sievewright.operators.ingest import list_images
+        from sievewright.operators.ingest import list_references
 
-        out = commands.synthesize(spark, records, list_images(spark, a.reference_dir).select("name"), a.count, a.seed)
+        out = commands.synthesize(spark, records, list_references(spark, a.reference_dir), a.count, a.seed)
     elif a.command == "classify":
         out = commands.classify(spark, records, a.overwrite, settings)
     elif a.command == "caption":
@@ -118,15 +118,10 @@ def run(spark: SparkSession, argv: list[str]) -> commands.Outcome:
     return out
 
 
-def show(name: str, df: DataFrame, most: int = 40) -> None:
-    print(f"\n{name}")
-    df.show(most, truncate=80)
-
-
 def main(argv: list[str] | None = None) -> int:
     spark = SparkSession.builder.appName("sievewright").getOrCreate()
-    for name, df in run(spark, sys.argv[1:] if argv is None else argv).report.items():
-        show(name, df)
+    words = sys.argv[1:] if argv is None else argv
+    print(render.report(parser().parse_args(words).command, run(spark, words).report))
     return 0
 
 

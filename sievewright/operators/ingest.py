@@ -20,6 +20,11 @@ def list_images(spark: SparkSession, folder: str) -> DataFrame:
     return list_files(spark, folder).where(suffix(F.col("name")).isin(*IMAGE_SUFFIXES)).orderBy("path")
 
 
+def list_references(spark: SparkSession, folder: str) -> DataFrame:
+    """(name) of the pictures of a folder that a generator may start from: JPEG and PNG by their suffix, in any case, sorted."""
+    return list_files(spark, folder).where(suffix(F.col("name")).isin(".jpg", ".jpeg", ".png")).select("name").orderBy("name")
+
+
 def new_or_changed(source: DataFrame, target: DataFrame) -> DataFrame:
     """Rows of ``source`` (name, length, ...) of which ``target`` has no file of the same name and length."""
     return source.join(target.select("name", "length").distinct(), ["name", "length"], "left_anti")

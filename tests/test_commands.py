@@ -11,7 +11,7 @@ import pytest
 
 from sievewright import cli
 from sievewright.operators import jpeg, manifest, pixels, tree
-from sievewright.plans import commands, config
+from sievewright.plans import commands, config, render
 from tests.test_operators import as_dict, recs
 from tests.test_pixels import noise, png
 
@@ -280,3 +280,25 @@ def test_configuration(tmp_path, spark):
     with pytest.raises(SystemExit):
         cli.parser().parse_args(["nonsense"])
     assert len(cli.parser()._subparsers._group_actions[0].choices) == 14
+
+
+def test_reports_as_text(spark, tmp_path, capsys):
+    assert [render.megabytes(n) for n in (None, 0, 1_500_000, 2_345_678_901)] == ["-", "0.00 MB", "1.50 MB", "2,346 MB"] and render.share(2, 3) == "66%" and render.share(0, 0) == "0%"
+    many = spark.createDataFrame([(f"r{i:02}", i) for i in range(20)], "reason string, n long").orderBy("reason")
+    lines = render.frame(many, most=4)
+    assert lines[0].split() == ["reason", "n", "share"] and lines[4].split() == ["r03", "3", "1%"] and lines[5:] == ["  and more"]
+    assert render.frame(many.where("n = 7"))[1].split() == ["r07", "7", "100%"] and render.frame(many.where("n > 99")) == ["  none"]
+    assert render.frame(spark.createDataFrame([(3, 2_000_000, None, True)], "files long, bytes long, side int, ok boolean")) == ["  files  3", "  bytes  2.00 MB", "  side   -", "  ok     yes"]
+    m = str(tmp_path / "m.jsonl")
+    manifest.save(recs(spark, [{"filename": "a.jpg", "license": "CC0", "origin_title": "A"}, {"filename": "b.jpg", "rejected": True, "reject_reasons": ["manual"]}]), m)
+    assert cli.main(["--manifest", m, "report"]) == 0
+    text = capsys.readouterr().out
+    assert " REPORT\n" in text and "provenance pct" in text and "100%" in text and "manual" in text
+
+
+def test_references_are_jpeg_and_png(spark, tmp_path):
+    from sievewright.operators import ingest
+
+    for name in ("b.PNG", "a.jpg", "c.jpeg", "d.webp", "e.tif", "f.txt"):
+        (tmp_path / name).write_bytes(b"x")
+    assert [r.name for r in ingest.list_references(spark, str(tmp_path)).collect()] == ["a.jpg", "b.PNG", "c.jpeg"]
