@@ -3,7 +3,8 @@
 A byte-level BPE file first splits a text into pieces with a fixed pattern and
 merges inside each piece alone, so the ids of a text are the ids of its pieces
 in order.  :class:`PieceEncoder` splits with the same pattern, asks the library
-once for each piece it has not seen, and joins the remembered ids.  A text with
+once for each piece it has not seen (for ids the library's model alone, as nothing
+is left to split), and joins the remembered ids.  A text with
 characters on which Python's classes and the library's could differ, or with the
 string of an added token, goes to the library whole.  Any file of another kind
 also goes to the library whole.  ``tests/llm`` holds the ids against the
@@ -15,6 +16,7 @@ from __future__ import annotations
 import json
 import os
 import re
+import struct
 from functools import lru_cache
 
 import numpy as np
@@ -37,8 +39,31 @@ def tokenizer_path(name: str = DEFAULT_TOKENIZER) -> str:
     return public_tokenizers.path(name)
 
 
+class _Known(dict):
+    """The ids of pieces as bytes; a piece that is not there yet is asked of the library's model."""
+
+    def __init__(self, tokenizer):
+        from tokenizers.pre_tokenizers import ByteLevel
+
+        level = ByteLevel(add_prefix_space=False, use_regex=False)
+        self.letters = {c: level.pre_tokenize_str(chr(c))[0][0] for c in (*range(0x250), *range(0x2010, 0x2028), 0x20AC) if not _ODD.match(chr(c))}
+        self.tokenize = tokenizer.model.tokenize
+
+    def __missing__(self, piece: str) -> bytes:
+        ids = [t.id for t in self.tokenize(piece.translate(self.letters))]
+        value = self[piece] = struct.pack(f"<{len(ids)}I", *ids)
+        return value
+
+    def shrink(self, capacity: int) -> None:
+        """Forget the longer pieces, which are the rarer ones; all, if the short ones alone fill half the room."""
+        short = {w: v for w, v in self.items() if len(w) <= 7}
+        self.clear()
+        if len(short) <= capacity // 2:
+            self.update(short)
+
+
 class PieceEncoder:
-    """Encodes batches of texts; keeps at most ``capacity`` pieces."""
+    """Encodes batches of texts; keeps at most ``capacity`` pieces, for ids and those of one text."""
 
     def __init__(self, path: str, spans: bool = False, capacity: int = 600_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -49,13 +74,14 @@ class PieceEncoder:
         pre = spec.get("pre_tokenizer") or {}
         self.split = spec.get("normalizer") is None and pre.get("type") == "ByteLevel" and pre.get("use_regex", True) and not pre.get("add_prefix_space") and spec.get("post_processor") is None
         self.added = [t["content"] for t in spec.get("added_tokens", [])]
-        self.spans, self.capacity, self.known = spans, capacity, {}
+        self.spans, self.capacity = spans, capacity
+        self.known = _Known(self.tokenizer) if self.split and not spans else {}
         self.encode = self.tokenizer.encode_batch if spans else self.tokenizer.encode_batch_fast
 
-    def _value(self, encoding, a: int = 0, b: int | None = None, base: int = 0) -> bytes:
+    def _value(self, encoding) -> bytes:
         if self.spans:
-            return (np.array(encoding.offsets[a:b], dtype="<i4").reshape(-1, 2) - base).astype("<i4").tobytes()
-        return np.array(encoding.ids[a:b], dtype="<u4").tobytes()
+            return np.array(encoding.offsets, dtype="<i4").reshape(-1, 2).tobytes()
+        return np.array(encoding.ids, dtype="<u4").tobytes()
 
     def _learn_joined(self, words: list[str], text: str, step: int) -> bool:
         """Encode ``words`` as one text, of which they are every ``step``-th piece."""
@@ -65,15 +91,10 @@ class PieceEncoder:
         if len(edges) - 1 != step * len(words) - (step - 1):
             return False
         first, last = edges[:-1][::step].tolist(), edges[1:][::step].tolist()
-        if self.spans:
-            values, at = np.array(got.offsets, dtype="<i4").reshape(-1, 2), 0
-            for w, a, b in zip(words, first, last):
-                self.known[w] = (values[a:b] - at).astype("<i4").tobytes()
-                at += len(w) + (step - 1)
-        else:
-            raw = np.array(got.ids, dtype="<u4").tobytes()
-            for w, a, b in zip(words, first, last):
-                self.known[w] = raw[4 * a : 4 * b]
+        values, at = np.array(got.offsets, dtype="<i4").reshape(-1, 2), 0
+        for w, a, b in zip(words, first, last):
+            self.known[w] = (values[a:b] - at).astype("<i4").tobytes()
+            at += len(w) + (step - 1)
         return True
 
     def _learn(self, pieces: set[str]) -> None:
@@ -107,9 +128,14 @@ class PieceEncoder:
 
     def ids(self, texts: list[str]) -> list[bytes]:
         """For each text its ids as little-endian unsigned 32-bit integers."""
-        pieces, get, out = self._pieces(texts), self.known.__getitem__, []
-        for text, own in zip(texts, pieces):
-            out.append(self._value(self.encode([text], add_special_tokens=False)[0]) if own is None else b"".join(map(get, own)))
+        get, out = self.known.__getitem__, []
+        for text in texts:
+            if not self._splits(text):
+                out.append(self._value(self.encode([text], add_special_tokens=False)[0]))
+                continue
+            out.append(b"".join(map(get, _PIECE.findall(text))))
+            if len(self.known) > self.capacity:
+                self.known.shrink(self.capacity)
         return out
 
     def token_spans(self, texts: list[str]) -> list[np.ndarray]:

@@ -33,6 +33,17 @@ def test_ids_equal_the_library():
     assert got == [np.array(e.ids, dtype="<u4").tobytes() for e in library(texts)]
 
 
+def test_new_pieces_ask_the_model_alone():
+    letters = [chr(c) for c in (*range(0x250), *range(0x2010, 0x2028), 0x20AC)]
+    own = PieceEncoder(tokenizer_path(), capacity=50)
+    texts = [t for t in [*letters, "".join(letters[32:127]), " ".join(letters[192:]), *ODD, *corpus()[:60]] if own._splits(t)]
+    assert len(texts) > 600
+    want = [np.array(e.ids, dtype="<u4").tobytes() for e in library(texts)]
+    own.tokenizer = own.encode = None  # an encoding with spans and words costs twice what the ids do
+    assert own.ids(texts) == want and own.ids(texts[::-1]) == want[::-1]
+    assert len(own.known) <= 50
+
+
 def test_spans_equal_the_library():
     texts = ODD + corpus()[:80]
     own = PieceEncoder(tokenizer_path(), spans=True)
