@@ -40,3 +40,33 @@ def earliest(a, b, radius: int):
         hit = np.flatnonzero(near.any(axis=1) & (out[i : i + len(d)] < 0))
         out[i + hit] = j + near[hit].argmax(axis=1)
     return out
+
+
+def places(names):
+    """The place of each name in the order of names."""
+    import numpy as np
+    import pyarrow.compute as pc
+
+    out = np.empty(len(names), np.int64)
+    out[pc.sort_indices(names).to_numpy()] = np.arange(len(names))
+    return out
+
+
+def nearest(a, b, place, radius: int, most: int, step: int = 2048) -> Iterator[tuple]:
+    """(rows of ``a``, rows of ``b``, distances): the ``most`` nearest of ``b`` for each of ``a``, ties by ``place``."""
+    import numpy as np
+
+    back = np.empty(len(b), np.int64)
+    back[place] = np.arange(len(b))
+    for start in range(0, len(a), step):
+        found = []
+        for i, j, d in tiles(a[start : start + step], b):
+            hit = np.flatnonzero(d <= radius)
+            row, column = np.divmod(hit, d.shape[1])
+            found.append((i + row) << 48 | d.ravel()[hit].astype(np.int64) << 40 | place[j + column])
+        found = np.sort(np.concatenate(found))
+        row = found >> 48
+        nth = np.arange(len(found)) - np.searchsorted(row, row)
+        found, row = found[nth < most], row[nth < most]
+        if len(found):
+            yield start + row, back[found & ((1 << 40) - 1)], (found >> 40 & 255).astype(np.int32)

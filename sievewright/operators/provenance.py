@@ -11,8 +11,9 @@ from sievewright.functions.bits import from_hex
 from sievewright.functions.licenses import apply_policy
 from sievewright.functions.text import CaptionWords, html_strip, none_if_empty, stem
 from sievewright.functions.verdicts import add_reason, has_provenance, is_rejected
-from sievewright.operators.duplicates import distance_buckets, hamming_pairs, match_in_turn
+from sievewright.operators.duplicates import distance_buckets, grid, hamming_pairs, match_by_lists, match_in_turn
 from sievewright.schema import SYNTHETIC, UNKNOWN_LICENSE
+from sievewright.scratch import written
 
 # Fixed values of the generated descriptions.
 COMPOSITIONS = ("close macro detail, top-down view", "angled view, raking side light", "cross-section cut, exposed interior texture", "wide view, several fragments scattered on a surface")
@@ -29,10 +30,20 @@ def pending(df: DataFrame) -> DataFrame:
 def match_candidates(records: DataFrame, candidates: DataFrame, radius: int = 5) -> DataFrame:
     """(seq, filename, distance): candidates (seq, phash) in turn take their nearest pending record."""
     locals_ = pending(records).select("filename", from_hex(F.col("phash")).alias("h"))
-    keyed = locals_.select(F.concat(F.lit("l"), "filename").alias("k"), "h").union(candidates.select(F.concat(F.lit("c"), F.col("seq").cast("string")), from_hex(F.col("phash"))))
-    pairs = hamming_pairs(keyed, "k", "h", radius).where(F.col("a").startswith("c") & F.col("b").startswith("l"))
-    edges = pairs.select(F.substring("a", 2, 1 << 30).cast("long").alias("seq"), F.substring("b", 2, 1 << 30).alias("local"), "distance")
-    return match_in_turn(edges).select("seq", F.col("local").alias("filename"), "distance")
+    hashed = candidates.select("seq", from_hex(F.col("phash")).alias("h"))
+    return match_hashes(hashed, locals_.withColumnRenamed("filename", "local"), radius).select("seq", F.col("local").alias("filename"), "distance")
+
+
+def match_hashes(candidates: DataFrame, locals_: DataFrame, radius: int) -> DataFrame:
+    """(seq, local, distance): candidates (seq, h) in turn take their nearest free local (local, h).
+
+    Over the pairs within the radius, where choices of bits find them; else by lists
+    of each candidate's nearest.
+    """
+    candidates, locals_ = written(candidates.select(F.col("seq").cast("long").alias("seq"), "h"), "hashed-candidates"), written(locals_.select(F.col("local").cast("string").alias("local"), "h"), "hashed-locals")
+    if grid(candidates.count() + locals_.count(), radius):
+        return match_in_turn(cross_distances(candidates, locals_, radius))
+    return match_by_lists(candidates, locals_, radius)
 
 
 def hash_thumbs(spark: SparkSession, candidates: DataFrame, folder: str, fetch, tasks: int = 4) -> DataFrame:
@@ -43,7 +54,6 @@ def hash_thumbs(spark: SparkSession, candidates: DataFrame, folder: str, fetch,
     """
     from sievewright.operators.pixels import measure
     from sievewright.operators.tree import download
-    from sievewright.scratch import written
 
     named = candidates.select(F.format_string("%016d.img", "seq").alias("filename"), "seq", F.col("thumb_url").alias("download_url"))
     got = written(download(named, folder, fetch, tasks), "thumbs")

@@ -457,13 +457,13 @@ def _candidates_and_locals(spark: SparkSession, sf_dir: str) -> tuple[DataFrame,
 
 @query()
 def recover_nn_match(spark, sf_dir):
-    return duplicates.match_in_turn(provenance.cross_distances(*_candidates_and_locals(spark, sf_dir), 20))
+    return provenance.match_hashes(*_candidates_and_locals(spark, sf_dir), 20)
 
 
 @query()
 def nn_distance_buckets(spark, sf_dir):
     candidates, locals_ = _candidates_and_locals(spark, sf_dir)
-    matches = duplicates.match_in_turn(provenance.cross_distances(candidates, locals_, 20))
+    matches = provenance.match_hashes(candidates, locals_, 20)
     return duplicates.distance_buckets(candidates, locals_, matches, (18, 20, 22, 24))
 
 

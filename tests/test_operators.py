@@ -189,6 +189,28 @@ def test_match_in_turn_against_the_loop(spark, seed):
     assert duplicates.match_in_turn(spark.createDataFrame([], "seq int, local string, distance int")).count() == 0
 
 
+@pytest.mark.parametrize("most", [1, 9, 64, 500_000])
+def test_match_by_lists_against_the_loop(spark, monkeypatch, most):
+    """Lists that are cut and used up (many candidates of a few hashes), rounds of any length, and names in order of text."""
+    rng = random.Random(most)
+    base = [rng.getrandbits(63) for _ in range(4)]
+    turned = lambda: rng.choice(base) ^ (1 << rng.randrange(63)) ^ (1 << rng.randrange(63) if rng.random() < 0.5 else 0)
+    n = 8 if most == 1 else 30
+    cand, loc = [(3 * i + 1, turned()) for i in range(n)] + [(1000, None)], [(str(i), turned()) for i in range(n)] + [("x", None)]
+    free, want = dict(loc[:-1]), {}
+    for c, h in cand[:-1]:
+        d, name = min(((h ^ x).bit_count(), k) for k, x in free.items()) if free else (99, "")
+        if d <= 20:
+            want[c] = (name, d)
+            del free[name]
+    monkeypatch.setattr(duplicates, "hamming_pairs", None)
+    monkeypatch.setattr(duplicates, "FREE", 7)
+    frames = spark.createDataFrame(cand, "seq long, h long"), spark.createDataFrame(loc, "local string, h long")
+    got = {r.seq: (r.local, r.distance) for r in duplicates.match_by_lists(*frames, 20, most).collect()}
+    assert got == want
+    assert most < 500_000 or got == {r.seq: (r.local, r.distance) for r in provenance.match_hashes(*frames, 20).collect()}
+
+
 def test_distance_buckets_against_the_loop(spark):
     rng = random.Random(4)
     cand = [(i, rng.getrandbits(62)) for i in range(12)]
