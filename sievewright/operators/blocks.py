@@ -70,3 +70,21 @@ def nearest(a, b, place, radius: int, most: int, step: int = 2048) -> Iterator[t
         found, row = found[nth < most], row[nth < most]
         if len(found):
             yield start + row, back[found & ((1 << 40) - 1)], (found >> 40 & 255).astype(np.int32)
+
+
+def least(a, turn, b, taken_at):
+    """For each of ``a`` the least distance to those of ``b`` that are not taken before its turn, or 128 and more.
+
+    ``a`` comes by turn, ``b`` by when it is taken: what is free for a row is the end of ``b``.
+    """
+    import numpy as np
+
+    out = np.full(len(a), 255, np.uint8)
+    for i in range(0, len(a), ROWS):
+        rows, start = a[i : i + ROWS], np.searchsorted(taken_at, turn[i])
+        for _, j, d in tiles(rows, b[start:]):
+            at = taken_at[start + j : start + j + d.shape[1]]
+            if at[0] < turn[min(i + ROWS, len(a)) - 1]:
+                d = d | (at[None, :] < turn[i : i + ROWS, None]).view(np.uint8) << 7
+            np.minimum(out[i : i + ROWS], d.min(axis=1), out=out[i : i + ROWS])
+    return out

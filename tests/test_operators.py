@@ -224,6 +224,23 @@ def test_distance_buckets_against_the_loop(spark):
     assert got.candidates == len(best) and [got[f"within_{s}"] for s in (5, 8, 12, 16)] == [sum(d <= s for d in best.values()) for s in (5, 8, 12, 16)]
 
 
+def test_distance_buckets_by_many_blocks(spark, monkeypatch):
+    """Blocks of a few rows meet in arrays, not by a join of rows; rows without a hash, and candidates after all locals are taken."""
+    rng = random.Random(5)
+    cand = [(i, rng.getrandbits(63)) for i in range(40)] + [(40, None)]
+    loc = [(f"l{i}", cand[rng.randrange(40)][1] ^ rng.getrandbits(20)) for i in range(30)]
+    match = [(i, f"l{i}") for i in range(30)]
+    packed = duplicates._packed
+    monkeypatch.setattr(duplicates, "_packed", lambda rows, n, block: packed(rows, n, 1))
+    best = {i: min((h ^ x).bit_count() for k, x in loc if int(k[1:]) >= i) for i, h in cand[:30]}
+    for late in (False, True):
+        frames = spark.createDataFrame(cand, "seq int, h long"), spark.createDataFrame(loc + [("none", None)] * late, "local string, h long"), spark.createDataFrame(match, "seq int, local string")
+        df = duplicates.distance_buckets(*frames, (8, 16, 24))
+        assert "MapInArrow" in df._jdf.queryExecution().toString() and "NestedLoop" not in df._jdf.queryExecution().toString()
+        got = df.first()
+        assert got.candidates == (41 if late else 30) and [got[f"within_{s}"] for s in (8, 16, 24)] == [sum(d <= s for d in best.values()) for s in (8, 16, 24)]
+
+
 def test_exact_phash_claims(spark):
     df = spark.createDataFrame([(0, "aa"), (1, "aa"), (2, "bb"), (3, None), (4, ""), (5, "")], "o int, phash string")
     got = {r.o: r.phash_duplicate for r in duplicates.claim_exact_phash(df, spark.createDataFrame([("bb", "old")], "phash string, filename string"), F.col("o")).collect()}
