@@ -88,3 +88,26 @@ def least(a, turn, b, taken_at):
                 d = d | (at[None, :] < turn[i : i + ROWS, None]).view(np.uint8) << 7
             np.minimum(out[i : i + ROWS], d.min(axis=1), out=out[i : i + ROWS])
     return out
+
+
+def within(a, b, radius: int, most: int = 50_000) -> Iterator[tuple]:
+    """(rows of ``a``, rows of ``b``, distances) of all pairs within the radius; of ``a`` with itself each pair once if ``b`` is None."""
+    import numpy as np
+
+    found, n = [], 0
+    for r in range(0, len(a), ROWS):
+        start = r if b is None else 0
+        for _, j, d in tiles(a[r : r + ROWS], a[start:] if b is None else b):
+            hit = np.flatnonzero(d <= radius)
+            row, column = np.divmod(hit, d.shape[1])
+            row, column, d = row + r, column + j + start, d.ravel()[hit]
+            if b is None and j == 0:
+                once = row < column
+                row, column, d = row[once], column[once], d[once]
+            found.append((row, column, d))
+            n += len(row)
+            if n >= most:
+                yield tuple(np.concatenate(x) for x in zip(*found))
+                found, n = [], 0
+    if n:
+        yield tuple(np.concatenate(x) for x in zip(*found))

@@ -11,7 +11,7 @@ from sievewright.functions.bits import from_hex
 from sievewright.functions.licenses import apply_policy
 from sievewright.functions.text import CaptionWords, html_strip, none_if_empty, stem
 from sievewright.functions.verdicts import add_reason, has_provenance, is_rejected
-from sievewright.operators.duplicates import distance_buckets, grid, hamming_pairs, match_by_lists, match_in_turn
+from sievewright.operators.duplicates import all_distances, distance_buckets, grid, hamming_pairs, match_by_lists, match_in_turn
 from sievewright.schema import SYNTHETIC, UNKNOWN_LICENSE
 from sievewright.scratch import written
 
@@ -151,7 +151,11 @@ def nearest(edges: DataFrame) -> DataFrame:
 
 def cross_distances(candidates: DataFrame, locals_: DataFrame, radius: int) -> DataFrame:
     """(seq, local, distance) of all pairs within ``radius`` of candidates (seq, h) and locals (local, h)."""
-    keyed = candidates.select(F.concat(F.lit("c"), F.col("seq").cast("string")).alias("k"), "h").union(locals_.select(F.concat(F.lit("l"), F.col("local").cast("string")), "h"))
+    candidates = written(candidates.select(F.col("seq").cast("long").alias("seq"), "h").where("seq is not null and h is not null"), "cross-candidates")
+    locals_ = written(locals_.select(F.col("local").cast("string").alias("local"), "h").where("local is not null and h is not null"), "cross-locals")
+    if not grid(candidates.count() + locals_.count(), radius):
+        return all_distances(candidates, locals_, radius)
+    keyed = candidates.select(F.concat(F.lit("c"), F.col("seq").cast("string")).alias("k"), "h").union(locals_.select(F.concat(F.lit("l"), "local"), "h"))
     pairs = hamming_pairs(keyed, "k", "h", radius).where(F.col("a").startswith("c") & F.col("b").startswith("l"))
     rest = lambda c: F.substring(c, 2, 1 << 30)
     return pairs.select(rest("a").cast("long").alias("seq"), rest("b").alias("local"), "distance")

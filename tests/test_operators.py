@@ -172,6 +172,25 @@ def test_hamming_pairs_by_more_groups_and_split_buckets(spark, monkeypatch, radi
     assert sorted(got) == [(i, j, (h[i] ^ h[j]).bit_count()) for i in range(len(h)) for j in range(i + 1, len(h)) if (h[i] ^ h[j]).bit_count() <= radius]
 
 
+@pytest.mark.parametrize("names", [False, True])
+def test_all_pairs_by_blocks_in_arrays(spark, monkeypatch, names):
+    """Where no choice of bits selects, rows are packed in blocks: none is sent to each pair of blocks by itself."""
+    rng = random.Random(6)
+    h = [rng.getrandbits(64) for _ in range(700)]
+    h += h[:20]
+    rows = [(f"é{i}" if names else i, x - (1 << 64) if x >> 63 else x) for i, x in enumerate(h)] + [(None, 1)]
+    df = duplicates.hamming_pairs(spark.createDataFrame(rows, "k string, h long" if names else "k int, h long"), "k", "h", 22, block=20)
+    assert "Join" not in df._jdf.queryExecution().toString()
+    key = lambda i: rows[i][0]
+    near = [(i, j, (h[i] ^ h[j]).bit_count()) for i in range(len(h)) for j in range(i + 1, len(h))]
+    assert sorted(tuple(r) for r in df.collect()) == sorted((*sorted((key(i), key(j))), d) for i, j, d in near if d <= 22)
+    sides = spark.createDataFrame(rows, "k string, h long" if names else "k int, h long")
+    odd = F.col("h") % 2 != 0
+    got = provenance.cross_distances(sides.where(odd).select(F.crc32(F.encode(F.col("k").cast("string"), "UTF-8")).alias("seq"), "h"), sides.where(~odd).select(F.col("k").alias("local"), "h"), 22)
+    assert "MapInArrow" in got._jdf.queryExecution().toString()
+    assert got.count() == sum(1 for i, j, d in near if d <= 22 and (h[i] ^ h[j]) & 1)
+
+
 @pytest.mark.parametrize("seed", range(3))
 def test_match_in_turn_against_the_loop(spark, seed):
     rng = random.Random(seed)
