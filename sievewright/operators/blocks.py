@@ -58,18 +58,24 @@ def nearest(a, b, place, radius: int, most: int, step: int = 2048) -> Iterator[t
 
     back = np.empty(len(b), np.int64)
     back[place] = np.arange(len(b))
+    def best(found: list):
+        keys = np.sort(np.concatenate(found))
+        row = keys >> 48
+        return keys[np.arange(len(keys)) - np.searchsorted(row, row) < most]
+
     for start in range(0, len(a), step):
-        found = []
+        found, n = [], 0
         for i, j, d in tiles(a[start : start + step], b):
             hit = np.flatnonzero(d <= radius)
             row, column = np.divmod(hit, d.shape[1])
             found.append((i + row) << 48 | d.ravel()[hit].astype(np.int64) << 40 | place[j + column])
-        found = np.sort(np.concatenate(found))
-        row = found >> 48
-        nth = np.arange(len(found)) - np.searchsorted(row, row)
-        found, row = found[nth < most], row[nth < most]
+            n += len(hit)
+            if n > max(1 << 21, 2 * step * most):  # most of b is near to most of a
+                found = [best(found)]
+                n = len(found[0])
+        found = best(found)
         if len(found):
-            yield start + row, back[found & ((1 << 40) - 1)], (found >> 40 & 255).astype(np.int32)
+            yield start + (found >> 48), back[found & ((1 << 40) - 1)], (found >> 40 & 255).astype(np.int32)
 
 
 def least(a, turn, b, taken_at):
